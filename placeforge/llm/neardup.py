@@ -9,10 +9,12 @@ is doubled where it doesn't, so long texts cost little more than short ones. Slo
 a band are candidates; candidates are verified on their multisets, exactly but for 32-bit fingerprints of shingles.
 
 Classes are the connected components of verified links of THRESHOLD or more. Equal word sequences are one node from the
-start, so copies cost one row each. In each bucket all members are first tried against one centre, the member whose
-buckets are the largest; what that links is merged. Members that are still in different classes are then all compared,
-so no candidate pair is left out, but pairs inside a class are never made. While a bucket's open pairs outnumber
-PAIRS_PER_ROW times the bucket rows, further rounds with other centres merge more before that.
+start, so copies cost one row each. In each bucket all members are first compared with one centre, the member whose
+buckets are the largest; what that links is merged. Members of a bucket that are then still in different classes are
+compared pair by pair, but for those that their distances to the centre rule out: the weighted Jaccard distance is a
+metric, so two members whose distances to the centre differ by more than 1 - THRESHOLD are farther apart than that; and
+but for those whose signatures agree in so few of SKETCH slots that a similarity of THRESHOLD is five standard
+deviations off. Pairs inside a class are never made.
 
 Scale. Texts are read twice and never shuffled in full: signatures are made where the text is, and multisets only of
 nodes that have candidates. Hot buckets cost a row a member. Labels are merged by contracting the graph of links;
@@ -35,11 +37,10 @@ from ._common import fresh, materialize, small_side, words_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
-BANDS, ROWS = 32, 6
+BANDS, ROWS = 40, 8
 SIZE = BANDS * ROWS
-#: Open pairs a bucket row up to which all are compared at once, and most rounds with centres before that.
-PAIRS_PER_ROW = 2.0
-ROUNDS = 6
+#: Slots kept as a sketch, and of them the least that two texts of THRESHOLD share, by five standard deviations.
+SKETCH = 192
 
 U = np.uint64
 
@@ -142,11 +143,14 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a, b in slices(words):
             values, starts, ends = ranges_of(words[a:b])
             doc, item, weight = bags(values, starts, ends)
-            bands = band_hashes(signatures(doc, item, weight, b - a))
+            signature = signatures(doc, item, weight, b - a)
+            bands = band_hashes(signature)
             total = np.bincount(doc, weight, b - a).astype(np.int64)
             lists = pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * BANDS, pa.array(bands.reshape(-1)))
+            tagged = ((signature[:, :SKETCH] >> U(20)) & U(0xFFFFFF)) | (np.arange(SKETCH, dtype=U) << U(24))
+            sketches = pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * SKETCH, pa.array(tagged.astype(np.uint32).view(np.int32).reshape(-1)))
             rest = batch.slice(a, b - a)
-            yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in ("doc_id", "row", "node")), pa.array(total), lists], ["doc_id", "row", "node", "weight", "bands"])
+            yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in ("doc_id", "row", "node")), pa.array(total), lists, sketches], ["doc_id", "row", "node", "weight", "bands", "sketch"])
 
 
 def multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,15 +173,20 @@ def hashed_words(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.withColumn("node", F.xxhash64("hashes", F.size("hashes")))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """node and label (the least node of its component) for the nodes of the links (a, b), by contraction."""
+def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """node and label (the least node of its component) for the nodes of the links (a, b), by contraction.
+
+    ``labels``: those of earlier links, which are kept and merged further.
+    """
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    edges = links.select("a", "b").distinct()
-    nodes = materialize(both(edges).select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
-    edges = materialize(edges, "edges")
+    nodes = both(links).select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node"))
+    if labels is not None:
+        nodes = labels.unionByName(nodes.join(labels.select("node"), "node", "left_anti"))
+    nodes = materialize(nodes, "labels")
+    edges = links.select("a", "b") if labels is None else relabelled(links, labels, "node", "label")
+    edges = materialize(edges.distinct(), "edges")
     while not edges.isEmpty():
-        parent = both(edges).where("b < a").groupBy(F.col("a").alias("child")).agg(F.min("b").alias("parent"))
-        parent = materialize(parent, "parents")
+        parent = materialize(both(edges).where("b < a").groupBy(F.col("a").alias("child")).agg(F.min("b").alias("parent")), "parents")
         while True:  # follow parents to the root; their depth halves each time
             up = parent.select(F.col("child").alias("c2"), F.col("parent").alias("p2"))
             further = parent.join(up, F.col("parent") == F.col("c2"), "left")
@@ -186,58 +195,61 @@ def components(links: DataFrame) -> DataFrame:
             if further.where("moved").isEmpty():
                 break
         nodes = materialize(nodes.join(parent, F.col("label") == F.col("child"), "left").select("node", F.coalesce("parent", "label").alias("label")), "labels")
-        pa_, pb = parent.select(F.col("child").alias("ca"), F.col("parent").alias("na")), parent.select(F.col("child").alias("cb"), F.col("parent").alias("nb"))
-        moved = edges.join(pa_, F.col("a") == F.col("ca"), "left").join(pb, F.col("b") == F.col("cb"), "left")
-        edges = materialize(moved.select(F.coalesce("na", "a").alias("a"), F.coalesce("nb", "b").alias("b")).where("a <> b").distinct(), "edges")
+        edges = materialize(relabelled(edges, parent, "child", "parent").distinct(), "edges")
     return nodes
 
 
-def verified(pairs: DataFrame, bags_: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose multisets have at least this weighted Jaccard similarity."""
+def relabelled(edges: DataFrame, names: DataFrame, old: str, new: str) -> DataFrame:
+    """Edges between the new names of their ends (an end without one keeps its own), without loops."""
+    left, right = names.select(F.col(old).alias("oa"), F.col(new).alias("na")), names.select(F.col(old).alias("ob"), F.col(new).alias("nb"))
+    out = edges.join(left, F.col("a") == F.col("oa"), "left").join(right, F.col("b") == F.col("ob"), "left")
+    return out.select(F.coalesce("na", "a").alias("a"), F.coalesce("nb", "b").alias("b")).where("a <> b")
+
+
+def distances(pairs: DataFrame, bags_: DataFrame) -> DataFrame:
+    """The pairs (a, b) with d, the weighted Jaccard distance of their multisets."""
     left, right = bags_.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")), bags_.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
     common = F.size(F.array_intersect("bag_a", "bag_b"))
     both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return both.where(common >= F.lit(threshold) * (F.size("bag_a") + F.size("bag_b") - common)).select("a", "b")
+    return both.select("a", "b", (F.lit(1.0) - common / (F.size("bag_a") + F.size("bag_b") - common)).alias("d"))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, row (a hash of the text) and class_id of every row of ``docs``."""
-    signed = materialize(hashed_words(docs, doc_id, text).mapInArrow(sign, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, row long, node long, weight long, bands array<long>"), "signatures")
-    reps = materialize(signed.where("weight > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")), "nodes")
+    signed = materialize(hashed_words(docs, doc_id, text).mapInArrow(sign, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, row long, node long, weight long, bands array<long>, sketch array<int>"), "signatures")
+    reps = materialize(signed.where("weight > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
     spread = reps.select("node", "weight", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = materialize(spread.join(shared, "bucket"), "members")
     popular = members.groupBy("node").agg(F.sum("members").alias("popular"))
-    involved = materialize(popular.join(reps.select("node", "doc_id"), "node"), "involved")
+    involved = materialize(popular.join(reps.select("node", "doc_id", "sketch"), "node"), "involved")
     side, _ = small_side(involved.select(F.col("node").alias("n"), F.col("doc_id").alias("d")))
     chosen = hashed_words(docs, doc_id, text).join(side, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
     bags_ = materialize(chosen.mapInArrow(multisets, "node long, bag array<int>").groupBy("node").agg(F.first("bag").alias("bag")), "bags")
-    members = materialize(members.drop("members").join(involved.select("node", "popular"), "node").withColumn("label", F.col("node")), "members")
-    links = None
+    far = F.lit(1 - threshold + 1e-9)
     like = F.least("wa", "wb") >= F.lit(threshold) * F.greatest("wa", "wb")
-    for k in range(ROUNDS + 1):
-        inner = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("nn"))
-        size = inner.agg(F.sum("n").alias("rows"), F.sum((F.col("n") * F.col("n") - F.col("nn")) / 2).alias("open")).first()
-        if not size.open:
-            break
-        last = k == ROUNDS or (k and size.open <= PAIRS_PER_ROW * size.rows)
-        if last:  # all pairs that are still open
-            x, y = (members.select("bucket", F.col("node").alias(v), F.col("weight").alias("w" + v), F.col("label").alias("l" + v)) for v in "ab")
-            pairs = x.join(y, "bucket").where((F.col("la") < F.col("lb")) & like)
-        else:
-            rank = F.struct("popular", "node") if k == 0 else F.struct(F.xxhash64(F.lit(k), "bucket", "node"), "node")
-            centre = members.groupBy("bucket").agg(F.max_by(F.struct(F.col("node").alias("b"), F.col("weight").alias("wb"), F.col("label").alias("lb")), rank).alias("centre"))
-            pairs = members.select("bucket", F.col("node").alias("a"), F.col("weight").alias("wa"), F.col("label").alias("la")).join(centre.select("bucket", "centre.*"), "bucket").where((F.col("la") != F.col("lb")) & like)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = materialize(verified(pairs, bags_, threshold), "links")
-        links = found if links is None else links.union(found)
-        labels = components(links)
-        if last:
-            break
-        members = materialize(members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "members")
+    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # every member against its bucket's centre
+    members = members.drop("members").join(involved.select("node", "popular"), "node")
+    centre = members.groupBy("bucket").agg(F.max_by(F.struct(F.col("node").alias("centre"), F.col("weight").alias("wb")), F.struct("popular", "node")).alias("c"))
+    members = materialize(members.withColumnRenamed("weight", "wa").join(centre.select("bucket", "c.*"), "bucket"), "members")
+    stars = ordered(members.where((F.col("node") != F.col("centre")) & like).select(F.col("node").alias("a"), F.col("centre").alias("b")))
+    stars = materialize(distances(stars, bags_), "stars")
+    labels = components(stars.where(F.col("d") <= far))
+    # what is still apart in a bucket, but for pairs that the distances to the centre rule out
+    known = stars.withColumnsRenamed({"a": "lo", "b": "hi"})
+    apart = members.join(known, (F.least("node", "centre") == F.col("lo")) & (F.greatest("node", "centre") == F.col("hi")), "left")
+    apart = apart.withColumn("d", F.when(F.col("node") == F.col("centre"), F.lit(0.0)).otherwise(F.col("d"))).join(labels, "node", "left").select("bucket", "node", "wa", F.coalesce("label", "node").alias("label"), "d")
+    mixed = apart.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+    apart = materialize(apart.join(mixed, "bucket").join(involved.select("node", "sketch"), "node"), "apart")
+    agree = F.size(F.array_intersect("sa", "sb")) >= F.lit(SKETCH * threshold - 5 * (SKETCH * threshold * (1 - threshold)) ** 0.5)
+    x, y = (apart.select("bucket", F.col("node").alias(v), F.col("wa").alias("w" + v), F.col("label").alias("l" + v), F.col("d").alias("d" + v), F.col("sketch").alias("s" + v)) for v in "ab")
+    near = F.coalesce(F.abs(F.col("da") - F.col("db")) <= far, F.lit(True))
+    open_pairs = ordered(x.join(y, (x["bucket"] == y["bucket"]) & (F.col("la") < F.col("lb")) & like & near & agree))
+    found = materialize(distances(open_pairs, bags_).where(F.col("d") <= far), "links")
+    labels = components(found, labels)
     rows = signed.select("doc_id", "row", "node")
-    if links is not None:
-        rows = rows.join(labels, "node", "left").select("doc_id", "row", F.coalesce("label", "node").alias("node"))
+    rows = rows.join(labels, "node", "left").select("doc_id", "row", F.coalesce("label", "node").alias("node"))
     least = rows.groupBy("node").agg(F.min("doc_id").alias("class_id"))
     return rows.join(least, "node").select("doc_id", "row", "class_id", F.col("node").alias("class_node"))
 
