@@ -118,6 +118,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     """
     every = chunks(docs, doc_id, text)
     shared = every.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where(F.col("first") < F.col("last")).select("digest", "first")
+    shared = materialize(shared, "shared-chunks")  # a plain side of the join, whose hot digests Spark can then split
     found = every.join(shared, "digest").where(F.col("doc") != F.col("first")).select("doc", "row", "start", "length", "words", "first")
     found = found.groupBy("doc", "row", "start").agg(F.max("length").alias("length"), F.max("words").alias("words"), F.min("first").alias("first"))  # equal rows
     own = Window.partitionBy("doc", "row").orderBy("start")
