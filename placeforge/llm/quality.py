@@ -102,12 +102,13 @@ def judge(docs: DataFrame, model: DataFrame, text: str = "text", buckets: int =
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     score = F.when(F.col(grams) > 0, F.col(total) / SCALE / F.col(grams)).otherwise(F.lit(0.0))
     out = out.withColumns({"base_failed": failed, "llr_score": score})
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold)).drop(words, hashes, lines, weights, total, windows, grams)
+    # The id makes no difference to the verdict; it keeps filters on the verdict above this projection. Pushed below it, a
+    # filter would repeat every expression that the verdict stands on, words inside lambdas included.
+    here = F.monotonically_increasing_id() >= 0
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold) & here).drop(words, hashes, lines, weights, total, windows, grams)
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
-    verdict = fresh(docs, "_kept")[0]
     inner = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col("text").alias("text"))
-    judged = judge(inner, fit(docs, labels)).where("kept").select("_row.*")
-    return judged.drop(verdict)
+    return judge(inner, fit(docs, labels)).where("kept").select("_row.*")
