@@ -156,7 +156,10 @@ def prepare(node: Node, shapes: dict) -> int:
     for n in reversed(order):
         key = (n.label, tuple(k.shape for k in elements(n)))
         n.shape = shapes.setdefault(key, len(shapes) + 1)
-        n.own = " ".join("".join(k if isinstance(k, str) else " " for k in n.kids).split())
+        # a block's own text has its inline elements' and not its inner blocks'
+        n.own = "".join(k if isinstance(k, str) else " " if k.tag in BLOCKS else k.own for k in n.kids)
+        if n.tag in BLOCKS:
+            n.own = " ".join(n.own.split())
     return len(order)
 
 
@@ -231,6 +234,8 @@ def mark_template(trees: list[Node]) -> None:
         for x, y in pairs:
             partners.setdefault(id(x), []).append(y)
     for nodes in partners.values():
+        if nodes[0].tag not in BLOCKS:  # words inside a block that varies belong to it
+            continue
         if len(nodes) < max(TEMPLATE_PAGES, TEMPLATE_SHARE * len(trees)):
             continue
         text, n = Counter(k.own for k in nodes).most_common(1)[0]
@@ -247,7 +252,10 @@ def weigh(node: Node) -> dict[int, tuple[int, int]]:
         n, link = stack.pop()
         n.link = link or n.tag == "a"
         order.append(n)
-        stack += [(k, n.link) for k in elements(n) if not k.noise]
+        for k in elements(n):
+            k.template = k.template if k.tag in BLOCKS else n.template
+            if not k.noise:
+                stack.append((k, n.link))
     for n in reversed(order):
         own = 0 if n.template else sum(len(k.strip()) for k in n.kids if isinstance(k, str))
         text, links = own, own if n.link else 0

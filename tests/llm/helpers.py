@@ -11,6 +11,9 @@ def words(text):
     return SPACE.findall(text or "")
 
 
+EXTRA = ("x", 7, "y", 9, "z", "b")
+
+
 def odd_documents(n=60, seed=1):
     """Nulls in every column, empty and blank and long texts, ties, repeated rows, clashing extra columns."""
     r = random.Random(seed)
@@ -22,7 +25,7 @@ def odd_documents(n=60, seed=1):
             lines.insert(0, "Share this page with friends")
         rows.append((k, "\n".join(lines), "en", f"s{k % 3}", 1))
     rows += [(None, None, None, None, None), (100, "", "en", None, 0), (101, " \t\n ", None, "s1", 0), (102, "one", "en", "s1", 3), (102, "one", "en", "s1", 3), (103, rows[5][1], "fr", "s2", 1), (104, "word " * 6000, "en", "s0", 1), (None, rows[7][1], "en", "s0", 1)]
-    return [(*row, "x", 7, "y", 9, "z", "b") for row in rows]
+    return [(*row, *EXTRA) for row in rows]
 
 
 def frame(spark, rows=None, schema=DOCS):

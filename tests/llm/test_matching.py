@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from helpers import empty, frame, odd_documents, words
+from helpers import EXTRA, empty, frame, odd_documents, words
 
 from placeforge.llm import chunks, neardup, urls, wrapper
 
@@ -92,7 +92,7 @@ def passage_documents():
     r = random.Random(9)
     vocabulary = [f"{a}{b}{c}" for a in "bdfgk" for b in "aeiou" for c in ("n", "r", "st", "", "lé")]
     say = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
-    extra = odd_documents(1)[0][5:]
+    extra = EXTRA
     passages = [say(60) for _ in range(12)]
     rows = [(k, f"{say(r.randint(5, 300))} {passages[k % 12]} {say(r.randint(5, 300))}", "en", "s", 1, *extra) for k in range(48)]
     rows += [(100 + k, say(200), "en", "s", 1, *extra) for k in range(40)]
