@@ -41,7 +41,9 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, "^(?s:.*?)://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """What follows the host up to ? # or the end. Cut at the first :// before, as a later one may stand in a query."""
+    rest = F.regexp_extract(url, r"^(?s:.*?)://((?s:.*))\z", 1)
+    return F.coalesce(F.regexp_extract(rest, "^[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def reversed_host(host: Column) -> Column:
