@@ -22,10 +22,10 @@ from ._common import NOT_SPACE, fresh, let, materialize, small_side, words_of
 BUCKETS = 1 << 14
 #: Orders of the n-grams. Hashed pairs of these corpora fill every bucket evenly and so carry no signal (README).
 ORDERS = (1,)
-#: Added to each bucket's count.
-SMOOTHING = 1.0
+#: Added to each bucket's count in the raw corpus, and to its count in the target brought to the same size.
+SMOOTHING = 10.0
 #: A document is kept from this mean log ratio on.
-THRESHOLD = -0.1
+THRESHOLD = -0.2
 #: Weights are integers: log ratios times this.
 SCALE = 1 << 20
 
@@ -75,8 +75,8 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     full = all_buckets.join(counts, "_b", "left")
     # one group of exactly ``buckets`` rows
     row = full.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("b"), F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
-    share = lambda k, n: (k + F.lit(smoothing)) / (n + F.lit(smoothing * buckets))
-    weight = lambda x: F.round(F.log(share(x["target"], F.col("n_target")) / share(x["raw"], F.col("n_raw"))) * SCALE).cast("long")
+    # smoothing is in proportion to the two sizes, so that equal shares have the log ratio 0 however small the corpus is
+    weight = lambda x: F.round(F.log((x["target"] * (F.col("n_raw") / F.col("n_target")) + F.lit(smoothing)) / (x["raw"] + F.lit(smoothing))) * SCALE).cast("long")
     weights = F.when(F.coalesce("n_target", F.lit(0)) > 0, F.transform("c", weight)).otherwise(F.array_repeat(F.lit(0).cast("long"), buckets))
     return materialize(row.select(weights.alias("weights")), "llr-weights")
 
