@@ -127,7 +127,7 @@ def ranges_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False).view(U), offsets[:-1], offsets[1:]
 
 
-def slices(column: pa.Array, most: int = 2_000_000) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, most: int = 400_000) -> Iterator[tuple[int, int]]:
     """Row ranges of a list column with about ``most`` values each, for bounded memory."""
     offsets = column.offsets.to_numpy()
     at = 0
