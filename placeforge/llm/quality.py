@@ -4,6 +4,9 @@ Method. Word n-grams are hashed into a fixed number of buckets. Over all documen
 the trusted target (documents labelled good and not toxic) and for the whole raw corpus. With additive smoothing the
 two counts make two multinomials; a document's score is the mean over its n-grams of the log ratio of the two. Every
 document is held against one fixed threshold. Weights are fixed-point integers, so a sum does not depend on its order.
+``fit`` counts every row. ``fit_once``, which the query and the pipeline use, counts copies as one text: equal texts share
+the weight 1 (trusted if any of them is), and so do near copies, which are texts with two equal of MINS min-hashes over
+windows of three words. A text takes the largest of its groups. So a clean text does not lose by its own copies.
 DataFrame functions only: the weights are one array (``buckets`` numbers, a bound that no input moves) in a scalar
 subquery, and no row leaves the JVM.
 
@@ -28,6 +31,10 @@ SMOOTHING = 10.0
 THRESHOLD = -0.2
 #: Weights are integers: log ratios times this.
 SCALE = 1 << 20
+#: Numbers that turn a window's hash into the hashes whose least values are compared to find near copies.
+MINS = tuple((6364136223846793005 * k + 1442695040888963407) % (1 << 62) for k in (3, 10, 41, 172, 693, 2784))
+#: The weight of one text, shared by its copies.
+UNIT = 1 << 30
 
 
 def ngrams(hashes: Column, n: Column, order: int) -> Column:
@@ -60,27 +67,69 @@ def repeated_words(windows: Column) -> Column:
     return F.when(F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0)).otherwise(covered).cast("long")
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS, smoothing: float = SMOOTHING) -> DataFrame:
-    """One row with ``weights``, an array of ``buckets`` integers: SCALE times ln(target share / raw share)."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
     trusted = labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0) & F.col("doc_id").isNotNull())
-    trusted = materialize(trusted.select(F.col("doc_id").alias("_trusted_id")).distinct(), "trusted")
-    trusted, _ = small_side(trusted)
-    words = docs.select(F.col(doc_id).alias("_id"), words_of(F.col(text)).alias("_words")).select("_id", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-    marked = words.join(trusted, F.col("_id") == F.col("_trusted_id"), "left").select((F.col("_trusted_id").isNotNull()).alias("_target"), "_hashes")
-    hashed = F.concat(*[ngrams(F.col("_hashes"), F.size("_hashes"), k) for k in orders]) if len(orders) > 1 else ngrams(F.col("_hashes"), F.size("_hashes"), orders[0])
-    grams = marked.select("_target", F.explode(hashed).alias("_g")).select("_target", F.pmod("_g", F.lit(buckets)).cast("int").alias("_b"))
-    counts = grams.groupBy("_b").agg(F.count(F.lit(1)).alias("raw"), F.count_if("_target").alias("target"))
-    spark = docs.sparkSession
-    all_buckets = spark.range(buckets).select(F.col("id").cast("int").alias("_b"))
+    return small_side(materialize(trusted.select(F.col("doc_id").alias("_trusted_id")).distinct(), "trusted"))[0]
+
+
+def all_grams(hashes: Column, orders: tuple[int, ...]) -> Column:
+    return F.concat(*[ngrams(hashes, F.size(hashes), k) for k in orders]) if len(orders) > 1 else ngrams(hashes, F.size(hashes), orders[0])
+
+
+def log_ratios(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
+    """One row with ``weights`` from ``_b``, ``raw`` and ``target``."""
+    all_buckets = counts.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_b"))
     full = all_buckets.join(counts, "_b", "left")
     # one group of exactly ``buckets`` rows
-    row = full.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("b"), F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("target").alias("n_target"))
+    row = full.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("b"), F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")))).alias("c"))
+    total = lambda k: F.aggregate("c", F.lit(0.0), lambda acc, x: acc + x[k])
+    row = row.select("c", total("raw").alias("n_raw"), total("target").alias("n_target"))
     # smoothing is in proportion to the two sizes, so that equal shares have the log ratio 0 however small the corpus is
     weight = lambda x: F.round(F.log((x["target"] * (F.col("n_raw") / F.col("n_target")) + F.lit(smoothing)) / (x["raw"] + F.lit(smoothing))) * SCALE).cast("long")
-    weights = F.when(F.coalesce("n_target", F.lit(0)) > 0, F.transform("c", weight)).otherwise(F.array_repeat(F.lit(0).cast("long"), buckets))
+    weights = F.when(F.col("n_target") > 0, F.transform("c", weight)).otherwise(F.array_repeat(F.lit(0).cast("long"), buckets))
     return materialize(row.select(weights.alias("weights")), "llr-weights")
 
 
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS, smoothing: float = SMOOTHING) -> DataFrame:
+    """One row with ``weights``, an array of ``buckets`` integers: SCALE times ln(target share / raw share). Counts every row."""
+    words = docs.select(F.col(doc_id).alias("_id"), words_of(F.col(text)).alias("_words")).select("_id", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    marked = words.join(trusted_ids(labels), F.col("_id") == F.col("_trusted_id"), "left").select((F.col("_trusted_id").isNotNull()).alias("_target"), "_hashes")
+    grams = marked.select("_target", F.explode(all_grams(F.col("_hashes"), orders)).alias("_g")).select("_target", F.pmod("_g", F.lit(buckets)).cast("int").alias("_b"))
+    return log_ratios(grams.groupBy("_b").agg(F.count(F.lit(1)).alias("raw"), F.count_if("_target").alias("target")), buckets, smoothing)
+
+
+def copy_weights(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``_digest``, ``_raw`` and ``_target``: the weights of each row of a text that is trusted or has copies, in 1 / UNIT."""
+    least = [f"_m{k}" for k in range(len(MINS))]
+    rows = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_digest"), words_of(F.col(text)).alias("_words"))
+    rows = rows.select("_id", "_digest", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    rows = rows.select("_id", "_digest", ngrams(F.col("_hashes"), F.size("_hashes"), 3).alias("_windows"))
+    # a text of under three words has no window and is a near copy of none
+    rows = rows.select("_id", "_digest", *[F.coalesce(F.array_min(F.transform("_windows", lambda w: w.bitwiseXOR(F.lit(x)))), "_digest").alias(m) for m, x in zip(least, MINS, strict=True)])  # noqa: B023
+    rows = rows.join(trusted_ids(labels), F.col("_id") == F.col("_trusted_id"), "left")
+    texts = rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("_rows"), F.max(F.col("_trusted_id").isNotNull()).alias("_good"), *[F.min(m).alias(m) for m in least])
+    texts = materialize(texts, "quality-texts")
+    pairs = F.array(*[F.xxhash64(F.lit(i), F.lit(j), least[i], least[j]) for j in range(len(MINS)) for i in range(j)])
+    keys = texts.select("_digest", "_good", F.explode(pairs).alias("_key"))
+    groups = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), F.count_if("_good").alias("_n_good")).where("_n > 1")
+    groups, _ = small_side(materialize(groups, "quality-copies"))
+    sizes = keys.select("_digest", "_key").join(groups, "_key").groupBy("_digest").agg(F.max("_n").alias("_n"), F.max("_n_good").alias("_n_good"))
+    weight = lambda n: F.greatest(F.lit(1).cast("long"), F.round(F.lit(float(UNIT)) / F.col("_rows") / F.coalesce(n, F.lit(1))).cast("long"))
+    out = texts.join(sizes, "_digest", "left").where((F.col("_rows") > 1) | F.col("_good") | F.col("_n").isNotNull())
+    return materialize(out.select("_digest", weight(F.col("_n")).alias("_raw"), F.when(F.col("_good"), weight(F.col("_n_good"))).otherwise(F.lit(0).cast("long")).alias("_target")), "quality-weights")
+
+
+def fit_once(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS, smoothing: float = SMOOTHING) -> DataFrame:
+    """Like ``fit``, but the copies and near copies of a text count as one text."""
+    side, _ = small_side(copy_weights(docs, labels, text, doc_id))
+    rows = docs.select(F.xxhash64(F.col(text)).alias("_of"), F.col(text).alias("_text")).join(side, F.col("_of") == F.col("_digest"), "left")
+    rows = rows.select(F.coalesce("_raw", F.lit(UNIT).cast("long")).alias("_raw"), F.coalesce("_target", F.lit(0).cast("long")).alias("_target"), words_of(F.col("_text")).alias("_words"))
+    rows = rows.select("_raw", "_target", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    grams = rows.select("_raw", "_target", F.explode(all_grams(F.col("_hashes"), orders)).alias("_g")).select("_raw", "_target", F.pmod("_g", F.lit(buckets)).cast("int").alias("_b"))
+    counts = grams.groupBy("_b").agg((F.sum("_raw") / F.lit(float(UNIT))).alias("raw"), (F.sum("_target") / F.lit(float(UNIT))).alias("target"))
+    return log_ratios(counts, buckets, smoothing)
+
+
 def judge(docs: DataFrame, model: DataFrame, text: str = "text", buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, llr_score and kept.
 
@@ -111,4 +160,4 @@ def judge(docs: DataFrame, model: DataFrame, text: str = "text", buckets: int =
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
     inner = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("_row"), F.col("text").alias("text"))
-    return judge(inner, fit(docs, labels)).where("kept").select("_row.*")
+    return judge(inner, fit_once(docs, labels)).where("kept").select("_row.*")

@@ -49,7 +49,7 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    judged = quality.judge(docs, quality.fit_once(docs, table(spark, sf_dir, "labels")))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr_score")
 
 
