@@ -2,8 +2,10 @@
 
 Method. A source with a share t of the target and n rows gets the mean repetition rate t * total / n. Each row draws
 its number of copies from a Poisson distribution with that mean: a uniform number hashed from the seed and the row's
-key is inverted in the distribution function, so the draw is the same on every run and machine. Rows are exploded by
-their counts and shuffled globally: dealt to partitions by a hash of seed, key and copy, and sorted by it there.
+key is inverted in the distribution function, so the draw is the same on every run and machine. A mean over LARGEST, where
+the inversion leaves the range of doubles, is drawn as the sum of independent draws of equal means up to LARGEST, each
+with its own uniform number; a sum of Poisson draws is Poisson distributed. Rows are exploded by their counts, in two
+steps so that no array is longer than RUN, and shuffled globally: dealt to partitions by a hash of seed, key and copy, and sorted by it there.
 Target shares are given, or else proportional to n ** EXPONENT, which raises rare sources and lowers frequent ones.
 
 Scale. One aggregation by source; its table (a row a source, with the distribution function as an array) is broadcast
@@ -19,13 +21,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_ROWS, fresh, materialize, small_side, unit_interval
+from ._common import BROADCAST_ROWS, fresh, let, materialize, small_side, unit_interval
 
 SEED = 17
 #: Default target share of a source: rows ** EXPONENT.
 EXPONENT = 0.5
 #: Sources beyond which rows are joined to them by a salted shuffle.
 SALTS = 64
+#: Largest mean of one draw.
+LARGEST = 600
+#: Copies made by one array.
+RUN = 1 << 16
 
 
 def poisson_steps(mean: Column) -> Column:
@@ -41,7 +47,7 @@ def poisson_steps(mean: Column) -> Column:
 
 
 def rates(docs: DataFrame, source: str = "source", weights: dict | None = None, exponent: float = EXPONENT) -> DataFrame:
-    """A row a source: ``source``, ``rows``, ``mean``, ``cdf``."""
+    """A row a source: ``source``, ``rows``, ``mean``, the number of ``draws`` a row and the distribution function ``cdf`` of one."""
     n = docs.groupBy(F.col(source).alias("source")).agg(F.count(F.lit(1)).alias("rows"))
     if weights is None:
         target = F.pow(F.col("rows").cast("double"), F.lit(exponent))
@@ -52,19 +58,16 @@ def rates(docs: DataFrame, source: str = "source", weights: dict | None = None,
     n = materialize(n.withColumn("target", target), "mix-sources")
     total = n.agg(F.sum("rows").alias("all_rows"), F.sum("target").alias("all_target")).first()
     mean = F.col("target") / F.lit(float(total.all_target or 1.0)) * F.lit(float(total.all_rows or 0)) / F.col("rows")
-    return n.select("source", "rows", mean.alias("mean")).withColumn("cdf", F.when(F.col("mean") > 600, F.lit(None)).otherwise(poisson_steps(F.col("mean"))))
+    n = n.select("source", "rows", mean.alias("mean")).withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("mean") / LARGEST).cast("int")))
+    return n.withColumn("cdf", poisson_steps(F.col("mean") / F.col("draws")))
 
 
 def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", weights: dict | None = None, exponent: float = EXPONENT, seed: int = SEED) -> DataFrame:
-    """``docs`` replicated and shuffled, with ``copy`` (from 0) and ``mean_rate``; columns of these names are replaced.
-
-    A mean over 600 is beyond the inversion in doubles and raises an error.
-    """
+    """``docs`` replicated and shuffled, with ``copy`` (from 0) and ``mean_rate``; columns of these names are replaced."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("copy", "mean_rate") and c not in (source, doc_id, text)])
-    s, cdf, u, order, salt, theirs = fresh(docs, "_source", "_cdf", "_u", "_order", "_salt", "_salted")
+    s, cdf, draws, n, run, order, salt, theirs = fresh(docs, "_source", "_cdf", "_draws", "_n", "_run", "_order", "_salt", "_salted")
     table = rates(docs, source, weights, exponent)
-    checked = F.when(F.col("cdf").isNull(), F.raise_error(F.lit("a mean repetition rate over 600"))).otherwise(F.col("cdf"))
-    table = materialize(table.select(F.col("source").alias(s), F.col("mean").alias("mean_rate"), checked.alias(cdf)), "mix-rates")
+    table = materialize(table.select(F.col("source").alias(s), F.col("mean").alias("mean_rate"), F.col("draws").alias(draws), F.col("cdf").alias(cdf)), "mix-rates")
     side, fits = small_side(table, BROADCAST_ROWS // 50)
     same = F.col(source).eqNullSafe(F.col(s))
     key = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
@@ -73,10 +76,15 @@ def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: s
     else:
         side = side.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         out = docs.withColumn(theirs, F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(SALTS)).cast("int")).join(side, same & (F.col(theirs) == F.col(salt))).drop(salt, theirs)
-    out = out.withColumn(u, unit_interval(F.lit(seed), F.col(doc_id), key))
-    copies = F.size(F.filter(cdf, lambda p: p <= F.col(u)))
-    out = out.withColumn("copy", F.explode(F.when(copies > 0, F.sequence(F.lit(0), copies - 1)).otherwise(F.array().cast("array<int>"))))
-    out = out.drop(s, cdf, u).withColumn(order, F.xxhash64(F.lit(seed), F.col(doc_id), key, F.col("copy")))
+    below = lambda u: F.size(F.filter(cdf, lambda p: p <= u)).cast("long")
+    first = let(unit_interval(F.lit(seed), F.col(doc_id), key), below)
+    others = F.transform(F.sequence(F.lit(2), F.col(draws)), lambda k: let(unit_interval(F.lit(seed), F.col(doc_id), key, k), below))
+    out = out.withColumn(n, F.when(F.col(draws) == 1, first).otherwise(F.aggregate(others, first, lambda acc, x: acc + x)))
+    runs = F.floor((F.col(n) - 1) / RUN).cast("int")
+    out = out.where(F.col(n) > 0).withColumn(run, F.explode(F.sequence(F.lit(0), runs)))
+    start = F.col(run).cast("long") * RUN
+    out = out.withColumn("copy", F.explode(F.sequence(start, F.least(F.col(n), start + RUN) - 1))).withColumn("copy", F.col("copy").cast("int"))
+    out = out.drop(s, cdf, draws, n, run).withColumn(order, F.xxhash64(F.lit(seed), F.col(doc_id), key, F.col("copy")))
     return out.repartition(F.col(order)).sortWithinPartitions(order).drop(order)
 
 
