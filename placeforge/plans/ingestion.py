@@ -367,7 +367,7 @@ def ing13_search_queries(spark, d):
 
 @query(None)
 def ing14_resolution_score(spark, d):
-    c = base(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 200).alias("title"), F.lit("travel").alias("description"), F.when(C("turn") % 3 == 0, "Music").otherwise("Travel").alias("category"), (C("conv_id") % 25).alias("k"))
+    c = base(spark, d, "conversations").select("conv_id", "turn", C("text").alias("title"), F.lit("travel").alias("description"), F.when(C("turn") % 3 == 0, "Music").otherwise("Travel").alias("category"), (C("conv_id") % 25).alias("k"))
     p = base(spark, d, "nation").select(C("n_nationkey").alias("k"), F.when(C("n_nationkey") % 2 == 0, "the").otherwise("que la").alias("place_name"), C("n_name").alias("province_name"), F.lit("ha|in").alias("aliases"), F.lit("travel").alias("query_context"), F.lit("the|de").alias("context_keywords"), F.lit("museum|travel").alias("category_terms"), F.lit("idiot").alias("negative_keywords"))
     return match.resolve(c.join(p, "k")).select("conv_id", "turn", "resolution_score", "resolution_status", "resolution_reason")
 
