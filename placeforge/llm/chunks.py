@@ -2,7 +2,9 @@
 
 Method. A gear rolling hash over the text's UTF-8 bytes cuts where its low 16 bits, which see the last 16 bytes only, are
 small; a cut with another candidate in the LEAST bytes before it is skipped. Both rules are local, so inserting text
-moves no cut but those beside it. Gaps over MOST bytes are cut evenly. Chunks are compared by digest: the document with
+moves no cut but those beside it. Where no cut is within NEAR bytes on either side, the places with the least hash of
+the NEAR bytes on either side are cuts too, by content again; ties (text with a period) all count, at LEAST bytes from
+each other. Chunks are compared by digest: the document with
 the least doc_id that has a chunk keeps it, everywhere else it is a repeat. Runs of adjoining repeats with WORDS words
 or more are repeated passages (a passage loses some words at its ends, where chunks straddle them).
 
@@ -25,8 +27,9 @@ from pyspark.sql import functions as F
 
 from ._common import fresh, materialize
 
-#: One position in EVERY is a candidate to cut; least and most bytes of a chunk; words of a passage.
-EVERY, LEAST, MOST = 20, 8, 256
+#: One position in EVERY is a candidate to cut; least bytes of a chunk; bytes that chunks of such text as ``a`` repeated
+#: do not pass; bytes on either side that a cut by the least hash sees; words of a passage.
+EVERY, LEAST, MOST, NEAR = 20, 8, 256, 32
 WORDS = 25
 NONE = (1 << 63) - 1
 
@@ -53,20 +56,42 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def least_around(h: np.ndarray) -> np.ndarray:
+    """The least hash of the NEAR bytes on either side of each byte."""
+    low = np.concatenate([np.full(NEAR, 65535, np.uint16), h, np.full(NEAR, 65535, np.uint16)])
+    span = 1
+    while 2 * span <= 2 * NEAR + 1:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    rest = 2 * NEAR + 1 - span
+    return np.minimum(low[: len(low) - rest], low[rest:])
+
+
 def cuts(data: np.ndarray) -> np.ndarray:
     """Where chunks of one text end, the last at its end."""
     n = len(data)
     if not n:
         return np.zeros(0, np.int64)
-    spots = np.flatnonzero(gear(data) < np.uint16(65536 // EVERY)) + 1
+    h = gear(data)
+    spots = np.flatnonzero(h < np.uint16(65536 // EVERY)) + 1
     spots = spots[(spots >= 16) & (spots < n)]
     spots = spots[np.diff(spots, prepend=-LEAST - 1) > LEAST] if len(spots) else spots
-    ends = np.append(spots, n)
-    starts = np.append(0, spots)
-    wide = np.flatnonzero(ends - starts > MOST)
-    if len(wide):
-        ends = np.unique(np.concatenate([ends, *(np.arange(starts[k] + MOST, ends[k], MOST) for k in wide)]))
-    return ends
+    edges = np.concatenate([[-NEAR], spots, [n + NEAR]])
+    if np.diff(edges).max() > 2 * NEAR:
+        low = np.flatnonzero(h == least_around(h)) + 1
+        low = low[(low >= 16) & (low < n)]
+        after = np.searchsorted(edges, low)
+        low = low[(edges[after] - low > NEAR) & (low - edges[after - 1] > NEAR)]
+        if len(low) > 1 and np.diff(low).min() <= LEAST:
+            # in a text with a period, each choice of every k-th tie gives equal chunks
+            taken, last = [], -LEAST - 1
+            for k in low.tolist():
+                if k - last > LEAST:
+                    taken.append(k)
+                    last = k
+            low = np.array(taken, np.int64)
+        spots = np.union1d(spots, low)
+    return np.append(spots, n)
 
 
 def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
