@@ -3,8 +3,8 @@
 Method. Pages of one host are grouped in blocks of about BLOCK pages. In a block every page's DOM tree is aligned with a
 pivot page's by simple tree matching (the most pairs of equal labels that keep order and ancestors). Aligned nodes whose
 text is the same on most pages are template; nodes whose text varies, and nodes without partner, are slots. A page's
-content root is its article or main element, or else the deepest node that holds most of the text in slots outside
-menus and other page furniture, which names (tags, roles, classes, ids) and link density tell. Below the root the
+content root is the lowest node that holds all its article and main elements, or without such elements all of the text
+in slots outside menus and other page furniture, which names (tags, roles, classes, ids) and link density tell. Below the root the
 template and furniture are left out and the rest is the text: white space in a block becomes one blank, blocks are
 joined by two newlines. If the template would take most of the root (pages that are copies), it is not used there.
 
@@ -277,20 +277,36 @@ def content_root(tree: Node) -> Node:
         if n.tag in ("article", "main"):
             named.append(n)
         stack += reversed(elements(n))
-    articles = [n for n in named if n.tag == "article"] or named
-    if articles and (best := max(articles, key=prose)) and weights[id(best)][0] > 0:
-        return best
+    named = [n for n in named if weights[id(n)][0] > 0]
+    if named:
+        return common(named)
     root = tree
     while True:
         inner = [k for k in elements(root) if id(k) in weights and k.tag in BLOCKS]
-        best = max(inner, key=prose, default=None)
-        if best is None or best.tag in ("p", "li", "pre", "blockquote", "table", "ul", "ol") or prose(best) < 0.7 * max(1, prose(root)):
+        held = [k for k in inner if prose(k) > 0]
+        beside = prose(root) - sum(map(prose, inner))
+        if len(held) != 1 or beside > 0 or held[0].tag in ("p", "li", "pre", "blockquote", "table", "ul", "ol"):
             return root
-        root = best
+        root = held[0]
+
+
+def common(nodes: list[Node]) -> Node:
+    """The lowest node that holds all of these."""
+    path, shared = [], None
+    for n in nodes:
+        up, seek = [], n
+        while seek is not None:
+            up.append(seek)
+            seek = seek.up
+        if shared is None:
+            path, shared = up, {id(k) for k in up}
+        else:
+            shared &= {id(k) for k in up}
+    return next(k for k in path if id(k) in shared)
 
 
 def blocks_of(root: Node, by_template: bool, density: bool) -> list[str]:
-    """The text blocks below a root in page order. density: leave out blocks that are mostly links."""
+    """The text blocks below a root in page order. density: leave out blocks that are mostly links, but for those of articles."""
     blocks: list[str] = []
     parts: list[str] = []
     links = [0]
@@ -303,10 +319,10 @@ def blocks_of(root: Node, by_template: bool, density: bool) -> list[str]:
         links[0] = 0
 
     # an explicit stack of (node, next child), since pages may nest deeply
-    stack = [[root, 0, False]]
+    stack = [[root, 0, False, root.tag == "article"]]
     while stack:
         frame = stack[-1]
-        node, k, link = frame
+        node, k, link, article = frame
         if k == len(node.kids):
             stack.pop()
             if node.tag in BLOCKS:
@@ -317,13 +333,13 @@ def blocks_of(root: Node, by_template: bool, density: bool) -> list[str]:
         if isinstance(kid, str):
             if not (by_template and node.template):
                 parts.append(kid)
-                links[0] += len(kid.strip()) if link else 0
+                links[0] += len(kid.strip()) if link and not article else 0
         elif kid.tag == "br":
             parts.append(" ")
         elif not kid.noise and kid.tag not in RAW:
             if kid.tag in BLOCKS:
                 flush()
-            stack.append([kid, 0, link or kid.tag == "a"])
+            stack.append([kid, 0, link or kid.tag == "a", article or kid.tag == "article"])
     flush()
     return blocks
 
