@@ -16,7 +16,8 @@ Empty tables give an empty result. Texts are never cut before tokenizing.
 
 from __future__ import annotations
 
-import base64
+import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -33,8 +34,13 @@ from ._common import materialize
 MAX_TOKENS = 2048
 CLOSING_ID = 0
 SALTS = 256
-#: The vocabulary; its ids are those of the tokenizers file byte_bpe_50k.json (tests hold them against each other).
-VOCABULARY = "byte_bpe_50k.tiktoken"
+#: The vocabulary, a file of the tokenizers library.
+VOCABULARY = "byte_bpe_50k.json"
+#: Where a text can be cut without a change of its ids: before a blank between two characters that are no white space.
+#: The pre-tokenizer of the vocabulary has blanks only at the start of a piece, but for runs of white space.
+UNITS = re.compile(r"(?<=[!-~\u00c0-\u024f])(?= [!-~\u00c0-\u024f])")
+#: Units whose ids a worker keeps, and the characters of the longest of them; characters that are coded at once.
+KNOWN, LONGEST, AT_ONCE = 1_000_000, 64, 1_000_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -45,13 +51,45 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """One encoder a Python worker."""
-    import public_tokenizers
-    import tiktoken
+    """One encoder a Python worker: from texts to their ids as little-endian bytes.
 
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("pack", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    All ids come from the tokenizers file as it is, special tokens included; units seen before are looked up.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+
+    exact, known = Tokenizer.from_file(path), {}
+
+    def encode(texts: list[str]) -> list[bytes]:
+        units = [UNITS.split(x) for x in texts]
+        new = {u for one in units for u in one if u not in known}
+        if len(known) + len(new) > KNOWN:
+            known.clear()
+            new = {u for one in units for u in one}
+        order = list(new)
+        for u, e in zip(order, exact.encode_batch_fast(order, add_special_tokens=False), strict=True):
+            known[u] = np.array(e.ids, "<u4").tobytes()
+        out = [b"".join(map(known.__getitem__, one)) for one in units]
+        for u in order:
+            if len(u) > LONGEST:
+                del known[u]
+        return out
+
+    return encode
+
+
+def coded(texts: pa.Array, encode) -> Iterator[tuple[int, np.ndarray]]:
+    """Number of the row and ids of each text, AT_ONCE characters or one text at a time."""
+    held, rows, size = [], [], 0
+    for k in range(len(texts) + 1):
+        if k == len(texts) or size > AT_ONCE:
+            for row, ids in zip(rows, encode(held), strict=True):
+                yield row, np.append(np.frombuffer(ids, "<u4"), np.array([CLOSING_ID], "<u4"))
+            held, rows, size = [], [], 0
+        if k < len(texts):
+            held.append(texts[k].as_py() or "")
+            rows.append(k)
+            size += len(held[-1])
 
 
 def cut(n: int, most: int) -> list[tuple[int, int]]:
@@ -64,14 +102,14 @@ def token_pieces(docs: DataFrame, doc_id: str, text: str, most: int, path: str |
     """doc_id, piece, start, length, ids_crc32 and, if asked for, ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path or vocabulary_path()).encode_ordinary
+        encode = encoder(path or vocabulary_path())
         for batch in batches:
             out: list[list] = [[], [], [], [], [], []]
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array([*encode(value.as_py() or ""), CLOSING_ID], dtype="<u4")
+            keys = batch.column(0).to_pylist()
+            for row, ids in coded(batch.column(1), encode):
                 for k, (at, n) in enumerate(cut(len(ids), most)):
                     piece = ids[at : at + n]
-                    for column, x in zip(out, (key, k, at, n, zlib.crc32(piece.tobytes()), piece.tolist() if keep_ids else None), strict=True):
+                    for column, x in zip(out, (keys[row], k, at, n, zlib.crc32(piece.tobytes()), piece.tolist() if keep_ids else None), strict=True):
                         column.append(x)
             kinds = (batch.schema.types[0], pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out[: 6 if keep_ids else 5], kinds, strict=False)], ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if keep_ids else 5])

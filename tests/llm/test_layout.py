@@ -16,8 +16,9 @@ def test_packing_is_gapless_and_reads_back(spark):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
-    exact.encode_special_tokens = True
-    rows = [*odd_documents(), (105, "<|endoftext|> it's naïve  1234   \n\n", "en", "s", 1, "x", 7, "y", 9, "z", "b")]
+    extra = ("en", "s", 1, "x", 7, "y", 9, "z", "b")
+    odd = ["<|endoftext|> a", "a<|endoftext|>b  <|endoftext|>", " <|endoftext|>\n", "a  b   c \t d\n\n e", "x\u00a0y z\u2003w \u200b v\x85 u\u180e t", "it's we'll 'd x'", "日本 語 한국 \U0001f600 \U0001f600é", "é à É", "n" * 200_000, " ".join(map(str, range(9000)))]
+    rows = [*odd_documents(), *[(110 + k, t, *extra) for k, t in enumerate(odd)], (105, "<|endoftext|> it's naïve  1234   \n\n", "en", "s", 1, "x", 7, "y", 9, "z", "b")]
     packed = packing.pack(frame(spark, rows), keep_ids=True)
     found = packed.collect()
     by_sequence, by_doc = defaultdict(list), defaultdict(list)
