@@ -10,15 +10,20 @@ a band are candidates; candidates are verified on their multisets, exactly but f
 
 Classes are the connected components of verified links of THRESHOLD or more. Equal word sequences are one node from the
 start, so copies cost one row each. In each bucket all members are first compared with one centre, the member whose
-buckets are the largest; what that links is merged. Members of a bucket that are then still in different classes are
-compared pair by pair, but for those that their distances to the centre rule out: the weighted Jaccard distance is a
-metric, so two members whose distances to the centre differ by more than 1 - THRESHOLD are farther apart than that; and
-but for those whose signatures agree in so few of SKETCH slots that a similarity of THRESHOLD is five standard
-deviations off. Pairs inside a class are never made.
+buckets are the largest; what that links is merged. The members of a centre that are then still in different classes
+are not compared pair by pair. Each is written as its difference from the kernel, the shingles that most of the centre's
+members have. Of two members x and y the overlap follows from the sizes of their differences and the number of shingles
+that the two differences share; for a similarity of THRESHOLD that number must be g(x) + g(y) at least, g being a number
+of each member alone (``differences``). Where the sum is 0 or less, the two are linked, and so is each of them to the
+member with the least g: one link a member says as much as all pairs. Else the two share a shingle of their
+differences, and one among the rarest of them (a prefix as long as g allows); those pairs are joined on that shingle
+and compared. Members that differ from the kernel by edits of their own, however many, share none and meet nobody.
+No step loses a link between members of a bucket.
 
 Scale. Texts are read twice and never shuffled in full: signatures are made where the text is, and multisets only of
-nodes that have candidates. Hot buckets cost a row a member. Labels are merged by contracting the graph of links;
-every step is written to the shared folder, and nothing is collected but counts.
+nodes that have candidates. Hot buckets cost a row a member, and a row a shingle where they are of several classes.
+Labels are merged by contracting the graph of links; every step is written to the shared folder, and nothing is
+collected but counts.
 
 Cases. Null texts and texts without words are one class. A null doc_id takes part; class_id is the least doc_id of the
 class, null only if it has none. Repeated rows are one class. Nodes are 64-bit hashes of the word sequence.
@@ -39,8 +44,9 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 40, 8
 SIZE = BANDS * ROWS
-#: Slots kept as a sketch, and of them the least that two texts of THRESHOLD share, by five standard deviations.
-SKETCH = 192
+#: Members of a centre that one copy of its kernel serves, in the join of the two; slack of comparisons of fractions.
+PER_KERNEL = 5_000
+SLACK = 1e-6
 
 U = np.uint64
 
@@ -147,10 +153,8 @@ def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands = band_hashes(signature)
             total = np.bincount(doc, weight, b - a).astype(np.int64)
             lists = pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * BANDS, pa.array(bands.reshape(-1)))
-            tagged = ((signature[:, :SKETCH] >> U(20)) & U(0xFFFFFF)) | (np.arange(SKETCH, dtype=U) << U(24))
-            sketches = pa.ListArray.from_arrays(np.arange(b - a + 1, dtype=np.int32) * SKETCH, pa.array(tagged.astype(np.uint32).view(np.int32).reshape(-1)))
             rest = batch.slice(a, b - a)
-            yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in ("doc_id", "row", "node")), pa.array(total), lists, sketches], ["doc_id", "row", "node", "weight", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([*(rest.column(c) for c in ("doc_id", "row", "node")), pa.array(total), lists], ["doc_id", "row", "node", "weight", "bands"])
 
 
 def multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,40 +218,91 @@ def distances(pairs: DataFrame, bags_: DataFrame) -> DataFrame:
     return both.select("a", "b", (F.lit(1.0) - common / (F.size("bag_a") + F.size("bag_b") - common)).alias("d"))
 
 
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def several(members: DataFrame) -> DataFrame:
+    """Of each centre with members of several labels: the number of members, the least ``g`` with its label, the least ``g`` of the other labels."""
+    low = members.groupBy("centre").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("g", "label", "node")).alias("low"))
+    low = materialize(low, "least")
+    other = members.join(low, "centre").where(F.col("label") != F.col("low.label")).groupBy("centre").agg(F.min("g").alias("other_g"))
+    return materialize(low.join(other, "centre"), "several")
+
+
+def differences(members: DataFrame, bags_: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """centre, node, label, g and diff of the members (centre, node, label) of centres with several labels; and the shared shingles.
+
+    With t = threshold / (1 + threshold), a kernel of k shingles, and a member that lacks r of them and has a others:
+    g = (1 - t) r + t a - (1 - 2 t) k / 2. Two members have the similarity ``threshold`` if and only if their diffs, the
+    shingles lacked or added, share g + g' shingles or more.
+    """
+    t = threshold / (1 + threshold)
+    mixed = materialize(several(members.withColumn("g", F.lit(0.0))).select("centre", "m"), "mixed")
+    members = materialize(members.join(mixed, "centre").join(bags_, "node"), "apart")
+    counts = members.select("centre", "m", F.explode("bag").alias("shingle")).groupBy("centre", "shingle").agg(F.count(F.lit(1)).alias("n"), F.first("m").alias("m")).where("n > 1")
+    counts = materialize(counts, "apart-shingles")
+    kernels = counts.where("2 * n > m").groupBy("centre").agg(F.collect_list("shingle").alias("kernel"), F.first("m").alias("m"))  # at most twice a mean bag
+    copies = lambda m: F.ceil(m / PER_KERNEL).cast("int")
+    kernels = kernels.select("centre", "kernel", F.explode(F.sequence(F.lit(0), copies(F.col("m")) - 1)).alias("salt"))
+    both = members.withColumn("salt", F.pmod(F.hash("node"), copies(F.col("m")))).join(kernels, ["centre", "salt"], "left").withColumn("kernel", F.coalesce("kernel", F.array().cast("array<int>")))
+    added, lacked, k = F.array_except("bag", "kernel"), F.array_except("kernel", "bag"), F.size("kernel")
+    both = both.select("centre", "node", "label", added.alias("added"), lacked.alias("lacked"), k.alias("k"))
+    g = (1 - t) * F.size("lacked") + t * F.size("added") - (1 - 2 * t) / 2 * F.col("k")
+    diffs = both.select("centre", "node", "label", g.alias("g"), F.concat("added", "lacked").alias("diff"))
+    rarity = F.when(2 * F.col("n") > F.col("m"), F.col("m") - F.col("n")).otherwise(F.col("n"))
+    return materialize(diffs, "diffs"), counts.select("centre", "shingle", rarity.alias("rarity")).where("rarity > 1")
+
+
+def open_pairs(diffs: DataFrame, counts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of one centre and two labels that can reach the threshold: all that do are among them."""
+    lows = several(diffs)
+    other = F.when(F.col("label") == F.col("low.label"), F.col("other_g")).otherwise(F.col("low.g"))
+    need = F.greatest(F.lit(1), F.ceil(F.col("g") + other - SLACK).cast("int"))
+    able = diffs.join(lows, "centre").select("centre", "node", "label", "g", need.alias("need"), "diff").where(F.size("diff") >= F.col("need"))
+    spread = able.select("centre", "node", "label", "g", "need", F.explode("diff").alias("shingle")).join(counts, ["centre", "shingle"])
+    rare = spread.groupBy("centre", "node", "label", "g", "need").agg(F.array_sort(F.collect_list(F.struct("rarity", "shingle"))).alias("diff"))
+    rare = rare.where(F.size("diff") >= F.col("need")).withColumn("size", F.size("diff"))
+    prefix = rare.select("centre", "node", "label", "g", "size", F.posexplode(F.slice("diff", F.lit(1), F.col("size") - F.col("need") + 1)).alias("at", "s"))
+    prefix = materialize(prefix.select("centre", "node", "label", "g", F.col("s.shingle").alias("shingle"), (F.col("size") - F.col("at")).alias("rest")), "prefixes")
+    x, y = (prefix.select("centre", "shingle", F.col("node").alias(v), F.col("label").alias("l" + v), F.col("g").alias("g" + v), F.col("rest").alias("r" + v)) for v in "ab")
+    here = (x["centre"] == y["centre"]) & (x["shingle"] == y["shingle"]) & (F.col("la") < F.col("lb")) & (F.col("ga") + F.col("gb") <= F.least("ra", "rb") + SLACK)
+    return materialize(ordered(x.join(y, here)), "open-pairs")
+
+
+def relabel(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """``members`` with ``label``: that of ``labels``, or else the node itself."""
+    return members.drop("label").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, row (a hash of the text) and class_id of every row of ``docs``."""
-    signed = materialize(hashed_words(docs, doc_id, text).mapInArrow(sign, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, row long, node long, weight long, bands array<long>, sketch array<int>"), "signatures")
-    reps = materialize(signed.where("weight > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "nodes")
+    signed = materialize(hashed_words(docs, doc_id, text).mapInArrow(sign, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, row long, node long, weight long, bands array<long>"), "signatures")
+    reps = materialize(signed.where("weight > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("weight").alias("weight"), F.first("bands").alias("bands")), "nodes")
     spread = reps.select("node", "weight", F.explode("bands").alias("bucket"))
     shared = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = materialize(spread.join(shared, "bucket"), "members")
     popular = members.groupBy("node").agg(F.sum("members").alias("popular"))
-    involved = materialize(popular.join(reps.select("node", "doc_id", "sketch"), "node"), "involved")
+    involved = materialize(popular.join(reps.select("node", "doc_id"), "node"), "involved")
     side, _ = small_side(involved.select(F.col("node").alias("n"), F.col("doc_id").alias("d")))
     chosen = hashed_words(docs, doc_id, text).join(side, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
-    bags_ = materialize(chosen.mapInArrow(multisets, "node long, bag array<int>").groupBy("node").agg(F.first("bag").alias("bag")), "bags")
+    bags_ = chosen.mapInArrow(multisets, "node long, bag array<int>").groupBy("node").agg(F.first("bag").alias("bag"))
+    bags_ = materialize(bags_.select("node", F.array_distinct("bag").alias("bag")), "bags")
     far = F.lit(1 - threshold + 1e-9)
-    like = F.least("wa", "wb") >= F.lit(threshold) * F.greatest("wa", "wb")
-    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     # every member against its bucket's centre
     members = members.drop("members").join(involved.select("node", "popular"), "node")
     centre = members.groupBy("bucket").agg(F.max_by(F.struct(F.col("node").alias("centre"), F.col("weight").alias("wb")), F.struct("popular", "node")).alias("c"))
-    members = materialize(members.withColumnRenamed("weight", "wa").join(centre.select("bucket", "c.*"), "bucket"), "members")
-    stars = ordered(members.where((F.col("node") != F.col("centre")) & like).select(F.col("node").alias("a"), F.col("centre").alias("b")))
-    stars = materialize(distances(stars, bags_), "stars")
-    labels = components(stars.where(F.col("d") <= far))
-    # what is still apart in a bucket, but for pairs that the distances to the centre rule out
-    known = stars.withColumnsRenamed({"a": "lo", "b": "hi"})
-    apart = members.join(known, (F.least("node", "centre") == F.col("lo")) & (F.greatest("node", "centre") == F.col("hi")), "left")
-    apart = apart.withColumn("d", F.when(F.col("node") == F.col("centre"), F.lit(0.0)).otherwise(F.col("d"))).join(labels, "node", "left").select("bucket", "node", "wa", F.coalesce("label", "node").alias("label"), "d")
-    mixed = apart.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-    apart = materialize(apart.join(mixed, "bucket").join(involved.select("node", "sketch"), "node"), "apart")
-    agree = F.size(F.array_intersect("sa", "sb")) >= F.lit(SKETCH * threshold - 5 * (SKETCH * threshold * (1 - threshold)) ** 0.5)
-    x, y = (apart.select("bucket", F.col("node").alias(v), F.col("wa").alias("w" + v), F.col("label").alias("l" + v), F.col("d").alias("d" + v), F.col("sketch").alias("s" + v)) for v in "ab")
-    near = F.coalesce(F.abs(F.col("da") - F.col("db")) <= far, F.lit(True))
-    open_pairs = ordered(x.join(y, (x["bucket"] == y["bucket"]) & (F.col("la") < F.col("lb")) & like & near & agree))
-    found = materialize(distances(open_pairs, bags_).where(F.col("d") <= far), "links")
-    labels = components(found, labels)
+    members = materialize(members.join(centre.select("bucket", "c.*"), "bucket").where("node <> centre").select("centre", "node", "weight", "wb").distinct(), "stars")
+    like = F.least("weight", "wb") >= F.lit(threshold) * F.greatest("weight", "wb")
+    stars = distances(ordered(members.where(like).select(F.col("node").alias("a"), F.col("centre").alias("b"))), bags_)
+    labels = components(materialize(stars.where(F.col("d") <= far), "links"))
+    # the members of a centre that are still apart: those near its kernel against the nearest, then those with shared differences
+    diffs, counts = differences(relabel(members.select("centre", "node"), labels), bags_, threshold)
+    near = diffs.join(several(diffs), "centre").where((F.col("g") + F.col("low.g") <= SLACK) & (F.col("label") != F.col("low.label")))
+    found = distances(ordered(near.select(F.col("node").alias("a"), F.col("low.node").alias("b"))), bags_).where(F.col("d") <= far)
+    labels = components(materialize(found, "links"), labels)
+    found = distances(open_pairs(relabel(diffs, labels), counts), bags_).where(F.col("d") <= far)
+    labels = components(materialize(found, "links"), labels)
     rows = signed.select("doc_id", "row", "node")
     rows = rows.join(labels, "node", "left").select("doc_id", "row", F.coalesce("label", "node").alias("node"))
     least = rows.groupBy("node").agg(F.min("doc_id").alias("class_id"))

@@ -63,6 +63,32 @@ def test_classes_match_brute_force(spark):
     assert sorted((r.doc_id, r.class_id) for r in got if r.doc_id is not None) == brute_classes(rows)
 
 
+def just_apart(seed, n=150):
+    """One large group about the threshold: a text, a variant of it, and copies of each with few or many edits, some shared."""
+    r = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    first = [r.choice(vocabulary) for _ in range(150)]
+    bases = [first, first[:120] + [r.choice(vocabulary) for _ in range(30)]]
+    shared = [(r.randrange(150), r.choice(vocabulary)) for _ in range(12)]
+    rows = []
+    for k in range(n):
+        copy = list(bases[k % 5 == 0])
+        for _ in range(r.choice((1, 2, 3, 4, 5, 6, 9))):
+            at, word = r.choice(shared) if r.random() < 0.4 else (r.randrange(150), r.choice(vocabulary))
+            copy[at] = word
+        rows.append((k, " ".join(copy), "en", "s0", 1, *EXTRA))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_no_link_is_lost_in_a_large_group_of_texts_just_apart(spark, seed):
+    rows = just_apart(seed)
+    expected = brute_classes(rows)
+    assert 3 < len({c for _, c in expected}) < 100
+    got = neardup.classes(frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.class_id) for r in got) == expected
+
+
 def test_one_document_of_each_class_stays(spark):
     rows = near_copies()
     docs = frame(spark, rows)
