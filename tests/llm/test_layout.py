@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from helpers import empty, frame, odd_documents
+from pyspark.sql import functions as F
 
 from placeforge.llm import hilbert, media, packing
 
@@ -117,3 +118,56 @@ def test_media_reads_other_layouts_and_refuses_broken_ones():
     for broken in (b"", b"abc", file[:-1], file[:100], file.replace(b"stsz", b"stsy"), file.replace(b"\x00\x00\x02\x40\x00\x00\x00\x08", b"\x00\x00\x02\x40\x00\x00\x00\x09")):
         assert media.probe_one(broken)["error"]
     assert media.probe_one(None) is None
+
+
+def test_media_tracks_are_read_each_by_its_own_tables():
+    payload = bytes(range(256)) * 45
+    file = media.write_media(payload)
+    view = memoryview(file)
+    moov = media.inside(view, (0, len(file)), b"moov")
+    trak = next((a, b) for k, a, b in media.boxes(view, *moov) if k == b"trak")
+    other = bytes(file[trak[0] - 8 : trak[1]])
+    without = bytearray(other)
+    without[without.index(b"stss") : without.index(b"stss") + 4] = b"skip"
+    ftyp, body = file[: moov[0] - 8], bytes(file[moov[0] : trak[0] - 8])
+    added = len(other)
+    for first, second in ((bytes(without), other), (other, bytes(without))):
+        both = bytearray(ftyp + media.box(b"moov", body, first, second) + file[moov[1] :])
+        at = -1
+        while (at := both.find(b"stco", at + 1)) >= 0:
+            for k in range(int.from_bytes(both[at + 8 : at + 12], "big")):
+                spot = at + 12 + 4 * k
+                both[spot : spot + 4] = (int.from_bytes(both[spot : spot + 4], "big") + added).to_bytes(4, "big")
+        found = media.probe_one(bytes(both))
+        keys = [len(found["keyframes"]), len(found["more_tracks"][0]["keyframes"])]
+        assert keys == ([20, 3] if first == bytes(without) else [3, 20]) and found["error"] is None
+        assert found["payload_sha256"] == hashlib.sha256(payload).hexdigest()
+
+
+def test_media_of_hostile_files_are_errors():
+    file = media.write_media(bytes(range(256)) * 18)
+
+    def changed(kind, at, value):
+        out = bytearray(file)
+        spot = out.index(kind) + 4 + at
+        out[spot : spot + len(value)] = value
+        return bytes(out)
+
+    top = b"\xff\xff\xff\xff"
+    deep = b""
+    for _ in range(3000):
+        deep = media.box(b"moov", deep)
+    hostile = [changed(b"mdhd", 12, bytes(4)), deep, changed(b"stsz", 8, top), changed(b"stsz", 4, bytes(4)), changed(b"stsz", 4, top), changed(b"stts", 8, top), changed(b"stts", 12, top), changed(b"stsc", 12, top), changed(b"stsc", 8, bytes(4)), changed(b"stco", 8, top), changed(b"stco", 4, top), changed(b"stss", 8, bytes(4)), changed(b"stss", 8, top), changed(b"mdhd", 0, b"\x01"), changed(b"trak", -4, b"xxxx")]
+    for data in hostile:
+        found = media.probe_one(data)
+        assert found["error"] and found["media_bytes"] == len(data) and found.get("codec") is None
+    for cut in range(0, len(file), 7):
+        assert media.probe_one(file[:cut])["error"]
+
+
+def test_media_columns_beside_nulls_and_clashing_names(spark):
+    good = media.write_media(media.padded(b"some text"))
+    rows = spark.createDataFrame([(1, good, "x"), (2, None, "y"), (3, b"no file", "z"), (4, good, None)], "id long, media binary, probe string")
+    found = {r.id: r.probe for r in media.probe(rows).collect()}
+    assert found[2] is None and found[3].error and found[1] == found[4] and found[1].payload_bytes == 576
+    assert media.encode(rows.select("id", F.col("probe").alias("text"), F.lit(1).alias("MEDIA"))).columns == ["id", "text", "media"]
