@@ -57,7 +57,8 @@ def let(value: Column, body) -> Column:
 
 def words_of(text: Column) -> Column:
     """The words of a text: maximal runs without blanks and the controls 9 to 13; a null text has none."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+", -1), lambda w: w != "")
+    bare = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, f"{SPACE}+", -1))
 
 
 def unit_interval(*parts: Column) -> Column:

@@ -1,14 +1,14 @@
 """Operator 9, quality rules: base rules on words and lines, then a hashed n-gram log-likelihood ratio.
 
-Method. Word n-grams are hashed into a fixed number of buckets. Over all documents the buckets are counted twice, for
+Method. Word n-grams of ORDERS are hashed into a fixed number of buckets. Over all documents the buckets are counted twice, for
 the trusted target (documents labelled good and not toxic) and for the whole raw corpus. With additive smoothing the
 two counts make two multinomials; a document's score is the mean over its n-grams of the log ratio of the two. Every
 document is held against one fixed threshold. Weights are fixed-point integers, so a sum does not depend on its order.
 ``fit`` counts every row. ``fit_once``, which the query and the pipeline use, counts copies as one text: equal texts share
 the weight 1 (trusted if any of them is), and so do near copies, which are texts with two equal of MINS min-hashes over
 windows of three words. A text takes the largest of its groups. So a clean text does not lose by its own copies.
-DataFrame functions only: the weights are one array (``buckets`` numbers, a bound that no input moves) in a scalar
-subquery, and no row leaves the JVM.
+DataFrame functions only: the weights are one array (``buckets`` numbers of 4 bytes, a bound that no input moves) in a
+scalar subquery, and no row leaves the JVM.
 
 Cases. Null or empty text: no words, base_failed, not kept. A text with no n-gram has the score 0. No
 trusted document at all: every score is 0. Repeated rows are judged each. Null doc_id: judged, but never trusted.
@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 
 from ._common import NOT_SPACE, fresh, let, materialize, small_side, words_of
 
-#: Hash buckets of the two multinomials.
-BUCKETS = 1 << 14
-#: Orders of the n-grams. Hashed pairs of these corpora fill every bucket evenly and so carry no signal (README).
-ORDERS = (1,)
+#: Hash buckets of the two multinomials, a power of two.
+BUCKETS = 1 << 20
+#: Orders of the n-grams.
+ORDERS = (1, 2)
 #: Added to each bucket's count in the raw corpus, and to its count in the target brought to the same size.
 SMOOTHING = 10.0
 #: A document is kept from this mean log ratio on.
-THRESHOLD = -0.2
+THRESHOLD = -0.3
 #: Weights are integers: log ratios times this.
 SCALE = 1 << 20
 #: Numbers that turn a window's hash into the hashes whose least values are compared to find near copies.
@@ -38,11 +38,19 @@ UNIT = 1 << 30
 
 
 def ngrams(hashes: Column, n: Column, order: int) -> Column:
-    """Hashes of the n-grams of this order, from an array of word hashes of size ``n``."""
-    if order == 1:
-        return hashes
-    grams = F.transform(F.sequence(F.lit(0), n - order), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(order)]))
-    return F.when(n >= order, grams).otherwise(F.array().cast("array<bigint>"))
+    """Hashes of the n-grams of this order, from an array of word hashes of size ``n``: word k counts shifted by k bits."""
+    out = hashes
+    for k in range(1, order):
+        out = F.zip_with(out, F.slice(hashes, F.lit(k + 1), F.greatest(n - k, F.lit(0))), lambda a, b: a.bitwiseXOR(F.shiftleft(b, k)))  # noqa: B023
+    return out if order == 1 else F.slice(out, F.lit(1), F.greatest(n - (order - 1), F.lit(0)))
+
+
+def bucket(gram: Column, buckets: int) -> Column:
+    return gram.bitwiseAND(F.lit(buckets - 1).cast("long")).cast("int")
+
+
+def hashes_of(text: Column) -> Column:
+    return F.transform(words_of(text), lambda w: F.xxhash64(w))
 
 
 def symbols(text: Column) -> Column:
@@ -78,31 +86,30 @@ def all_grams(hashes: Column, orders: tuple[int, ...]) -> Column:
 
 def log_ratios(counts: DataFrame, buckets: int, smoothing: float) -> DataFrame:
     """One row with ``weights`` from ``_b``, ``raw`` and ``target``."""
-    all_buckets = counts.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_b"))
-    full = all_buckets.join(counts, "_b", "left")
-    # one group of exactly ``buckets`` rows
-    row = full.groupBy().agg(F.array_sort(F.collect_list(F.struct(F.col("_b").alias("b"), F.coalesce("raw", F.lit(0)).alias("raw"), F.coalesce("target", F.lit(0)).alias("target")))).alias("c"))
-    total = lambda k: F.aggregate("c", F.lit(0.0), lambda acc, x: acc + x[k])
-    row = row.select("c", total("raw").alias("n_raw"), total("target").alias("n_target"))
+    counts = materialize(counts, "llr-counts")  # a row a bucket
+    total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0.0)).alias("raw"), F.coalesce(F.sum("target"), F.lit(0.0)).alias("target")).first()
     # smoothing is in proportion to the two sizes, so that equal shares have the log ratio 0 however small the corpus is
-    weight = lambda x: F.round(F.log((x["target"] * (F.col("n_raw") / F.col("n_target")) + F.lit(smoothing)) / (x["raw"] + F.lit(smoothing))) * SCALE).cast("long")
-    weights = F.when(F.col("n_target") > 0, F.transform("c", weight)).otherwise(F.array_repeat(F.lit(0).cast("long"), buckets))
-    return materialize(row.select(weights.alias("weights")), "llr-weights")
+    scale = float(total.raw) / float(total.target) if total.target else 0.0
+    ratio = F.log((F.coalesce("target", F.lit(0.0)) * F.lit(scale) + F.lit(smoothing)) / (F.coalesce("raw", F.lit(0.0)) + F.lit(smoothing)))
+    weight = F.round(ratio * SCALE).cast("int") if total.target else F.lit(0)
+    full = counts.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_b")).join(counts, "_b", "left").select(F.struct("_b", weight.alias("w")).alias("c"))
+    # one group of exactly ``buckets`` rows
+    return materialize(full.groupBy().agg(F.transform(F.array_sort(F.collect_list("c")), lambda x: x["w"]).alias("weights")), "llr-weights")
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", buckets: int = BUCKETS, orders: tuple[int, ...] = ORDERS, smoothing: float = SMOOTHING) -> DataFrame:
     """One row with ``weights``, an array of ``buckets`` integers: SCALE times ln(target share / raw share). Counts every row."""
-    words = docs.select(F.col(doc_id).alias("_id"), words_of(F.col(text)).alias("_words")).select("_id", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    words = docs.select(F.col(doc_id).alias("_id"), hashes_of(F.col(text)).alias("_hashes"))
     marked = words.join(trusted_ids(labels), F.col("_id") == F.col("_trusted_id"), "left").select((F.col("_trusted_id").isNotNull()).alias("_target"), "_hashes")
-    grams = marked.select("_target", F.explode(all_grams(F.col("_hashes"), orders)).alias("_g")).select("_target", F.pmod("_g", F.lit(buckets)).cast("int").alias("_b"))
-    return log_ratios(grams.groupBy("_b").agg(F.count(F.lit(1)).alias("raw"), F.count_if("_target").alias("target")), buckets, smoothing)
+    grams = marked.select("_target", F.explode(all_grams(F.col("_hashes"), orders)).alias("_g")).select("_target", bucket(F.col("_g"), buckets).alias("_b"))
+    counts = grams.groupBy("_b").agg(F.count(F.lit(1)).alias("raw"), F.count_if("_target").alias("target"))
+    return log_ratios(counts.select("_b", F.col("raw").cast("double"), F.col("target").cast("double")), buckets, smoothing)
 
 
 def copy_weights(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``_digest``, ``_raw`` and ``_target``: the weights of each row of a text that is trusted or has copies, in 1 / UNIT."""
     least = [f"_m{k}" for k in range(len(MINS))]
-    rows = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_digest"), words_of(F.col(text)).alias("_words"))
-    rows = rows.select("_id", "_digest", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(F.col(text)).alias("_digest"), hashes_of(F.col(text)).alias("_hashes"))
     rows = rows.select("_id", "_digest", ngrams(F.col("_hashes"), F.size("_hashes"), 3).alias("_windows"))
     # a text of under three words has no window and is a near copy of none
     rows = rows.select("_id", "_digest", *[F.coalesce(F.array_min(F.transform("_windows", lambda w: w.bitwiseXOR(F.lit(x)))), "_digest").alias(m) for m, x in zip(least, MINS, strict=True)])  # noqa: B023
@@ -123,9 +130,8 @@ def fit_once(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str
     """Like ``fit``, but the copies and near copies of a text count as one text."""
     side, _ = small_side(copy_weights(docs, labels, text, doc_id))
     rows = docs.select(F.xxhash64(F.col(text)).alias("_of"), F.col(text).alias("_text")).join(side, F.col("_of") == F.col("_digest"), "left")
-    rows = rows.select(F.coalesce("_raw", F.lit(UNIT).cast("long")).alias("_raw"), F.coalesce("_target", F.lit(0).cast("long")).alias("_target"), words_of(F.col("_text")).alias("_words"))
-    rows = rows.select("_raw", "_target", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-    grams = rows.select("_raw", "_target", F.explode(all_grams(F.col("_hashes"), orders)).alias("_g")).select("_raw", "_target", F.pmod("_g", F.lit(buckets)).cast("int").alias("_b"))
+    rows = rows.select(F.coalesce("_raw", F.lit(UNIT).cast("long")).alias("_raw"), F.coalesce("_target", F.lit(0).cast("long")).alias("_target"), hashes_of(F.col("_text")).alias("_hashes"))
+    grams = rows.select("_raw", "_target", F.explode(all_grams(F.col("_hashes"), orders)).alias("_g")).select("_raw", "_target", bucket(F.col("_g"), buckets).alias("_b"))
     counts = grams.groupBy("_b").agg((F.sum("_raw") / F.lit(float(UNIT))).alias("raw"), (F.sum("_target") / F.lit(float(UNIT))).alias("target"))
     return log_ratios(counts, buckets, smoothing)
 
@@ -142,19 +148,20 @@ def judge(docs: DataFrame, model: DataFrame, text: str = "text", buckets: int =
     out = docs.withColumns({words: words_of(F.col(text)), lines: F.filter(F.split(there, "\n", -1), lambda x: x.rlike(NOT_SPACE))})
     out = out.withColumns({"n_words": F.size(words).cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"), "n_symbols": symbols(there), "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"), hashes: F.transform(words, lambda w: F.xxhash64(w))})
     h, n = F.col(hashes), F.size(hashes)
-    out = out.withColumns({weights: model.scalar(), windows: ngrams(h, n, 3)})
-    summed, count = F.lit(0).cast("long"), F.lit(0)
-    for k in orders:
-        summed = F.aggregate(ngrams(h, n, k), summed, lambda acc, g: acc + F.get(F.col(weights), F.pmod(g, F.lit(buckets)).cast("int")))
-        count = count + F.greatest(n - (k - 1), F.lit(0))
-    out = out.withColumns({"n_repeat_words": repeated_words(F.col(windows)), total: summed, grams: count})
+    out = out.withColumn(windows, ngrams(h, n, 3))
+    out = out.withColumn("n_repeat_words", repeated_words(F.col(windows))).drop(windows)
+    # read once and by nothing else, the weights are put into the sum by the optimizer, and no row carries a copy of them
+    out = out.withColumn(weights, model.scalar())
+    summed = let(F.col(weights), lambda w: F.aggregate(all_grams(h, orders), F.lit(0).cast("long"), lambda acc, g: acc + F.get(w, bucket(g, buckets))))
+    count = sum((F.greatest(n - (k - 1), F.lit(0)) for k in orders), F.lit(0))
+    out = out.withColumns({total: summed, grams: count}).drop(weights)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     score = F.when(F.col(grams) > 0, F.col(total) / SCALE / F.col(grams)).otherwise(F.lit(0.0))
     out = out.withColumns({"base_failed": failed, "llr_score": score})
     # The id makes no difference to the verdict; it keeps filters on the verdict above this projection. Pushed below it, a
     # filter would repeat every expression that the verdict stands on, words inside lambdas included.
     here = F.monotonically_increasing_id() >= 0
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold) & here).drop(words, hashes, lines, weights, total, windows, grams)
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("llr_score") >= threshold) & here).drop(words, hashes, lines, total, windows, grams)
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

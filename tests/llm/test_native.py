@@ -13,15 +13,24 @@ from placeforge.llm import lines, mixing, quality
 
 
 def brute_quality(rows, trusted):
-    def bucket(w):
-        h = xxhash.xxh64(w.encode(), seed=42).intdigest()
-        return (h - (1 << 64) if h >= 1 << 63 else h) % quality.BUCKETS
+    def grams(w):
+        h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in w]
+        every = [h[i + k] << k for o in quality.ORDERS for i in range(len(h) - o + 1) for k in range(o)]
+        at, out = 0, []
+        for o in quality.ORDERS:
+            for _ in range(len(h) - o + 1):
+                gram = 0
+                for part in every[at : at + o]:
+                    gram ^= part
+                out.append(gram % quality.BUCKETS)
+                at += o
+        return out
 
     raw, target = Counter(), Counter()
     for doc_id, text, *_ in rows:
-        for w in words(text):
-            raw[bucket(w)] += 1
-            target[bucket(w)] += doc_id in trusted
+        for g in grams(words(text)):
+            raw[g] += 1
+            target[g] += doc_id in trusted
     n_raw, n_target = sum(raw.values()), sum(target.values())
     weight = lambda b: round(math.log((target[b] * (n_raw / n_target) + quality.SMOOTHING) / (raw[b] + quality.SMOOTHING)) * quality.SCALE)
     out = []
@@ -31,8 +40,9 @@ def brute_quality(rows, trusted):
         covered = {k + d for k in range(len(w) - 2) if windows[tuple(w[k : k + 3])] > 1 for d in range(3)}
         filled = [x for x in (text or "").split("\n") if words(x)]
         failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
-        score = sum(weight(bucket(x)) for x in w) / quality.SCALE / len(w) if w and trusted else 0.0
-        out.append((doc_id, len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>"), len(filled) - len(set(filled)), len(covered), failed, not failed and score >= quality.THRESHOLD, round(score, 9)))
+        own = grams(w)
+        score = sum(map(weight, own)) / quality.SCALE / len(own) if own and trusted else 0.0
+        out.append((doc_id, len(w), sum(map(len, w)), sum((text or "").count(c) for c in "#*$%&|<>"), len(filled) - len(set(filled)), len(covered), failed, not failed and score >= quality.THRESHOLD, round(score, 6)))
     return sorted(out, key=repr)
 
 
@@ -44,7 +54,7 @@ def test_quality_rules_match_brute_force(spark, trusted):
     docs = frame(spark, rows)
     got = quality.judge(docs, quality.fit(docs, labels))
     assert set(docs.columns) <= set(got.columns)
-    found = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept, round(r.llr_score, 9)) for r in got.collect()]
+    found = [(r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed, r.kept, round(r.llr_score, 6)) for r in got.collect()]
     assert sorted(found, key=repr) == brute_quality(rows, set(trusted))
     kept = quality.filter_quality(docs, labels)
     assert kept.columns == docs.columns and kept.count() == sum(r[7] for r in found)
@@ -55,7 +65,7 @@ def test_quality_of_higher_orders_and_empty_tables(spark):
     assert quality.filter_quality(empty(spark), labels).count() == 0
     docs = frame(spark)
     some = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
-    rows = quality.judge(docs, quality.fit(docs, some, orders=(1, 2)), orders=(1, 2)).where("n_words >= 50").collect()
+    rows = quality.judge(docs, quality.fit(docs, some, orders=(1, 2, 3)), orders=(1, 2, 3)).where("n_words >= 50").collect()
     assert max(rows, key=lambda r: r.llr_score).doc_id == 1
 
 
