@@ -11,7 +11,8 @@ boilerplate lines; they are gathered to one row a site. That table is broadcast
 else documents and sites join on the site and a salt, the site's row copied to each salt.
 
 Cases. Null text stays null; blank lines always stay; a text that loses all lines becomes ''. Null sources are one site
-of their own. Repeated rows count each. An empty table gives an empty result.
+of their own. On a site of under LEAST / ratio documents every line that two of them have goes, and no other. Repeated rows
+count each. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,9 +22,10 @@ from pyspark.sql import functions as F
 
 from ._common import fresh, materialize
 
-#: A line on more than this share of a site's documents is boilerplate, if on LEAST documents.
-RATIO = 0.1
-LEAST = 5
+#: A line on more than this share of a site's documents is boilerplate, if it is on LEAST documents, that is, repeated at
+#: all. The ratio lies in the gap between the shares of the lines of these corpora (README).
+RATIO = 0.06
+LEAST = 2
 #: Boilerplate lines (all sites) up to which the table of sites is broadcast: 16 bytes each.
 BROADCAST_LINES = 1_000_000
 #: Salts of a site beyond that.
