@@ -51,23 +51,24 @@ def reversed_host(host: Column) -> Column:
 
 
 def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by range and key, rules before questions: each question with the innermost open rule."""
-    stack: list[tuple[str, str]] = []
+    """Rows sorted by range and key, rules before questions: each question with the innermost open rule and its key and verdict."""
+    stack: list[tuple[str, str, str]] = []
     current = None
     for batch in batches:
         cols = batch.to_pydict()
         ids, best = [], []
-        for part, key, rule, row in zip(cols["part"], cols["key"], cols["rule"], cols["row"], strict=True):
+        for part, key, rule, verdict, row in zip(cols["part"], cols["key"], cols["rule"], cols["verdict"], cols["row"], strict=True):
             if part != current:
                 current, stack = part, []
             while stack and not key.startswith(stack[-1][0]):
                 stack.pop()
             if rule is not None:
-                stack.append((key, rule))
+                stack.append((key, rule, verdict))
             elif stack:
                 ids.append(row)
-                best.append(stack[-1][1])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(best, pa.string())], ["row", "rule"])
+                best.append(stack[-1])
+        keys, rules, verdicts = zip(*best, strict=True) if best else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(x, pa.string()) for x in (keys, rules, verdicts))], ["row", "rule_key", "rule", "verdict"])
 
 
 def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
@@ -90,10 +91,10 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
     cuts = sorted({bounds[i * len(bounds) // ranges] for i in range(1, ranges)})
     at = F.lit(cuts) if cuts else F.array().cast("array<string>")
     part = lambda key: F.size(F.filter(at, lambda b: b <= key))
-    asks = questions.select(part(F.col("key")).alias("part"), "key", F.lit(None).cast("string").alias("rule"), "row")
-    opens = clean.select(F.explode(F.sequence(part(F.col("rule_key")), part(F.concat("rule_key", F.lit(LAST))))).alias("part"), F.col("rule_key").alias("key"), "rule", F.lit(None).cast("long").alias("row"))
+    asks = questions.select(part(F.col("key")).alias("part"), "key", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"), "row")
+    opens = clean.select(F.explode(F.sequence(part(F.col("rule_key")), part(F.concat("rule_key", F.lit(LAST))))).alias("part"), F.col("rule_key").alias("key"), "rule", "verdict", F.lit(None).cast("long").alias("row"))
     merged = asks.unionByName(opens).repartition("part").sortWithinPartitions("part", "key", F.col("rule").isNull())
-    found = merged.mapInArrow(sweep, "row long, rule string").join(clean.select("rule", "rule_key", "verdict"), "rule")
+    found = merged.mapInArrow(sweep, "row long, rule_key string, rule string, verdict string")
     depth = F.size(F.split(F.substring_index("rule_key", "/", 1), "\\.", -1))
     best = found.groupBy("row").agg(F.max(F.struct(depth.alias("depth"), F.length("rule_key").alias("long"), F.col("rule").alias("rule"), F.col("verdict").alias("verdict"))).alias("best"))
     judged = targets.join(best, "row").select(F.col("url_host").alias(row + "h"), F.col("url_path").alias(row + "p"), F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
