@@ -21,12 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import BROADCAST_ROWS, fresh, let, materialize, small_side, unit_interval
+from ._common import fresh, let, materialize, unit_interval
 
 SEED = 17
 #: Default target share of a source: rows ** EXPONENT.
 EXPONENT = 0.5
-#: Sources beyond which rows are joined to them by a salted shuffle.
+#: Numbers of 8 bytes in the table of sources, distribution functions included, up to which it is broadcast; salts beyond.
+BROADCAST_NUMBERS = 4_000_000
 SALTS = 64
 #: Largest mean of one draw.
 LARGEST = 600
@@ -62,13 +63,14 @@ def rates(docs: DataFrame, source: str = "source", weights: dict | None = None,
     return n.withColumn("cdf", poisson_steps(F.col("mean") / F.col("draws")))
 
 
-def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", weights: dict | None = None, exponent: float = EXPONENT, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, source: str = "source", doc_id: str = "doc_id", text: str = "text", weights: dict | None = None, exponent: float = EXPONENT, seed: int = SEED, broadcast_numbers: int = BROADCAST_NUMBERS) -> DataFrame:
     """``docs`` replicated and shuffled, with ``copy`` (from 0) and ``mean_rate``; columns of these names are replaced."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("copy", "mean_rate") and c not in (source, doc_id, text)])
     s, cdf, draws, n, run, order, salt, theirs = fresh(docs, "_source", "_cdf", "_draws", "_n", "_run", "_order", "_salt", "_salted")
     table = rates(docs, source, weights, exponent)
     table = materialize(table.select(F.col("source").alias(s), F.col("mean").alias("mean_rate"), F.col("draws").alias(draws), F.col("cdf").alias(cdf)), "mix-rates")
-    side, fits = small_side(table, BROADCAST_ROWS // 50)
+    fits = table.agg(F.coalesce(F.sum(F.size(cdf) + 8), F.lit(0))).first()[0] <= broadcast_numbers
+    side = F.broadcast(table) if fits else table
     same = F.col(source).eqNullSafe(F.col(s))
     key = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
     if fits:
