@@ -12,8 +12,8 @@ Scale. First digests are counted with map-side aggregation; then the chunks whos
 found by a join on the digest (large partitions are split by Spark), and runs are formed by document. No text is
 shuffled but by ``remove``, and there only by document.
 
-Cases. Null and empty texts have no chunks. Rows with equal doc_id and text are one document; a null doc_id counts as
-the largest number, NONE. Repeats inside one document are no repeats across documents and stay. Empty tables work.
+Cases. Null and empty texts have no chunks. Rows with one doc_id are one document; each text without a doc_id is a
+document of its own, numbered from NONE on by its hash, after all others. Repeats inside one document are no repeats across documents and stay. Empty tables work.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import fresh, materialize
@@ -31,7 +31,8 @@ from ._common import fresh, materialize
 #: do not pass; bytes on either side that a cut by the least hash sees; words of a passage.
 EVERY, LEAST, MOST, NEAR = 20, 8, 256, 32
 WORDS = 25
-NONE = (1 << 63) - 1
+#: Numbers from here on stand for documents without doc_id; doc_ids are below.
+NONE = 1 << 62
 
 
 def gear_table() -> np.ndarray:
@@ -131,8 +132,13 @@ def chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def number_of(doc_id: Column, text: Column) -> Column:
+    """The doc_id, or for a null one a number from NONE on that its text decides."""
+    return F.coalesce(doc_id.cast("long"), F.xxhash64(text).bitwiseAND(F.lit(NONE - 1)) + F.lit(NONE))
+
+
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NONE)).alias("doc"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(number_of(F.col(doc_id), F.col(text)).alias("doc"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
     return rows.mapInArrow(chunk_rows, "doc long, row long, digest long, start long, length int, words int")
 
 
@@ -150,16 +156,18 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     fresh_run = F.coalesce(F.col("start") != F.lag(F.col("start") + F.col("length")).over(own), F.lit(True))
     runs = found.withColumn("begins", fresh_run.cast("int")).withColumn("run", F.sum("begins").over(own))
     spans = runs.groupBy("doc", "row", "run").agg(F.min("start").alias("start"), F.sum("length").alias("length"), F.sum("words").alias("n_words"), F.mode("first", True).alias("first_doc_id"))
-    return spans.where(F.col("n_words") >= words).select(F.nullif(F.col("doc"), F.lit(NONE)).alias("doc_id"), "row", "start", "length", "n_words", "first_doc_id")
+    known = lambda c: F.when(F.col(c) < NONE, F.col(c))
+    return spans.where(F.col("n_words") >= words).select(known("doc").alias("doc_id"), "row", "start", "length", "n_words", known("first_doc_id").alias("first_doc_id"))
 
 
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """``docs`` without their repeated passages, and the number of bytes removed, ``removed_bytes``."""
     spans = materialize(repeats(docs, doc_id, text, words), "passages")
-    row, key, spans_, old = fresh(docs, "_row", "_key", "_spans", "_old")
-    by = spans.groupBy(F.coalesce("doc_id", F.lit(NONE)).alias(key), F.col("row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias(spans_))
+    row, key, spans_, old, mine, its = fresh(docs, "_row", "_key", "_spans", "_old", "_mine", "_its")
+    by = spans.groupBy(F.col("doc_id").alias(key), F.col("row").alias(row)).agg(F.array_sort(F.collect_list(F.struct("start", "length"))).alias(spans_))
     docs = docs.drop(*[c for c in docs.columns if c.lower() == "removed_bytes"])
-    joined = docs.withColumns({key: F.coalesce(F.col(doc_id).cast("long"), F.lit(NONE)), row: F.xxhash64(F.col(text))}).join(by, [key, row], "left")
+    same = F.col(mine).eqNullSafe(F.col(key)) & (F.col(its) == F.col(row))
+    joined = docs.withColumns({mine: F.col(doc_id).cast("long"), its: F.xxhash64(F.col(text))}).join(by, same, "left")
 
     @F.pandas_udf("struct<text:string,removed:long>")
     def without(texts, spans_of):

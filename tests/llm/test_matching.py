@@ -143,6 +143,73 @@ def test_repeated_passages_are_found_and_clean_documents_left(spark):
     assert chunks.repeats(empty(spark)).count() == 0 and chunks.remove(empty(spark)).count() == 0
 
 
+def plain_cuts(data):
+    """The rules for cuts, byte by byte."""
+    n, h = len(data), []
+    for k in range(n):
+        h.append(sum(int(chunks.GEAR[data[k - j]]) << j for j in range(16) if k >= j) % 65536)
+    near, least = chunks.NEAR, chunks.LEAST
+    candidates = [k + 1 for k in range(n) if h[k] < 65536 // chunks.EVERY and 16 <= k + 1 < n]
+    spots = [c for i, c in enumerate(candidates) if i == 0 or c - candidates[i - 1] > least]
+    edges = [-near, *spots, n + near]
+    if max(b - a for a, b in zip(edges, edges[1:], strict=False)) > 2 * near:
+        low = [k + 1 for k in range(n) if 16 <= k + 1 < n and h[k] == min(h[max(0, k - near) : k + near + 1])]
+        low = [c for c in low if not any(c - near <= e < c + near or e == c + near for e in edges)]
+        taken, last = [], -least - 1
+        for c in low:
+            if c - last > least or not any(b - a <= least for a, b in zip(low, low[1:], strict=False)):
+                taken.append(c)
+                last = c
+        spots = sorted({*spots, *taken})
+    return [*spots, n] if n else []
+
+
+def test_repeated_passages_match_brute_force(spark):
+    rows, _ = passage_documents()
+    parts = {}
+    for doc_id, text, *_ in rows:
+        raw = (text or "").encode()
+        ends = plain_cuts(raw)
+        number = doc_id if doc_id is not None else 1 << 62
+        parts[number] = [(a, raw[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+    holders = defaultdict(set)
+    for number, own in parts.items():
+        for _, piece in own:
+            holders[piece].add(number)
+    expected = []
+    for number, own in parts.items():
+        run = []
+        for at, piece in [*own, (None, b"")]:
+            if at is not None and min(holders[piece]) != number:
+                run.append((at, piece))
+                continue
+            if run:
+                text = b"".join(p for _, p in run)
+                whole = parts[number]
+                starts = sum(sum(1 for k in range(len(p)) if p[k] not in b" \t\n\x0b\x0c\r" and (k == 0 or p[k - 1] in b" \t\n\x0b\x0c\r") and not (k == 0 and a and whole_byte(whole, a - 1) not in b" \t\n\x0b\x0c\r")) for a, p in run)
+                if starts >= chunks.WORDS:
+                    expected.append((number if number < 1 << 62 else None, run[0][0], len(text), starts))
+            run = []
+    got = [(r.doc_id, r.start, r.length, r.n_words) for r in chunks.repeats(frame(spark, rows)).collect()]
+    assert sorted(got, key=repr) == sorted(expected, key=repr) and len(got) > 30
+
+
+def whole_byte(parts, at):
+    """The byte of a text at a place, from its pieces."""
+    for start, piece in parts:
+        if start <= at < start + len(piece):
+            return piece[at - start]
+    raise IndexError(at)
+
+
+def test_texts_without_ids_are_documents_of_their_own(spark):
+    rows, passages = passage_documents()
+    two = [(None, f"{a} {passages[0]} {b}", *rows[0][2:]) for a, b in (("one", "end"), ("two", "stop"))]
+    got = chunks.repeats(frame(spark, two)).collect()
+    assert len(got) == 1 and got[0].doc_id is None and got[0].first_doc_id is None and got[0].n_words > 40
+    assert sorted(len(r.text) for r in chunks.remove(frame(spark, two)).collect())[0] < 60
+
+
 def test_cuts_resist_insertions():
     r = np.random.default_rng(1)
     data = r.integers(97, 123, 5000, dtype=np.uint8)
