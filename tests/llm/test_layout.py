@@ -85,10 +85,39 @@ def test_shards_are_even_gapless_runs_of_the_curve(spark):
     assert hilbert.shard(empty(spark)).count() == 0
 
 
+def test_shards_match_a_plain_cut_of_the_order(spark):
+    rows = odd_documents(300)
+    found = sorted(hilbert.shard(frame(spark, rows)).collect(), key=lambda r: (r.shard, r.slot))
+    total, end = sum(r.size for r in found), 0
+    for r in found:  # a row goes where the middle of its bytes lies
+        end += r.size
+        assert r.shard == min(15, (2 * end - r.size) * 16 // (2 * total))
+    order = {}
+    for doc_id, text, lang, source, *_ in rows:
+        size = len((text or "").encode()) + 1
+        order.setdefault((source, lang, int(np.log2(size) / 2)), set()).add((doc_id, size, zlib.crc32((text or "").encode())))
+    cells = defaultdict(set)
+    for r in found:
+        cells[r.cell].add((r.doc_id, r.size, r.text_crc32))
+    for one in order.values():  # rows alike in every dimension lie in one cell
+        assert any(one <= c for c in cells.values())
+
+
+def test_shards_prune_by_source(spark):
+    """A source lies in well under all shards, so a reader of one source skips the others."""
+    rows = [(k, "x" * 4 ** (1 + k % 7), f"l{k % 5}", f"s{k % 9}", 1, "x", 7, "y", 9, "z", "b") for k in range(3150)]
+    found = {r.doc_id: r for r in hilbert.shard(frame(spark, rows)).collect()}
+    assert sum(len({found[r[0]].shard for r in rows if r[3] == f"s{k}"}) for k in range(9)) < 0.75 * 9 * 16
+
+
 def test_written_shards_hold_all_rows(spark, tmp_path):
-    docs = frame(spark, [r for r in odd_documents() if r[0] is not None and r[0] < 100]).drop("shard")
-    hilbert.write_shards(docs, str(tmp_path / "s"))
-    assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "s")).collect()) == list(range(60))
+    rows = odd_documents()
+    hilbert.write_shards(frame(spark, rows), str(tmp_path / "s"))
+    back = spark.read.parquet(str(tmp_path / "s")).collect()
+    columns = ("doc_id", "text", "lang", "source", "n_chars", "_words", "kept", "copy", "row", "bucket")
+    spots = [frame(spark, rows[:1]).columns.index(c) for c in columns]
+    assert sorted((tuple(r[c] for c in columns) for r in back), key=repr) == sorted((tuple(r[k] for k in spots) for r in rows), key=repr)
+    hilbert.write_shards(empty(spark), str(tmp_path / "e"))
 
 
 def test_media_round_trip(spark):
