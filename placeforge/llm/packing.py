@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,9 +37,10 @@ CLOSING_ID = 0
 SALTS = 256
 #: The vocabulary, a file of the tokenizers library.
 VOCABULARY = "byte_bpe_50k.json"
-#: Where a text can be cut without a change of its ids: before a blank between two characters that are no white space.
-#: The pre-tokenizer of the vocabulary has blanks only at the start of a piece, but for runs of white space.
-UNITS = re.compile(r"(?<=[!-~\u00c0-\u024f])(?= [!-~\u00c0-\u024f])")
+#: Where a text can be cut without a change of its ids: at a blank between two characters that are no white space. The
+#: pre-tokenizer of the vocabulary has blanks only at the start of a piece, but for runs of white space. The blank
+#: belongs to the unit after it, and is left out here.
+UNITS = re.compile(r" (?<=[!-~\u00c0-\u024f] )(?=[!-~\u00c0-\u024f])")
 #: Units whose ids a worker keeps, and the characters of the longest of them; characters that are coded at once.
 KNOWN, LONGEST, AT_ONCE = 1_000_000, 64, 1_000_000
 
@@ -60,16 +62,22 @@ def encoder(path: str):
 
     exact, known = Tokenizer.from_file(path), {}
 
+    def ids_of(units: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in exact.encode_batch_fast(units, add_special_tokens=False)]
+
     def encode(texts: list[str]) -> list[bytes]:
         units = [UNITS.split(x) for x in texts]
-        new = {u for one in units for u in one if u not in known}
+        heads = ids_of([one.pop(0) for one in units])
+        every: set[str] = set()
+        for one in units:
+            every.update(one)
+        new = every.difference(known)
         if len(known) + len(new) > KNOWN:
             known.clear()
-            new = {u for one in units for u in one}
+            new = every
         order = list(new)
-        for u, e in zip(order, exact.encode_batch_fast(order, add_special_tokens=False), strict=True):
-            known[u] = np.array(e.ids, "<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, one)) for one in units]
+        known.update(zip(order, ids_of([" " + u for u in order]), strict=True))
+        out = [b"".join([head, *map(known.__getitem__, one)]) for head, one in zip(heads, units, strict=True)]
         for u in order:
             if len(u) > LONGEST:
                 del known[u]
