@@ -13,27 +13,42 @@ TRUE_WORDS = ("true", "t", "1", "yes", "y")
 FALSE_WORDS = ("false", "f", "0", "no", "n")
 
 
-def to_double(x: Column) -> Column:
-    v = clean_null(x)
+def double_of(v: Column) -> Column:
+    """A number from a cleaned text. Each ``*_of`` takes a text that ``clean_null`` has seen, so that it is cleaned once."""
     return F.when(v.rlike(NUMBER), v.try_cast("double"))
 
 
-def to_int(x: Column) -> Column:
+def int_of(v: Column) -> Column:
     """Through a double, rounded half to even."""
-    return F.rint(to_double(x)).try_cast("bigint")
+    return F.rint(double_of(v)).try_cast("bigint")
 
 
-def to_bool(x: Column) -> Column:
-    v = F.lower(clean_null(x))
-    return F.when(v.isin(*TRUE_WORDS), F.lit(True)).when(v.isin(*FALSE_WORDS), F.lit(False))
+def bool_of(v: Column) -> Column:
+    word = F.lower(v)
+    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
-def province_code(x: Column) -> Column:
+def province_of(v: Column) -> Column:
     """'1' and '1.0' become '01'; other text in upper case."""
-    v = clean_null(x)
     return F.when(v.rlike(r"^[0-9]+(\.0+)?\z"), F.lpad(v.try_cast("double").cast("bigint").cast("string"), 2, "0")).otherwise(F.upper(v))
 
 
+def to_double(x: Column) -> Column:
+    return double_of(clean_null(x))
+
+
+def to_int(x: Column) -> Column:
+    return int_of(clean_null(x))
+
+
+def to_bool(x: Column) -> Column:
+    return bool_of(clean_null(x))
+
+
+def province_code(x: Column) -> Column:
+    return province_of(clean_null(x))
+
+
 def in_range(x: Column, low: float, high: float) -> Column:
     """The value, or null outside the range."""
     return F.when(x.between(low, high), x)
@@ -49,6 +64,16 @@ def rounded(x: Column, digits: int = 2) -> Column:
     return F.round(x.cast("double") * scale) / scale
 
 
+def mean_rounded(x: Column, digits: int = 2) -> Column:
+    """The mean of values that have at most ``digits`` decimals, rounded to as many: an exact sum, one division, one rounding.
+
+    A sum of doubles depends on its order, and so would the rounding of a mean that lies half way.
+    """
+    scale = float(10**digits)
+    whole = F.sum(F.rint(x.cast("double") * F.lit(scale)).cast("bigint"))
+    return F.when(F.count(x) > 0, F.round(whole.cast("double") / F.count(x)) / F.lit(scale))
+
+
 def ratio_pct(part: Column, whole: Column, digits: int = 2) -> Column:
     """100 * part / whole rounded; null unless whole is positive."""
     return F.when(whole > 0, rounded(part * F.lit(100.0) / whole, digits))

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 #: Tokens that mean null.
 NULL_WORDS = ("", "nan", "none", "null", "nat")
+#: The space separators of Unicode.
+SEPARATORS = "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 RATIO = 0.6
 
 
 def trim_spaces(x: Column) -> Column:
     """Without Unicode space separators at both ends; tabs and line ends stay."""
-    return F.regexp_replace(x.cast("string"), r"^\p{Zs}+|\p{Zs}+\z", "")
+    return F.btrim(x.cast("string"), F.lit(SEPARATORS))
 
 
 def clean_null(x: Column) -> Column:

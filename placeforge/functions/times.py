@@ -19,7 +19,11 @@ PRECISIONS = ("day", "week", "month", "year")
 
 def utc_timestamp(x: Column) -> Column:
     """A timestamp without zone in UTC: with an offset it is shifted, without one it is taken as UTC; null if malformed."""
-    v = clean_null(x)
+    return timestamp_of(clean_null(x))
+
+
+def timestamp_of(v: Column) -> Column:
+    """The same of a text that ``clean_null`` has seen."""
     zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), v.try_cast("timestamp").cast("timestamp_ntz"))
     return F.when(v.rlike(OFFSET), zoned).otherwise(v.try_cast("timestamp_ntz"))
 

@@ -91,9 +91,13 @@ def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> D
 
 
 def weighted_average(value: Column, weight: Column) -> Column:
-    """Sum of value * weight over the weights of rows with a value, rounded to 2; null without such weight."""
+    """Sum of value * weight over the weights of rows with a value, rounded to 2; null without such weight.
+
+    Values have at most two decimals and weights none, so that the sums are exact and do not depend on their order.
+    """
     mass = F.sum(F.when(value.isNotNull(), weight).otherwise(F.lit(0)))
-    return F.when(mass > 0, rounded(F.sum(value * weight) * F.lit(1.0) / mass))
+    total = F.sum(F.rint(value.cast("double") * F.lit(100.0)).cast("bigint") * weight)
+    return F.when(mass > 0, F.round(total.cast("double") / mass) / F.lit(100.0))
 
 
 def require_ids(wanted: DataFrame, found: DataFrame, key: str) -> None:

@@ -75,7 +75,7 @@ def video_performance(videos: DataFrame, video_snapshots: DataFrame, comments: D
     later = F.col("snapshot_seq_num") >= 2
     s = video_snapshots.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("snapshot_count"), F.max("snapshot_date").alias("latest_snapshot_date"), F.min("snapshot_date").alias("first_snapshot_date"), F.max(F.when(F.col("snapshot_seq_num") == 1, F.col("views"))).alias("first_views"),
-        F.sum(F.when(later, F.col("views_delta"))).alias("total_views_delta"), cast.rounded(F.avg(F.when(later, F.col("views_daily_growth"))), 2).alias("snapshot_daily_view_growth"),
+        F.sum(F.when(later, F.col("views_delta"))).alias("total_views_delta"), cast.mean_rounded(F.when(later, F.col("views_daily_growth"))).alias("snapshot_daily_view_growth"),
     )
     c = comments.groupBy(*keys).agg(F.count(F.lit(1)).alias("crawled_comment_count"))
     out = videos.withColumn("place_video_view_rank", video_rank()).join(s, keys, "left").join(c, keys, "left")
@@ -106,7 +106,7 @@ def place_360(places: DataFrame, coverage: DataFrame, place_categories: DataFram
     )
     v = videos.groupBy("place_id").agg(F.countDistinct("video_id").alias("youtube_video_count"), F.countDistinct("channel_id").alias("distinct_channel_count"), F.sum("views").alias("total_youtube_views"), cast.rounded(F.avg("views"), 2).alias("avg_views_per_video"), F.max("views").alias("max_video_views"))
     top = videos.withColumn("_rank", video_rank()).where("_rank = 1").select("place_id", F.col("video_id").alias("top_video_id"), F.col("video_title").alias("top_video_title"))
-    g = video_snapshots.where("snapshot_seq_num >= 2").groupBy("place_id").agg(F.sum("views_delta").alias("total_youtube_views_delta"), cast.rounded(F.avg("views_daily_growth"), 2).alias("avg_daily_youtube_view_growth"))
+    g = video_snapshots.where("snapshot_seq_num >= 2").groupBy("place_id").agg(F.sum("views_delta").alias("total_youtube_views_delta"), cast.mean_rounded(F.col("views_daily_growth")).alias("avg_daily_youtube_view_growth"))
     cats = place_categories.groupBy("place_id").agg(F.countDistinct("category_id").alias("category_count"))
     cov = coverage.select("place_id", "rating_snapshot_count", "video_snapshot_date_count", "total_active_month_count", "history_span_months", "coverage_status", "is_forecast_eligible")
     out = places.select("place_id", "place_name", "name_vi", "name_en", "province_id", "province_name", "admin_scope", "latitude", "longitude", "tourism_status", "crawl_eligible").join(cov, "place_id")
@@ -142,8 +142,8 @@ def tourism_totals(prefix: str) -> list[Column]:
     rating = F.coalesce("latest_google_rating", "crawled_avg_rating")
     weight = F.greatest(F.coalesce("latest_google_review_count", "crawled_review_count", F.lit(1)), F.lit(1))
     return [
-        op.weighted_average(rating, weight).alias(f"{prefix}_weighted_avg_rating"), cast.rounded(F.avg(rating), 2).alias(f"{prefix}_simple_avg_rating"), F.sum("latest_google_review_count").alias("total_google_review_count"), F.sum("crawled_review_count").alias("total_crawled_review_count"),
-        cast.rounded(F.avg("net_sentiment_score"), 2).alias(f"{prefix}_net_sentiment_score"), F.sum("youtube_video_count").alias("total_youtube_videos_count"), F.sum("total_youtube_views").alias("total_youtube_views"), cast.rounded(F.avg("total_youtube_views"), 2).alias("avg_views_per_place"), F.sum("total_youtube_views_delta").alias("total_youtube_views_delta"),
+        op.weighted_average(rating, weight).alias(f"{prefix}_weighted_avg_rating"), cast.mean_rounded(rating).alias(f"{prefix}_simple_avg_rating"), F.sum("latest_google_review_count").alias("total_google_review_count"), F.sum("crawled_review_count").alias("total_crawled_review_count"),
+        cast.mean_rounded(F.col("net_sentiment_score")).alias(f"{prefix}_net_sentiment_score"), F.sum("youtube_video_count").alias("total_youtube_videos_count"), F.sum("total_youtube_views").alias("total_youtube_views"), cast.rounded(F.avg("total_youtube_views"), 2).alias("avg_views_per_place"), F.sum("total_youtube_views_delta").alias("total_youtube_views_delta"),
     ]
 
 
@@ -162,7 +162,7 @@ TOTALS = ("total_google_review_count", "total_crawled_review_count", "total_yout
 def province_summary(provinces: DataFrame, profile: DataFrame) -> DataFrame:
     stage = F.col("place_development_stage")
     active = (F.col("crawled_review_count") > 0) | (F.col("youtube_video_count") > 0) | (F.coalesce("latest_google_review_count", F.lit(0)) > 0)
-    agg = profile.groupBy("province_id").agg(F.count(F.lit(1)).alias("total_places_count"), F.count_if(active).alias("active_places_count"), F.count_if(F.col("is_forecast_eligible")).alias("forecast_ready_places_count"), F.count_if(stage == "Leading Hotspot").alias("leading_hotspot_count"), F.count_if(stage == "Rising Star").alias("rising_star_count"), *tourism_totals("province"), cast.rounded(F.avg("avg_daily_youtube_view_growth"), 2).alias("province_avg_daily_view_growth"))
+    agg = profile.groupBy("province_id").agg(F.count(F.lit(1)).alias("total_places_count"), F.count_if(active).alias("active_places_count"), F.count_if(F.col("is_forecast_eligible")).alias("forecast_ready_places_count"), F.count_if(stage == "Leading Hotspot").alias("leading_hotspot_count"), F.count_if(stage == "Rising Star").alias("rising_star_count"), *tourism_totals("province"), cast.mean_rounded(F.col("avg_daily_youtube_view_growth")).alias("province_avg_daily_view_growth"))
     best = lambda order, suffix: op.first_by(profile, ["province_id"], order).select("province_id", F.col("place_id").alias(f"top_place_id_by_{suffix}"), F.col("place_name").alias(f"top_place_name_by_{suffix}"))
     by_views = best([F.col("total_youtube_views").desc_nulls_last(), F.col("crawled_review_count").desc_nulls_last(), F.col("place_id").asc_nulls_last()], "views")
     out = provinces.select("province_id", "province_name", "admin_scope", "center_lat", "center_lon", "min_lat", "max_lat", "min_lon", "max_lon", "geojson_url").join(agg, "province_id", "left").join(by_views, "province_id", "left").join(best(by_popularity(), "reviews"), "province_id", "left")

@@ -34,9 +34,14 @@ class Lakehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = DEFAULTS, store: bool = False) -> None:
         self.spark, self.sf_dir, self.settings, self.store = spark, sf_dir, settings, store
+        self.feeds: dict[str, DataFrame] = {}
 
     def staged(self, feed: str) -> DataFrame:
-        return stage(feed, raw(self.spark, self.sf_dir, feed))
+        """The staging table of a feed; a graph that stores its tables stores these too, as several tables read them."""
+        if feed not in self.feeds:
+            df = stage(feed, raw(self.spark, self.sf_dir, feed))
+            self.feeds[feed] = stored(df, f"stg_{feed}") if self.store else df
+        return self.feeds[feed]
 
     @table
     def provinces(self) -> DataFrame:

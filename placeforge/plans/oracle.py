@@ -37,6 +37,11 @@ def bool_of(x: str) -> str:
 KINDS = {"text": null_of, "lower": lambda x: f"lower({null_of(x)})", "upper": lambda x: f"upper({null_of(x)})", "free": free_of, "int": lambda x: f"TRY_CAST({number_of(x)} AS BIGINT)", "double": number_of, "bool": bool_of, "time": time_of, "province": province_of, "date": lambda x: f"TRY_CAST({x} AS DATE)", "asis": lambda x: x}
 
 
+def mean_of(x: str) -> str:
+    """The mean of values of two decimals, from an exact sum."""
+    return f"round(CAST(sum(CAST(round(({x}) * 100) AS BIGINT)) AS DOUBLE) / count({x})) / 100"
+
+
 def staged(feed: str) -> str:
     columns = ", ".join(f"{KINDS[kind](source)} AS {name}" for name, (source, kind) in {**SPECS[feed], **LINEAGE}.items())
     return f"SELECT {columns} FROM ({raw_sql(feed)})"
@@ -187,7 +192,7 @@ STEPS["gold_trajectory"] = f"""
     FROM sil_ratings AS x LEFT JOIN m ON x.place_id = m.place_id AND x.snapshot_date = m.snapshot_date LEFT JOIN sil_places AS p ON x.place_id = p.place_id LEFT JOIN {PRIMARY} AS k ON x.place_id = k.place_id"""
 BY_VIEWS = "PARTITION BY place_id ORDER BY views DESC NULLS LAST, published_date DESC NULLS LAST, video_id"
 STEPS["gold_videos"] = f"""
-    WITH s AS (SELECT place_id, video_id, count(*) AS n, max(snapshot_date) AS last_, min(snapshot_date) AS first_, max(CASE WHEN snapshot_seq_num = 1 THEN views END) AS first_views, sum(CASE WHEN snapshot_seq_num > 1 THEN views_delta END) AS gained, round(avg(CASE WHEN snapshot_seq_num > 1 THEN views_daily_growth END), 2) AS growth FROM sil_video_snapshots GROUP BY ALL), c AS (SELECT place_id, video_id, count(*) AS said FROM sil_comments GROUP BY ALL),
+    WITH s AS (SELECT place_id, video_id, count(*) AS n, max(snapshot_date) AS last_, min(snapshot_date) AS first_, max(CASE WHEN snapshot_seq_num = 1 THEN views END) AS first_views, sum(CASE WHEN snapshot_seq_num > 1 THEN views_delta END) AS gained, {mean_of("CASE WHEN snapshot_seq_num > 1 THEN views_daily_growth END")} AS growth FROM sil_video_snapshots GROUP BY ALL), c AS (SELECT place_id, video_id, count(*) AS said FROM sil_comments GROUP BY ALL),
     j AS (SELECT v.*, n, last_, first_, first_views, gained, growth, said, date_diff('day', published_date, last_) AS age, row_number() OVER ({BY_VIEWS}) AS rank_ FROM sil_videos AS v LEFT JOIN s USING (place_id, video_id) LEFT JOIN c USING (place_id, video_id))
     SELECT place_id || '|' || video_id AS place_video_id, place_id, place_name, province_id, province_name, is_place_in_dim, video_id, video_title, channel_id, channel_name, category, video_url, published_date, published_month, duration_seconds, CASE WHEN age >= 0 THEN age END AS video_age_days, first_ AS first_snapshot_date, last_ AS latest_snapshot_date, coalesce(n, 1) AS snapshot_count, first_views, views AS latest_views, CAST(gained AS BIGINT) AS total_views_delta,
            CASE WHEN age > 0 THEN round(views * 1.0 / age, 2) END AS avg_daily_views_since_publish, growth AS snapshot_daily_view_growth, coalesce(said, 0) AS crawled_comment_count, rank_ AS place_video_view_rank FROM j"""
@@ -196,7 +201,7 @@ STEPS["gold_profile"] = f"""
     WITH e AS (SELECT place_id, count(*) AS k, arg_max(x, (snapshot_date, crawled_at_utc)) AS l, arg_min(x, (snapshot_date, crawled_at_utc)) AS f FROM sil_ratings AS x GROUP BY 1),
     r AS (SELECT r.place_id, count(*) AS n, round(avg(rating), 2) AS mean, sum(has_review_text::INT) AS texts, count(rating) AS rated, sum((rating >= 4)::INT) AS good, sum((rating <= 2)::INT) AS bad, coalesce(sum((review_date > as_of_date - 90)::INT), 0) AS recent, coalesce(sum((review_date > as_of_date - 180 AND review_date <= as_of_date - 90)::INT), 0) AS before_ FROM sil_reviews AS r JOIN sil_coverage USING (place_id) GROUP BY 1),
     v AS (SELECT place_id, count(DISTINCT video_id) AS vids, count(DISTINCT channel_id) AS channels, sum(views) AS views, round(avg(views), 2) AS mean_views, max(views) AS most FROM sil_videos GROUP BY 1), t AS (SELECT place_id, video_id, video_title FROM (SELECT *, row_number() OVER ({BY_VIEWS}) AS rn FROM sil_videos) WHERE rn = 1),
-    g AS (SELECT place_id, CAST(sum(views_delta) AS BIGINT) AS gained, round(avg(views_daily_growth), 2) AS growth FROM sil_video_snapshots WHERE snapshot_seq_num > 1 GROUP BY 1), c AS (SELECT place_id, count(DISTINCT category_id) AS cats FROM sil_place_categories GROUP BY 1),
+    g AS (SELECT place_id, CAST(sum(views_delta) AS BIGINT) AS gained, {mean_of("views_daily_growth")} AS growth FROM sil_video_snapshots WHERE snapshot_seq_num > 1 GROUP BY 1), c AS (SELECT place_id, count(DISTINCT category_id) AS cats FROM sil_place_categories GROUP BY 1),
     j AS (SELECT p.place_id, p.place_name, name_vi, name_en, p.province_id, p.province_name, admin_scope, latitude, longitude, p.tourism_status, p.crawl_eligible, {CATS}, coalesce(cats, 0) AS category_count, e.l.google_rating AS latest_google_rating, e.l.google_review_count AS latest_google_review_count, e.l.snapshot_date AS latest_rating_snapshot_date, e.f.google_rating AS first_google_rating, e.f.google_review_count AS first_google_review_count, e.f.snapshot_date AS first_rating_snapshot_date,
           CASE WHEN rating_snapshot_count >= 2 THEN round(e.l.google_rating - e.f.google_rating, 4) END AS total_rating_delta, CASE WHEN rating_snapshot_count >= 2 THEN e.l.google_review_count - e.f.google_review_count END AS total_review_count_delta, {", ".join(f"{pct(f'coalesce(e.l.rating_{k}_count, 0)', 'e.l.rating_distribution_total')} AS rating_{k}_pct" for k in (5, 4, 3, 2, 1))},
           CASE WHEN e.l.rating_distribution_total > 0 THEN {pct("coalesce(e.l.rating_5_count, 0) + coalesce(e.l.rating_4_count, 0) - coalesce(e.l.rating_1_count, 0) - coalesce(e.l.rating_2_count, 0)", "e.l.rating_distribution_total")} ELSE {pct("good - bad", "rated")} END AS net_sentiment_score, coalesce(n, 0) AS crawled_review_count, mean AS crawled_avg_rating, {pct("texts", "n")} AS text_review_ratio, CAST(coalesce(recent, 0) AS BIGINT) AS reviews_last_90d_count, CAST(coalesce(before_, 0) AS BIGINT) AS reviews_prev_90d_count, {pct("recent - before_", "before_")} AS recent_review_momentum_pct,
@@ -212,14 +217,14 @@ SCORE, WEIGHT = "coalesce(latest_google_rating, crawled_avg_rating)", "greatest(
 
 
 def totals(prefix: str) -> str:
-    return f"""CASE WHEN sum(CASE WHEN {SCORE} IS NOT NULL THEN {WEIGHT} ELSE 0 END) > 0 THEN round(sum({SCORE} * {WEIGHT}) / sum(CASE WHEN {SCORE} IS NOT NULL THEN {WEIGHT} ELSE 0 END), 2) END AS {prefix}_weighted_avg_rating, round(avg({SCORE}), 2) AS {prefix}_simple_avg_rating, sum(latest_google_review_count) AS gr, sum(crawled_review_count) AS cr,
-        round(avg(net_sentiment_score), 2) AS {prefix}_net_sentiment_score, sum(youtube_video_count) AS yv, sum(total_youtube_views) AS tv, round(avg(total_youtube_views), 2) AS av, CAST(sum(total_youtube_views_delta) AS BIGINT) AS total_youtube_views_delta"""
+    return f"""CASE WHEN sum(CASE WHEN {SCORE} IS NOT NULL THEN {WEIGHT} ELSE 0 END) > 0 THEN round(CAST(sum(CAST(round({SCORE} * 100) AS BIGINT) * {WEIGHT}) AS DOUBLE) / sum(CASE WHEN {SCORE} IS NOT NULL THEN {WEIGHT} ELSE 0 END)) / 100 END AS {prefix}_weighted_avg_rating, {mean_of(SCORE)} AS {prefix}_simple_avg_rating, sum(latest_google_review_count) AS gr, sum(crawled_review_count) AS cr,
+        {mean_of("net_sentiment_score")} AS {prefix}_net_sentiment_score, sum(youtube_video_count) AS yv, sum(total_youtube_views) AS tv, round(avg(total_youtube_views), 2) AS av, CAST(sum(total_youtube_views_delta) AS BIGINT) AS total_youtube_views_delta"""
 
 
 TOTALS = "CAST(coalesce(gr, 0) AS BIGINT) AS total_google_review_count, CAST(coalesce(cr, 0) AS BIGINT) AS total_crawled_review_count, CAST(coalesce(yv, 0) AS BIGINT) AS total_youtube_videos_count, CAST(coalesce(tv, 0) AS BIGINT) AS total_youtube_views, coalesce(av, 0) AS avg_views_per_place, total_youtube_views_delta"
 REACH = "coalesce(gr, 0) + coalesce(cr, 0) DESC, coalesce(tv, 0) DESC"
 STEPS["gold_provinces"] = f"""
-    WITH a AS (SELECT province_id, count(*) AS n, count(*) FILTER (crawled_review_count > 0 OR youtube_video_count > 0 OR latest_google_review_count > 0) AS active, count(*) FILTER (is_forecast_eligible) AS ready, count(*) FILTER (place_development_stage = 'Leading Hotspot') AS hot, count(*) FILTER (place_development_stage = 'Rising Star') AS rising, {totals("province")}, round(avg(avg_daily_youtube_view_growth), 2) AS province_avg_daily_view_growth FROM gold_profile GROUP BY 1)
+    WITH a AS (SELECT province_id, count(*) AS n, count(*) FILTER (crawled_review_count > 0 OR youtube_video_count > 0 OR latest_google_review_count > 0) AS active, count(*) FILTER (is_forecast_eligible) AS ready, count(*) FILTER (place_development_stage = 'Leading Hotspot') AS hot, count(*) FILTER (place_development_stage = 'Rising Star') AS rising, {totals("province")}, {mean_of("avg_daily_youtube_view_growth")} AS province_avg_daily_view_growth FROM gold_profile GROUP BY 1)
     SELECT p.province_id, p.province_name, admin_scope, center_lat, center_lon, min_lat, max_lat, min_lon, max_lon, geojson_url, coalesce(n, 0) AS total_places_count, coalesce(active, 0) AS active_places_count, coalesce(ready, 0) AS forecast_ready_places_count, coalesce(hot, 0) AS leading_hotspot_count, coalesce(rising, 0) AS rising_star_count, province_weighted_avg_rating, province_simple_avg_rating, province_net_sentiment_score, {TOTALS}, province_avg_daily_view_growth,
            v.place_id AS top_place_id_by_views, v.place_name AS top_place_name_by_views, r.place_id AS top_place_id_by_reviews, r.place_name AS top_place_name_by_reviews, row_number() OVER (ORDER BY {REACH}, p.province_id) AS national_tourism_rank
     FROM sil_provinces AS p LEFT JOIN a ON p.province_id = a.province_id LEFT JOIN (SELECT province_id, place_id, place_name FROM {top("gold_profile", "province_id", "total_youtube_views DESC, crawled_review_count DESC, place_id")}) AS v ON p.province_id = v.province_id LEFT JOIN (SELECT province_id, place_id, place_name FROM {top("gold_profile", "province_id", f"{POP} DESC, total_youtube_views DESC, place_id")}) AS r ON p.province_id = r.province_id"""

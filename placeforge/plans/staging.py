@@ -7,19 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import cast, text, times
 
-KINDS = {
-    "text": text.clean_null,
-    "lower": lambda c: F.lower(text.clean_null(c)),
-    "upper": lambda c: F.upper(text.clean_null(c)),
-    "free": text.clean_text,
-    "int": cast.to_int,
-    "double": cast.to_double,
-    "bool": cast.to_bool,
-    "time": times.utc_timestamp,
-    "province": cast.province_code,
-    "date": lambda c: c.try_cast("date"),
-    "asis": lambda c: c,
-}
+#: From a raw column.
+RAW_KINDS = {"free": text.clean_text, "date": lambda c: c.try_cast("date"), "asis": lambda c: c}
+#: From a raw column that ``clean_null`` has cleaned.
+CLEAN_KINDS = {"text": lambda v: v, "lower": F.lower, "upper": F.upper, "int": cast.int_of, "double": cast.double_of, "bool": cast.bool_of, "time": times.timestamp_of, "province": cast.province_of}
 
 #: Every feed's rows carry these.
 LINEAGE = {"bronze_run_id": ("run_id", "text"), "bronze_ingested_at_utc": ("ingested_at_utc", "time"), "bronze_record_status": ("record_status", "lower"), "bronze_crawl_date": ("crawl_date", "date"), "bronze_file_path": ("file_path", "asis")}
@@ -45,9 +36,8 @@ SPECS = {
 
 def stage(feed: str, raw: DataFrame) -> DataFrame:
     """The staging table of a feed; fields that the raw table lacks are null."""
-    columns = {c.lower() for c in raw.columns}
-    out = []
-    for name, (source, kind) in {**SPECS[feed], **LINEAGE}.items():
-        value = F.col(source) if source.lower() in columns else F.lit(None).cast("string")
-        out.append(KINDS[kind](value).alias(name))
-    return raw.select(*out)
+    columns, spec = {c.lower() for c in raw.columns}, {**SPECS[feed], **LINEAGE}
+    value = lambda source: F.col(source) if source.lower() in columns else F.lit(None).cast("string")
+    # cleaned once, as columns of their own, however often the casts read them
+    cleaned = raw.withColumns({f"_clean_{s}": text.clean_null(value(s)) for s in dict.fromkeys(s for s, kind in spec.values() if kind in CLEAN_KINDS)})
+    return cleaned.select(*[(CLEAN_KINDS[kind](F.col(f"_clean_{source}")) if kind in CLEAN_KINDS else RAW_KINDS[kind](value(source))).alias(name) for name, (source, kind) in spec.items()])
