@@ -93,18 +93,29 @@ def accent_key(x: Column) -> Column:
     return key(x)
 
 
+def searchable(value: str | None, strip_accents: bool = False) -> str:
+    v = unicodedata.normalize("NFKC", value or "").lower()
+    if strip_accents:
+        v = "".join(c for c in unicodedata.normalize("NFD", v) if unicodedata.category(c) != "Mn")
+    return " ".join(re.sub(r"[^\w\s]", " ", v).split())
+
+
 def search_text(x: Column, strip_accents: bool = False) -> Column:
     """NFKC, lower case, punctuation as blanks, blanks collapsed; optionally without accents. Null is ''."""
 
     @F.pandas_udf("string")
     def normal(s: pd.Series) -> pd.Series:
-        def one(v: str | None) -> str:
-            v = unicodedata.normalize("NFKC", v or "").lower()
-            if strip_accents:
-                v = "".join(c for c in unicodedata.normalize("NFD", v) if unicodedata.category(c) != "Mn")
-            return " ".join(re.sub(r"[^\w\s]", " ", v).split())
+        return s.map(lambda v: searchable(v, strip_accents))
+
+    return normal(x)
 
-        return s.map(one)
+
+def search_terms(x: Column) -> Column:
+    """The terms of text with bars, each as ``search_text`` has it, without empty ones."""
+
+    @F.pandas_udf("array<string>")
+    def normal(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: [t for t in map(searchable, (v or "").split("|")) if t])
 
     return normal(x)
 

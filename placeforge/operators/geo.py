@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import stored
+
 #: Degrees of the grid on which points and polygons meet.
 CELL = 1.0
 RADIUS = 6378137.0
-#: Polygon edges up to which they may be broadcast.
-MAX_EDGES = 200_000
+#: Metres of the first cells in the search for the nearest polygon.
+FIRST_CELL_M = 100_000.0
 
 
 def edges(rings: DataFrame, key: str = "polygon_id", points: str = "points") -> DataFrame:
@@ -35,7 +38,8 @@ def contained(points: DataFrame, polygon_edges: DataFrame, key: str = "polygon_i
     grid = box.withColumn("cx", cells(F.col("x_lo"), F.col("x_hi"))).withColumn("cy", cells(F.col("y_lo"), F.col("y_hi")))
     at = points.select(F.col(point), F.col(x).alias("x"), F.col(y).alias("y"), F.floor(F.col(x) / CELL).cast("int").alias("cx"), F.floor(F.col(y) / CELL).cast("int").alias("cy"))
     near = at.join(grid, ["cx", "cy"]).where("x BETWEEN x_lo AND x_hi AND y BETWEEN y_lo AND y_hi").select(point, "x", "y", key)
-    rows = near.join(polygon_edges, key)
+    # a ray to the side crosses only edges on the point's height, so a polygon's edges are dealt by rows of the grid
+    rows = near.withColumn("cy", F.floor(F.col("y") / CELL).cast("int")).join(polygon_edges.withColumn("cy", cells(F.least("y1", "y2"), F.greatest("y1", "y2"))), [key, "cy"])
     turn = (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) - (F.col("y2") - F.col("y1")) * (F.col("x") - F.col("x1"))
     on = (turn == 0) & F.col("x").between(F.least("x1", "x2"), F.greatest("x1", "x2")) & F.col("y").between(F.least("y1", "y2"), F.greatest("y1", "y2"))
     up = (F.col("y1") <= F.col("y")) & (F.col("y") < F.col("y2")) & (turn > 0)
@@ -56,17 +60,36 @@ def mercator_y(lat: Column) -> Column:
 def nearest(points: DataFrame, polygon_edges: DataFrame, key: str = "polygon_id", x: str = "x", y: str = "y", point: str = "point_id") -> DataFrame:
     """(point, polygon, distance_m): the polygon whose border is nearest in Web Mercator metres, the least key in a tie.
 
-    Every point is held against every edge: the edges are a reference table, broadcast only if there are few.
+    A search in rings: points meet the edges of their grid cell and the eight around it, by an equi-join. A point is done
+    if what it met is no farther than a cell is wide, as nothing outside the nine cells can be nearer; the others go on
+    with cells twice as wide, until one cell holds all edges.
     """
-    few = polygon_edges.limit(MAX_EDGES + 1).count() <= MAX_EDGES
-    e = polygon_edges.select(key, *[(mercator_x if c[0] == "x" else mercator_y)(F.col(c)).alias(c) for c in ("x1", "y1", "x2", "y2")])
-    at = points.select(F.col(point), mercator_x(F.col(x)).alias("px"), mercator_y(F.col(y)).alias("py"))
-    rows = at.crossJoin(F.broadcast(e) if few else e)
+    metres = polygon_edges.select(key, *[(mercator_x if c[0] == "x" else mercator_y)(F.col(c)).alias(c) for c in ("x1", "y1", "x2", "y2")])
+    e = stored(metres.withColumns({"x_lo": F.least("x1", "x2"), "x_hi": F.greatest("x1", "x2"), "y_lo": F.least("y1", "y2"), "y_hi": F.greatest("y1", "y2")}), "edges")
+    left = stored(points.select(F.col(point), mercator_x(F.col(x)).alias("px"), mercator_y(F.col(y)).alias("py")), "points")
+    bounds = e.agg(F.min("x_lo"), F.max("x_hi"), F.min("y_lo"), F.max("y_hi")).first()
+    reach = left.agg(F.min("px"), F.max("px"), F.min("py"), F.max("py")).first()
+    done = left.join(e.select(key), F.lit(False)).select(point, key, F.lit(0.0).alias("distance_m"))
+    if bounds[0] is None or reach[0] is None:
+        return done
+    span = max(max(bounds[1], reach[1]) - min(bounds[0], reach[0]), max(bounds[3], reach[3]) - min(bounds[2], reach[2]))
+    width, found = FIRST_CELL_M, [done]
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("px") - F.col("x1")) * dx + (F.col("py") - F.col("y1")) * dy) / (dx * dx + dy * dy)))
     d = F.sqrt(F.pow(F.col("px") - F.col("x1") - t * dx, 2) + F.pow(F.col("py") - F.col("y1") - t * dy, 2))
-    best = rows.select(point, F.struct(d.alias("distance_m"), F.col(key).alias(key)).alias("c")).groupBy(point).agg(F.min("c").alias("c"))
-    return best.select(point, f"c.{key}", "c.distance_m")
+    while True:
+        cell = lambda c, w=width: F.floor(F.col(c) / w).cast("int")
+        spread = e.withColumn("cx", F.explode(F.sequence(cell("x_lo"), cell("x_hi")))).withColumn("cy", F.explode(F.sequence(cell("y_lo"), cell("y_hi"))))
+        around = lambda c: F.explode(F.array(*[cell(c) + k for k in (-1, 0, 1)]))
+        asks = left.withColumn("cx", around("px")).withColumn("cy", around("py"))
+        best = asks.join(spread, ["cx", "cy"]).groupBy(point).agg(F.min(F.struct(d.alias("distance_m"), F.col(key).alias(key))).alias("c"))
+        last = width > span
+        near = stored(best.select(point, f"c.{key}", "c.distance_m").where(F.lit(last) | (F.col("distance_m") <= width)), "nearest")
+        found.append(near)
+        left = stored(left.join(near.select(point), point, "left_anti"), "points")
+        if last or left.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        width *= 2
 
 
 def conform_to_polygons(places: DataFrame, polygon_edges: DataFrame, tolerance_m: float, key: str = "polygon_id", point: str = "place_id") -> DataFrame:

@@ -149,12 +149,39 @@ def plan_summary(plans: dict[str, DataFrame], dry_run: bool = False) -> DataFram
 
 
 def reference_version(*tables: DataFrame) -> DataFrame:
-    """One row: a hash of the tables' rows, whatever their order."""
+    """One row with ``version``, a SHA-256 of the tables' contents, whatever the order of their rows.
+
+    A row counts as the first 52 bits of the MD5 of its table's number and its values as text, joined by bars, nulls as
+    ``~``; the sum of these numbers and the number of rows are hashed.
+    """
     out = None
     for k, df in enumerate(tables):
-        row = df.select(F.xxhash64(F.lit(k), *df.columns).alias("h"))
+        parts = [F.lit(str(k)), *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns]]
+        row = df.select(F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("decimal(38,0)").alias("h"))
         out = row if out is None else out.unionByName(row)
-    return out.agg(F.sha2(F.concat_ws("/", F.sum(F.col("h").cast("decimal(38,0)")).cast("string"), F.count(F.lit(1)).cast("string")), 256).alias("version"))
+    return out.agg(F.sha2(F.concat_ws("/", F.coalesce(F.sum("h"), F.lit(0)).cast("decimal(38,0)").cast("string"), F.count(F.lit(1)).cast("string")), 256).alias("version"))
+
+
+# ---- Fixed values: what tells the kind of an error, and the statuses ----
+ERROR_WORDS = (
+    ("FAILED_RATE_LIMIT", ("429", "rate", "too many requests")),
+    ("FAILED_DATA", ("csv", "column", "keyerror", "valueerror")),
+    ("FAILED_SEARCH", ("connection", "timeout", "network", "http")),
+)
+UNKNOWN_ERROR = "FAILED_UNKNOWN"
+# ---- End of fixed values ----
+
+
+def error_status(message: Column, name: Column) -> Column:
+    """The status of an error by the first kind that has a word in its message or in the name of its type."""
+    both = [F.lower(F.coalesce(c.cast("string"), F.lit(""))) for c in (message, name)]
+    out = None
+    for status, words in ERROR_WORDS:
+        hit = F.lit(False)
+        for w in words:
+            hit |= F.contains(both[0], F.lit(w)) | F.contains(both[1], F.lit(w))
+        out = F.when(hit, status) if out is None else out.when(hit, status)
+    return out.otherwise(UNKNOWN_ERROR)
 
 
 def run_metrics(events: DataFrame, run: str = "run_id", status: str = "status", at: str = "at") -> DataFrame:

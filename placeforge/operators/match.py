@@ -51,9 +51,8 @@ def resolve(pairs: DataFrame) -> DataFrame:
     """
     plain = ("title", "description", "category", "place_name", "province_name")
     lists = ("aliases", "query_context", "context_keywords", "category_terms", "negative_keywords")
-    out = pairs.withColumns({f"_{c}": text.search_text(F.col(c)) for c in plain} | {f"_{c}": text.search_text(F.regexp_replace(F.coalesce(c, F.lit("")), r"\|", " zqbarqz ")) for c in lists})
-    listed = lambda c: F.filter(F.transform(F.split(F.col(f"_{c}"), "zqbarqz"), lambda t: F.trim(t)), lambda t: t != "")
-    out = out.withColumns({f"_{c}": listed(c) for c in lists} | {"_all": F.concat_ws(" ", "_title", "_description")})
+    out = pairs.withColumns({f"_{c}": text.search_text(F.col(c)) for c in plain} | {f"_{c}": text.search_terms(F.col(c)) for c in lists})
+    out = out.withColumn("_all", F.concat_ws(" ", "_title", "_description"))
     names = F.filter(F.concat(F.array("_place_name"), F.col("_aliases")), lambda n: n != "")
     out = out.withColumn("_names", names)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import geo, ingest, match, reference, shaping
+from ..operators import checks, geo, ingest, match, reference, shaping
 from ..settings import DEFAULTS
 from ..sources import bronze, sinks
 from ..sources.tables import new_path
@@ -167,23 +167,30 @@ def eligibility_rows(spark, d) -> DataFrame:
     return c.select("row_no", reference.eligibility(C("tags_json"), {k: C(k) for k in reference.TAGS}).alias("e")).select("row_no", "e.tourism_status", "e.tourism_reason", "e.tourism_evidence", "e.tourism_confidence")
 
 
-@query(f"""WITH t AS (SELECT *, c_8 = 2 AS bad, c_8 IN (0, 3) AS shop, CASE WHEN c_8 = 4 THEN 'cape' ELSE "natural" END AS nat FROM (SELECT *, row_no % 8 AS c_8 FROM {CAND})),
+ELIGIBLE = f"""WITH t AS (SELECT *, c_8 = 2 AS bad, c_8 IN (0, 3) AS shop, CASE WHEN c_8 = 4 THEN 'cape' ELSE "natural" END AS nat FROM (SELECT *, row_no % 8 AS c_8 FROM {CAND})),
     u AS (SELECT *, CASE WHEN tourism = 'museum' THEN 'tourism=museum' WHEN nat = 'beach' THEN 'natural=beach' WHEN historic = 'castle' THEN 'historic=castle' END AS direct, CASE WHEN leisure = 'park' THEN 'leisure=park' WHEN nat IN ('cape', 'peak') THEN 'natural=' || nat WHEN tourism IN ('artwork', 'attraction') THEN 'tourism=' || tourism END AS cond FROM t)
     SELECT row_no, CASE WHEN bad THEN 'review' WHEN shop AND tourism IS DISTINCT FROM 'museum' THEN 'rejected' WHEN direct IS NOT NULL THEN 'eligible' WHEN cond IS NOT NULL AND c_8 = 1 THEN 'eligible' WHEN cond IS NOT NULL THEN 'review' ELSE 'rejected' END AS tourism_status,
            CASE WHEN bad THEN 'malformed_tags_json' WHEN shop AND tourism IS DISTINCT FROM 'museum' THEN 'non_destination_business' WHEN direct IS NOT NULL THEN 'strong_tourism_tag' WHEN cond IS NOT NULL AND c_8 = 1 THEN 'conditional_tag_with_independent_evidence' WHEN cond IS NOT NULL THEN 'conditional_tag_needs_evidence' ELSE 'no_supported_tourism_signal' END AS tourism_reason,
            CASE WHEN bad THEN 'tags_json' WHEN shop AND tourism IS DISTINCT FROM 'museum' THEN CASE c_8 WHEN 0 THEN 'shop' ELSE 'amenity' END WHEN direct IS NOT NULL THEN direct WHEN cond IS NOT NULL AND c_8 = 1 THEN cond || ';wikidata' WHEN cond IS NOT NULL THEN cond ELSE '' END AS tourism_evidence,
-           CASE WHEN bad THEN 'low' WHEN (shop AND tourism IS DISTINCT FROM 'museum') OR direct IS NOT NULL THEN 'high' WHEN cond IS NOT NULL AND c_8 = 1 THEN 'medium' WHEN cond IS NOT NULL THEN 'low' ELSE 'high' END AS tourism_confidence FROM u""")
+           CASE WHEN bad THEN 'low' WHEN (shop AND tourism IS DISTINCT FROM 'museum') OR direct IS NOT NULL THEN 'high' WHEN cond IS NOT NULL AND c_8 = 1 THEN 'medium' WHEN cond IS NOT NULL THEN 'low' ELSE 'high' END AS tourism_confidence FROM u"""
+
+
+@query(ELIGIBLE)
 def ref6_eligibility(spark, d):
     return eligibility_rows(spark, d)
 
 
-@query(None)
+@query(f"""SELECT validation_status, tourism_status, tourism_reason, validation_status = 'valid' AND tourism_status = 'eligible' AS crawl_eligible, count(*) AS n
+    FROM (SELECT row_no, CASE WHEN r1 = '' THEN 'valid' ELSE 'invalid' END AS validation_status FROM {BASIC}) JOIN ({ELIGIBLE}) USING (row_no) GROUP BY ALL""")
 def ref7_ref11_crawl_eligible_report(spark, d):
     rows = reference.validate_basic(candidates(spark, d)).join(eligibility_rows(spark, d), "row_no").withColumn("crawl_eligible", reference.crawl_eligible())
     return rows.groupBy("validation_status", "tourism_status", "tourism_reason", "crawl_eligible").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(None)
+@query(f"""WITH v AS (SELECT row_no, list_filter([{{'p': 0, 's': CASE tourism WHEN 'museum' THEN 'museum' WHEN 'artwork' THEN 'gallery' END}}, {{'p': 1, 's': CASE "natural" WHEN 'peak' THEN 'mountain' WHEN 'beach' THEN 'beach' END}}, {{'p': 2, 's': CASE historic WHEN 'castle' THEN 'monument' END}}, {{'p': 3, 's': CASE leisure WHEN 'park' THEN 'public_park' END}}], lambda x: x.s IS NOT NULL) AS found FROM {CAND}),
+    e AS (SELECT row_no, UNNEST(CASE WHEN len(found) = 0 THEN [{{'p': 0, 's': 'general_attraction'}}] ELSE found END) AS x FROM v),
+    k(subcategory_name, category_id, category_group, category_name) AS (VALUES ('mountain', 'CAT001', 'natural', 'landscape'), ('beach', 'CAT004', 'natural', 'coastal'), ('monument', 'CAT006', 'heritage', 'historical'), ('museum', 'CAT011', 'culture', 'museum'), ('gallery', 'CAT012', 'culture', 'arts'), ('public_park', 'CAT013', 'recreation', 'park'), ('general_attraction', 'CAT018', 'other', 'attraction'))
+    SELECT row_no, category_id, category_group, category_name, subcategory_name, x.p = min(x.p) OVER (PARTITION BY row_no) AS is_primary FROM e JOIN k ON x.s = subcategory_name""")
 def ref8_map2_classify(spark, d):
     return reference.classify(candidates(spark, d), "row_no")
 
@@ -218,6 +225,36 @@ def agg18_tag_report(spark, d):
     return reference.tag_report(candidates(spark, d))
 
 
+CROSS_CHECK = "(lower(elig) IN ('true', '1', 'yes')) IS DISTINCT FROM (ts = 'eligible' AND vs = 'valid')"
+
+
+@query(f"""WITH p AS (SELECT row_no AS place_id, place_name, CAST(province_id AS VARCHAR) AS province_id, latitude, longitude, r1, tourism_status AS ts, CASE WHEN r1 = '' THEN 'valid' ELSE 'invalid' END AS vs, CASE WHEN row_no % 29 = 0 THEN 'maybe' WHEN r1 = '' AND tourism_status = 'eligible' THEN 'True' ELSE 'false' END AS elig FROM {BASIC} JOIN ({ELIGIBLE}) USING (row_no))
+    SELECT 'provinces' AS stage, 'unique:province_id' AS "check", (SELECT count(*) FROM (SELECT province_id FROM ({raw_sql('provinces')}) GROUP BY 1 HAVING count(*) > 1)) AS violations
+    UNION ALL SELECT 'provinces', 'not_empty', 0 UNION ALL SELECT 'provinces', 'order:min_lat', 0
+    UNION ALL SELECT 'provinces', 'order:min_lon', (SELECT count(*) FROM ({raw_sql('provinces')}) WHERE CAST(min_lon AS DOUBLE) > CAST(max_lon AS DOUBLE))
+    UNION ALL SELECT 'provinces', UNNEST(['number:min_lon', 'number:min_lat', 'number:max_lon', 'number:max_lat']), 0
+    UNION ALL SELECT 'candidates', 'not_empty', 0 UNION ALL SELECT 'candidates', 'unique:osm_type,osm_id', (SELECT count(*) FROM (SELECT osm_type, osm_id FROM {CAND} GROUP BY ALL HAVING count(*) > 1))
+    UNION ALL SELECT 'validated', 'column:spatial_status', 1
+    UNION ALL SELECT 'places', 'not_empty', 0 UNION ALL SELECT 'places', 'unique:place_id', 0
+    UNION ALL SELECT 'places', 'filled:place_name', (SELECT count(*) FROM p WHERE trim(place_name) = '')
+    UNION ALL SELECT 'places', UNNEST(['filled:place_id', 'filled:province_id', 'filled:validation_status', 'filled:tourism_status', 'filled:tourism_reason', 'filled:crawl_eligible', 'filled:tourism_rule_version', 'values:validation_status', 'values:tourism_status']), 0
+    UNION ALL SELECT 'places', 'values:crawl_eligible', (SELECT count(*) FROM p WHERE elig = 'maybe')
+    UNION ALL SELECT 'places', 'rule:crawl_eligible_as_statuses', (SELECT count(*) FROM p WHERE {CROSS_CHECK})
+    UNION ALL SELECT 'places', 'range:latitude', (SELECT count(*) FROM p WHERE latitude IS NULL OR abs(latitude) > 90) UNION ALL SELECT 'places', 'range:longitude', (SELECT count(*) FROM p WHERE longitude IS NULL OR abs(longitude) > 180)""")
+def ref15_stage_gates(spark, d):
+    found = candidates(spark, d)
+    checked = reference.validate_basic(found)
+    ruled = found.select("row_no", reference.eligibility(C("tags_json"), {k: C(k) for k in reference.TAGS}).alias("e")).select("row_no", "e.tourism_status", "e.tourism_reason", "e.tourism_rule_version")
+    places = checked.join(ruled, "row_no").withColumnRenamed("row_no", "place_id")
+    places = places.withColumn("crawl_eligible", F.when(C("place_id") % 29 == 0, "maybe").when(reference.crawl_eligible(), "True").otherwise("false"))
+    stages = {"provinces": raw(spark, d, "provinces"), "candidates": found, "validated": checked, "places": places}
+    out = None
+    for stage, df in stages.items():
+        row = checks.gate_report(df, stage).select(F.lit(stage).alias("stage"), "check", "violations")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---- spatial ----
 
 
@@ -246,15 +283,20 @@ def jn14_point_in_polygon(spark, d):
 MX, MY = "6378137.0 * radians({})", "6378137.0 * ln(tan(pi() / 4 + radians({}) / 2))"
 
 
-@query(f"""SELECT point_id, arg_min(polygon_id, (dist, polygon_id)) AS polygon_id, round(min(dist) / 1000, 3) AS km FROM (SELECT point_id, polygon_id,
+NEAREST = f"""SELECT point_id, arg_min(polygon_id, (dist, polygon_id)) AS polygon_id, round(min(dist) / 1000, 3) AS km FROM (SELECT point_id, polygon_id,
     CASE WHEN x BETWEEN x0 AND x0 + 10 AND y BETWEEN y0 AND y0 + 10 THEN least({MX.format("x - x0")}, {MX.format("x0 + 10 - x")}, {MY.format("y")} - {MY.format("y0")}, {MY.format("y0 + 10")} - {MY.format("y")})
-    ELSE sqrt(pow({MX.format("greatest(x0 - x, 0, x - x0 - 10)")}, 2) + pow(greatest({MY.format("y0")} - {MY.format("y")}, 0, {MY.format("y")} - {MY.format("y0 + 10")}), 2)) END AS dist FROM {SPOTS}, {SQUARES} WHERE abs(x) > 25 OR abs(y) > 25) GROUP BY 1""")
+    ELSE sqrt(pow({MX.format("greatest(x0 - x, 0, x - x0 - 10)")}, 2) + pow(greatest({MY.format("y0")} - {MY.format("y")}, 0, {MY.format("y")} - {MY.format("y0 + 10")}), 2)) END AS dist FROM {SPOTS}, {SQUARES} WHERE abs(x) > 25 OR abs(y) > 25) GROUP BY 1"""
+
+
+@query(NEAREST)
 def jn15_nearest_polygon(spark, d):
     out = geo.nearest(spots(spark, d).where("abs(x) > 25 OR abs(y) > 25"), squares(spark, d))
     return out.select("point_id", "polygon_id", F.round(C("distance_m") / 1000, 3).alias("km"))
 
 
-@query(None)
+@query(f"""WITH i AS (SELECT point_id, min(polygon_id) AS inside FROM {SPOTS} JOIN {SQUARES} ON x BETWEEN x0 AND x0 + 10 AND y BETWEEN y0 AND y0 + 10 GROUP BY 1), f AS (SELECT point_id, polygon_id AS near, km FROM ({NEAREST}))
+    SELECT vec_id AS place_id, CASE WHEN inside IS NOT NULL THEN 'inside' WHEN km <= 1 THEN 'near_boundary' ELSE 'outside' END AS spatial_status, CAST(CASE WHEN inside IS NOT NULL THEN inside WHEN km <= 1 THEN near END AS INTEGER) AS province_id,
+           CASE WHEN inside IS NOT NULL THEN 'valid' WHEN km <= 1 THEN 'review' ELSE 'invalid' END AS validation_status FROM embeddings LEFT JOIN i ON i.point_id = vec_id LEFT JOIN f ON f.point_id = vec_id""")
 def ref5_spatial_conformance(spark, d):
     places = spots(spark, d).select(C("point_id").alias("place_id"), C("x").alias("longitude"), C("y").alias("latitude"), F.lit("valid").alias("validation_status"))
     return geo.conform_to_polygons(places, squares(spark, d), DEFAULTS.boundary_tolerance_m).select("place_id", "spatial_status", C("province_id").cast("int").alias("province_id"), "validation_status")
@@ -312,11 +354,11 @@ def agg21_run_metrics(spark, d):
 
 def evidence(spark, d) -> DataFrame:
     orders = base(spark, d, "orders").select(C("o_custkey").alias("place_id"), C("o_orderdate").alias("at"))
-    events = base(spark, d, "events").where("event_type <> 'error' AND user_id % 3 = 0").select(C("user_id").alias("place_id"), C("ts").alias("at"))
+    events = base(spark, d, "events").where("event_type = 'purchase'").select(C("user_id").alias("place_id"), C("ts").alias("at"))
     return ingest.recency([orders, events], "place_id")
 
 
-EVIDENCE = "(SELECT k AS place_id, max(t) AS \"at\" FROM (SELECT o_custkey AS k, o_orderdate AS t FROM orders UNION ALL SELECT user_id, ts FROM events WHERE event_type <> 'error' AND user_id % 3 = 0) GROUP BY 1)"
+EVIDENCE = "(SELECT k AS place_id, max(t) AS \"at\" FROM (SELECT o_custkey AS k, o_orderdate AS t FROM orders UNION ALL SELECT user_id, ts FROM events WHERE event_type = 'purchase') GROUP BY 1)"
 
 
 @query(f"SELECT place_id, \"at\" FROM {EVIDENCE}")
@@ -347,9 +389,14 @@ def ing10_tiered_limit(spark, d):
     return base(spark, d, "part").select("p_partkey", ingest.review_limit(terms).cast("bigint").alias("lim"))
 
 
-@query(None)
+def row_number_of(k: int, table: str, *columns: str) -> str:
+    return f"SELECT CAST('0x' || substr(md5(concat_ws('|', '{k}', {', '.join(f'coalesce(CAST({c} AS VARCHAR), chr(126))' for c in columns)})), 1, 13) AS BIGINT) AS h FROM {table}"
+
+
+@query(f"SELECT sha256(concat(coalesce(sum(h), 0), '/', count(*))) AS version FROM ({row_number_of(0, 'customer', 'c_custkey', 'c_name', 'c_mktsegment')} UNION ALL {row_number_of(1, 'nation', 'n_nationkey', 'n_name')} UNION ALL {row_number_of(2, 'lineitem', 'l_orderkey', 'l_linenumber', 'l_returnflag')})")
 def ing11_reference_version(spark, d):
-    return ingest.reference_version(base(spark, d, "customer"), base(spark, d, "nation"), base(spark, d, "lineitem").select("l_orderkey", "l_quantity"))
+    tables = {"customer": ("c_custkey", "c_name", "c_mktsegment"), "nation": ("n_nationkey", "n_name"), "lineitem": ("l_orderkey", "l_linenumber", "l_returnflag")}
+    return ingest.reference_version(*[base(spark, d, t).select(*columns) for t, columns in tables.items()])
 
 
 @query("SELECT l_partkey, min(l_orderkey) AS l_orderkey FROM lineitem WHERE l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_suppkey % 7 = 0) GROUP BY 1")
@@ -404,6 +451,16 @@ def ss3_streaming_status(spark, d):
     return streams.status_to_end(spark, d)
 
 
-@query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL")
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def ss2_dedup_within_watermark(spark, d):
+    return streams.recent_distinct_to_end(spark, d)
+
+
+@query("SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY GROUP BY ALL")
 def ss4_streaming_daily_counts(spark, d):
     return streams.daily_to_end(spark, d)
+
+
+@query("SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS n FROM events GROUP BY ALL")
+def ss4_streaming_monthly_counts(spark, d):
+    return streams.monthly_to_end(spark, d)

@@ -42,6 +42,11 @@ def mean_of(x: str) -> str:
     return f"round(CAST(sum(CAST(round(({x}) * 100) AS BIGINT)) AS DOUBLE) / count({x})) / 100"
 
 
+def error_status_of(message: str, name: str) -> str:
+    kinds = (("FAILED_RATE_LIMIT", "429|rate|too many requests"), ("FAILED_DATA", "csv|column|keyerror|valueerror"), ("FAILED_SEARCH", "connection|timeout|network|http"))
+    return "CASE " + " ".join(f"WHEN regexp_matches(lower(concat({message}, chr(10), {name})), '{words}') THEN '{status}'" for status, words in kinds) + " ELSE 'FAILED_UNKNOWN' END"
+
+
 def staged(feed: str) -> str:
     columns = ", ".join(f"{KINDS[kind](source)} AS {name}" for name, (source, kind) in {**SPECS[feed], **LINEAGE}.items())
     return f"SELECT {columns} FROM ({raw_sql(feed)})"

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cast, text, times
-from ..operators import checks, shaping
+from ..operators import checks, scope, shaping
 from . import oracle
 from .inputs import base, raw, raw_sql
 from .models import Lakehouse
@@ -74,12 +74,27 @@ def flt7_not_in_future(spark, d):
     return Lakehouse(spark, d).videos.select("place_id", "video_id", "published_at_utc")
 
 
-@query("SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE lower(n_name) IN ('nation_3', 'nation_7') AND c_custkey % 4 = 0 AND (c_mktsegment = 'BUILDING' OR c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'))")
+def tagged_places(house: Lakehouse) -> DataFrame:
+    return house.places.withColumnsRenamed({f"osm_{t}_tag": t for t in scope.CORE})
+
+
+CORE_SQL = " OR ".join(f"osm_{t}_tag IN ({', '.join(repr(v) for v in values)})" for t, values in scope.CORE.items())
+SCOPE_SQL = f"SELECT place_id, place_name, province_id FROM sil_places WHERE validation_status = 'valid' AND crawl_eligible AND ({CORE_SQL})"
+
+
+@query(oracle.with_steps("sil_places", "sil_place_categories") + f" {SCOPE_SQL} AND (lower(province_name) IN ('nation_3', 'nation_7', 'nation_11', 'nation_19') OR province_id IN ('04', '12')) AND place_id IN (SELECT place_id FROM sil_place_categories WHERE category_name IN ('brand#12', 'brand 12'))")
 def flt8_scope(spark, d):
-    c, nations = base(spark, d, "customer"), base(spark, d, "nation").where(text.accent_key(C("n_name")).isin("nation 3", "nation 7"))
-    urgent = base(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(C("o_custkey").alias("c_custkey")).distinct().withColumn("urgent", F.lit(True))
-    out = c.join(nations, C("c_nationkey") == C("n_nationkey"), "left_semi").where(C("c_custkey") % 4 == 0).join(urgent, "c_custkey", "left")
-    return out.where((C("c_mktsegment") == "BUILDING") | C("urgent")).select("c_custkey")
+    house = Lakehouse(spark, d, store=True)
+    terms = house.place_categories.select("place_id", C("category_name").alias("term"))
+    found = scope.in_scope(tagged_places(house), ["Nation 3", "NÀTION-7", "nation_11", " Nation 19 ", "04", "12"], category="Bránd 12", categories=terms)
+    return found.select("place_id", "place_name", "province_id")
+
+
+@query(oracle.with_steps("sil_places") + f" {SCOPE_SQL} AND osm_natural_tag = 'beach' UNION ALL SELECT place_id, place_name, province_id FROM sil_places WHERE validation_status = 'valid' AND crawl_eligible AND place_id IN ('OSM_node_1', 'OSM_node_4')")
+def flt8_scope_by_tag_and_id(spark, d):
+    places = tagged_places(Lakehouse(spark, d, store=True))
+    found = scope.in_scope(places, category="BEACH").unionByName(scope.in_scope(places, place_ids=scope.words_given({"place_ids": [" OSM_node_1", "OSM_node_4", "OSM_node_1"]}, "place_id", "place_ids")))
+    return found.select("place_id", "place_name", "province_id")
 
 
 @query("SELECT s_suppkey FROM supplier WHERE s_nationkey < 5")
@@ -177,9 +192,9 @@ def jn12_key_set_filters(spark, d):
     return out.join(e.where("event_type = 'error'"), C("o_orderkey") == C("event_id"), "left_anti").select("o_orderkey")
 
 
-@query("SELECT l_orderkey, l_linenumber, p_partkey, coalesce(nullif(l_returnflag, 'N'), p_brand) AS flag FROM lineitem LEFT JOIN part ON l_suppkey = p_size")
+@query("SELECT l_orderkey, l_linenumber, s_suppkey, coalesce(nullif(l_returnflag, 'N'), s_name) AS flag FROM lineitem LEFT JOIN supplier ON l_partkey % 200 = s_suppkey")
 def jn13_fill_from_mapping(spark, d):
-    return base(spark, d, "lineitem").join(base(spark, d, "part"), C("l_suppkey") == C("p_size"), "left").select("l_orderkey", "l_linenumber", "p_partkey", F.coalesce(F.nullif(C("l_returnflag"), F.lit("N")), C("p_brand")).alias("flag"))
+    return base(spark, d, "lineitem").join(base(spark, d, "supplier"), C("l_partkey") % 200 == C("s_suppkey"), "left").select("l_orderkey", "l_linenumber", "s_suppkey", F.coalesce(F.nullif(C("l_returnflag"), F.lit("N")), C("s_name")).alias("flag"))
 
 
 @query("SELECT o_custkey, array_to_string(list_sort(list(DISTINCT p_brand)), '|') AS brands FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1")
@@ -489,20 +504,52 @@ def dq7_dq12_report(spark, d):
     })
 
 
-@query(oracle.with_steps("sil_coverage") + """, c AS (SELECT 'reviews' AS "check", (SELECT sum(review_count) FROM sil_coverage) AS l, (SELECT count(*) FROM sil_reviews) AS r UNION ALL SELECT 'videos', (SELECT sum(video_snapshot_count) FROM sil_coverage), (SELECT count(*) FROM sil_video_snapshots) UNION ALL SELECT 'ratings', (SELECT sum(rating_snapshot_count) FROM sil_coverage), (SELECT count(*) FROM sil_ratings))
-    SELECT "check", CAST(l AS BIGINT) AS left_value, CAST(r AS BIGINT) AS right_value FROM c WHERE l IS DISTINCT FROM r""")
-def dq8_coverage_reconciles(spark, d):
-    h = Lakehouse(spark, d, store=True)
-    total = lambda c: h.coverage.agg(F.sum(c))
-    return checks.reconcile({"reviews": (total("review_count"), h.reviews.agg(n())), "videos": (total("video_snapshot_count"), h.video_snapshots.agg(n())), "ratings": (total("rating_snapshot_count"), h.ratings.agg(n()))})
+COMPARED = ' SELECT "check", CAST(l AS BIGINT) AS left_value, CAST(r AS BIGINT) AS right_value, l IS DISTINCT FROM r AS differs FROM c'
 
 
-@query(oracle.with_steps("gold_videos", "sil_places") + """, c AS (SELECT 'videos' AS "check", (SELECT count(*) FROM gold_videos) AS l, (SELECT count(*) FROM sil_videos) AS r UNION ALL SELECT 'views', (SELECT sum(latest_views) FROM gold_videos), (SELECT sum(views) FROM sil_videos) UNION ALL SELECT 'comments', (SELECT sum(crawled_comment_count) FROM gold_videos), (SELECT count(*) FROM sil_comments))
-    SELECT "check", CAST(l AS BIGINT) AS left_value, CAST(r AS BIGINT) AS right_value FROM c WHERE l IS DISTINCT FROM r""")
+def compared(pairs: dict[str, tuple[str, str]]) -> str:
+    """The SQL of named pairs of scalar queries."""
+    return ", c AS (" + " UNION ALL ".join(f"SELECT '{k}' AS \"check\", ({a}) AS l, ({b}) AS r" for k, (a, b) in pairs.items()) + ")" + COMPARED
+
+
+COVERED = {"reviews": ("review_count", "sil_reviews"), "video_snapshots": ("video_snapshot_count", "sil_video_snapshots"), "comments": ("comment_count", "sil_comments"), "rating_snapshots": ("rating_snapshot_count", "sil_ratings")}
+
+
+@query(
+    oracle.with_steps("sil_coverage")
+    + compared({k: (f"SELECT coalesce(sum({c}), 0) FROM sil_coverage", f"SELECT count(*) FROM {t} WHERE is_place_in_dim") for k, (c, t) in COVERED.items()} | {"videos": ("SELECT coalesce(sum(video_count), 0) FROM sil_coverage", "SELECT count(DISTINCT (place_id, video_id)) FROM sil_videos WHERE is_place_in_dim")})
+)
+def dq8_coverage_reconciles(spark, d):
+    h = Lakehouse(spark, d, store=True)
+    total = lambda c: h.coverage.agg(F.coalesce(F.sum(c), F.lit(0)))
+    facts = {"reviews": h.reviews, "video_snapshots": h.video_snapshots, "comments": h.comments, "rating_snapshots": h.ratings}
+    pairs = {k: (total(COVERED[k][0]), df.where("is_place_in_dim").agg(n())) for k, df in facts.items()}
+    return checks.reconcile(pairs | {"videos": (total("video_count"), h.videos.where("is_place_in_dim").agg(F.countDistinct("place_id", "video_id")))}, every=True)
+
+
+@query(
+    oracle.with_steps("gold_profile", "gold_provinces", "gold_categories", "gold_videos", "sil_coverage", "sil_taxonomy")
+    + compared({
+        "place_360_row_count": ("SELECT count(*) FROM gold_profile", "SELECT count(*) FROM sil_places"),
+        "province_summary_row_count": ("SELECT count(*) FROM gold_provinces", "SELECT count(*) FROM sil_provinces"),
+        "category_summary_row_count": ("SELECT count(*) FROM gold_categories", "SELECT count(*) FROM sil_taxonomy"),
+        "video_performance_row_count": ("SELECT count(*) FROM gold_videos", "SELECT count(*) FROM sil_videos"),
+        "province_places_sum_matches_place_360": ("SELECT coalesce(sum(total_places_count), 0) FROM gold_provinces", "SELECT count(*) FROM gold_profile"),
+        "place_360_reviews_matches_coverage": ("SELECT coalesce(sum(crawled_review_count), 0) FROM gold_profile", "SELECT coalesce(sum(review_count), 0) FROM sil_coverage"),
+        "place_360_videos_matches_coverage": ("SELECT coalesce(sum(youtube_video_count), 0) FROM gold_profile", "SELECT coalesce(sum(video_count), 0) FROM sil_coverage"),
+    })
+)
 def dq9_set3_gold_reconciles(spark, d):
     h = Lakehouse(spark, d, store=True)
-    g = h.video_performance
-    return checks.reconcile({"videos": (g.agg(n()), h.videos.agg(n())), "views": (g.agg(F.sum("latest_views")), h.videos.agg(F.sum("views"))), "comments": (g.agg(F.sum("crawled_comment_count")), h.comments.agg(n()))})
+    rows = lambda df: df.agg(n())
+    total = lambda df, c: df.agg(F.coalesce(F.sum(c), F.lit(0)))
+    return checks.reconcile({
+        "place_360_row_count": (rows(h.profile), rows(h.places)), "province_summary_row_count": (rows(h.province_summary), rows(h.provinces)),
+        "category_summary_row_count": (rows(h.category_summary), rows(h.taxonomy)), "video_performance_row_count": (rows(h.video_performance), rows(h.videos)),
+        "province_places_sum_matches_place_360": (total(h.province_summary, "total_places_count"), rows(h.profile)),
+        "place_360_reviews_matches_coverage": (total(h.profile, "crawled_review_count"), total(h.coverage, "review_count")),
+        "place_360_videos_matches_coverage": (total(h.profile, "youtube_video_count"), total(h.coverage, "video_count")),
+    }, every=True)
 
 
 @query("SELECT before, after, after / nullif(before, 0) AS ratio FROM (SELECT (SELECT count(DISTINCT o_custkey) FROM orders) AS before, (SELECT count(DISTINCT user_id) FROM events) AS after) WHERE after / before < 0.95")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cast, text, times
+from ..operators import ingest
 from . import oracle as o
 from .inputs import RAW, base, raw, raw_sql
 
@@ -81,7 +82,7 @@ SCALARS = {
     "mth5_sum_of_columns": Scalar("orders", lambda: {"o_orderkey": C("o_orderkey"), "v": F.coalesce(F.nullif(C("o_orderkey") % 5, F.lit(0)), F.lit(0)) + F.coalesce(F.nullif(C("o_custkey") % 3, F.lit(1)), F.lit(0))}, {"o_orderkey": "o_orderkey", "v": "coalesce(nullif(o_orderkey % 5, 0), 0) + coalesce(nullif(o_custkey % 3, 1), 0)"}),
     "mth6_shares": Scalar("orders", lambda: {"o_orderkey": C("o_orderkey"), **{f"p{k}": cast.ratio_pct(C("o_orderkey") % (k + 2), C("o_custkey") % 8 * 2) for k in range(5)}}, {"o_orderkey": "o_orderkey", **{f"p{k}": o.pct(f"o_orderkey % {k + 2}", "o_custkey % 8 * 2") for k in range(5)}}),
     "mth7_clamp": Scalar("embeddings", lambda: {"vec_id": C("vec_id"), "v": cast.clamp(C("embedding")[0].cast("double") * 4)}, {"vec_id": "vec_id", "v": "greatest(0.0, least(1.0, CAST(embedding[1] AS DOUBLE) * 4))"}),
-    "cnd6_error_class": Scalar("events", lambda: {"event_id": C("event_id"), "v": F.when(F.lower("event_type").rlike("error|fail"), "FAILED").when(F.lower("event_type").rlike("sign"), "LOGIN").otherwise("SUCCESS")}, {"event_id": "event_id", "v": "CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_type = 'signup' THEN 'LOGIN' ELSE 'SUCCESS' END"}),
+    "cnd6_error_class": Scalar("documents", lambda: {"doc_id": C("doc_id"), "status": ingest.error_status(C("text"), C("source"))}, {"doc_id": "doc_id", "status": o.error_status_of("text", "source")}),
     "arr2_ordered_distinct": Scalar("part", lambda: {"p_partkey": C("p_partkey"), "v": F.array_join(F.array_distinct(F.split(F.concat_ws(" ", "p_name", "p_name"), " ")), "|")}, {"p_partkey": "p_partkey", "v": "CASE WHEN split_part(p_name, ' ', 1) = split_part(p_name, ' ', 2) OR NOT contains(p_name, ' ') THEN split_part(p_name, ' ', 1) ELSE split_part(p_name, ' ', 1) || '|' || split_part(p_name, ' ', 2) END"}),
     "arr3_terms_found": Scalar("documents", lambda: {"doc_id": C("doc_id"), "n": text.terms_found(F.lower("text"), text.terms(F.lit("the| ha |idiot|| que"))).cast("bigint")}, {"doc_id": "doc_id", "n": "CAST(contains(lower(text), 'the') AS BIGINT) + CAST(contains(lower(text), 'ha') AS BIGINT) + CAST(contains(lower(text), 'idiot') AS BIGINT) + CAST(contains(lower(text), 'que') AS BIGINT)"}),
     "arr4_word_overlap": Scalar("documents", lambda: {"doc_id": C("doc_id"), "v": F.arrays_overlap(F.split("text", " "), F.array(F.lit("idiot"), F.lit("pathetic"), F.lit("clown")))}, {"doc_id": "doc_id", "v": "list_has_any(string_split(text, ' '), ['idiot', 'pathetic', 'clown'])"}),

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where none is set."""
+    """The shared folder of spark.checkpoint.dir; a temporary one only where none is set and all runs in one process."""
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not place:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         place = "file://" + tempfile.mkdtemp(prefix="placeforge-")
         spark.sparkContext.setCheckpointDir(place)
     return place.rstrip("/")

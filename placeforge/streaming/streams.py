@@ -9,6 +9,8 @@ from ..operators.shaping import new_keys
 from ..sources.tables import new_path
 
 C = F.col
+#: How late a row may come to its day's count, and how far apart repeats of a key are still seen.
+LATE, HORIZON = "1 day", "3650 days"
 
 
 def files(spark: SparkSession, path: str, schema, per_trigger: int = 64) -> DataFrame:
@@ -65,19 +67,14 @@ def monthly_counts(stream: DataFrame, at: str, by: str) -> DataFrame:
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored events as a stream."""
     path = f"{sf_dir}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    whole = spark.readStream.schema(schema)
-    if is_folder(spark, path):
+    stored = spark.read.parquet(path)
+    whole = spark.readStream.schema(stored.schema)
+    files_ = stored.select("_metadata.file_path").limit(1).first()
+    if files_ is None or not files_[0].endswith("/events.parquet"):
         return whole.parquet(path)
     return whole.option("pathGlobFilter", "events.parquet").parquet(sf_dir)  # a single file is read through its folder
 
 
-def is_folder(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
-
-
 def to_end(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a stream over what there is now, and read what it wrote."""
     spark = stream.sparkSession
@@ -112,7 +109,21 @@ def status_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_end(latest_status(log, "item"), "stream-status", "complete")
 
 
+def timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).withColumn("ts", C("ts").cast("timestamp"))
+
+
 def daily_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).withColumn("ts", C("ts").cast("timestamp"))
-    counts = daily_counts(rows, "ts", "event_type", "1 day").select("event_type", C("window.start").cast("date").alias("day"), "n")
-    return to_end(counts, "stream-daily", "complete")
+    """Days that the watermark has passed, each given out once; the last ones stay in the state."""
+    counts = daily_counts(timed(spark, sf_dir), "ts", "event_type", LATE).select("event_type", C("window.start").cast("date").alias("day"), "n")
+    return to_end(counts, "stream-daily")
+
+
+def monthly_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_end(monthly_counts(timed(spark, sf_dir), "ts", "event_type"), "stream-monthly", "complete")
+
+
+def recent_distinct_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a user and type of event within the horizon, as user_id and event_type."""
+    rows = dedup_within(timed(spark, sf_dir), ["user_id", "event_type"], "ts", HORIZON).select("user_id", "event_type")
+    return to_end(rows, "stream-recent")
