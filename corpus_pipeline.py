@@ -2,6 +2,13 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a table; all but the last return the columns of documents. Between
 stages the table is written as Parquet and read again. A text that a stage changes gets its n_chars anew.
+
+Cases. A null or blank text has too few words and goes in the first stage, as every text of under 50 words does. Null
+ids, languages and sources are values like others; a null source is one source of its own. Repeated rows are judged
+each; of them one stays as a class of near-duplicates, the one with the least doc_id, then text hash. Mixing makes
+copies of a row that are equal in every column, so their packed pieces are interchangeable. A column ``copy`` or
+``mean_rate`` of the documents is replaced when they are mixed; other extra columns are carried up to packing. Empty
+tables give empty results.
 """
 
 from __future__ import annotations
@@ -51,5 +58,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: Tokenizers and BagMinHash are beyond SQL; tests hold the stages against brute force.
+#: Tokenizers and BagMinHash are beyond SQL; tests/llm/test_pipeline.py holds each stage's rows and run() against plain Python.
 ORACLE_SQL = None
