@@ -18,12 +18,18 @@ RATIO = 0.6
 
 def trim_spaces(x: Column) -> Column:
     """Without Unicode space separators at both ends; tabs and line ends stay."""
-    return F.btrim(x.cast("string"), F.lit(SEPARATORS))
+    s = x.cast("string")
+    # in plain ASCII only the blank can be one
+    return F.when(F.octet_length(s) == F.length(s), F.trim(s)).otherwise(F.btrim(s, F.lit(SEPARATORS)))
+
+
+def not_null_word(v: Column) -> Column:
+    """A trimmed text, or null for a word that means null; these have four letters at most."""
+    return F.when((F.octet_length(v) > 4) | ~F.lower(v).isin(*NULL_WORDS), v)
 
 
 def clean_null(x: Column) -> Column:
-    v = trim_spaces(x)
-    return F.when(~F.lower(v).isin(*NULL_WORDS), v)
+    return not_null_word(trim_spaces(x))
 
 
 def clean_text(x: Column) -> Column:

@@ -25,7 +25,9 @@ def utc_timestamp(x: Column) -> Column:
 def timestamp_of(v: Column) -> Column:
     """The same of a text that ``clean_null`` has seen."""
     zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), v.try_cast("timestamp").cast("timestamp_ntz"))
-    return F.when(v.rlike(OFFSET), zoned).otherwise(v.try_cast("timestamp_ntz"))
+    # most texts with an offset end in hh:mm:ssZ, which need no pattern
+    plain_z = (F.substring(v, -1, 1) == "Z") & (F.substring(v, -4, 1) == ":") & (F.substring(v, -7, 1) == ":")
+    return F.when(plain_z | v.rlike(OFFSET), zoned).otherwise(v.try_cast("timestamp_ntz"))
 
 
 def relative_text(x: Column) -> Column:

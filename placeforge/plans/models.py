@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..settings import DEFAULTS, Settings
+from ..settings import DEFAULTS, Settings, tune
 from ..sources.tables import stored
 from . import gold, silver
 from .inputs import raw
@@ -34,6 +34,7 @@ class Lakehouse:
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = DEFAULTS, store: bool = False) -> None:
         self.spark, self.sf_dir, self.settings, self.store = spark, sf_dir, settings, store
+        tune(spark)
         self.feeds: dict[str, DataFrame] = {}
 
     def staged(self, feed: str) -> DataFrame:

@@ -38,6 +38,8 @@ def stage(feed: str, raw: DataFrame) -> DataFrame:
     """The staging table of a feed; fields that the raw table lacks are null."""
     columns, spec = {c.lower() for c in raw.columns}, {**SPECS[feed], **LINEAGE}
     value = lambda source: F.col(source) if source.lower() in columns else F.lit(None).cast("string")
-    # cleaned once, as columns of their own, however often the casts read them
-    cleaned = raw.withColumns({f"_clean_{s}": text.clean_null(value(s)) for s in dict.fromkeys(s for s, kind in spec.values() if kind in CLEAN_KINDS)})
+    # trimmed and cleaned once, as columns of their own, however often the casts read them
+    sources = dict.fromkeys(s for s, kind in spec.values() if kind in CLEAN_KINDS)
+    trimmed = raw.withColumns({f"_clean_{s}": text.trim_spaces(value(s)) for s in sources})
+    cleaned = trimmed.withColumns({f"_clean_{s}": text.not_null_word(F.col(f"_clean_{s}")) for s in sources})
     return cleaned.select(*[(CLEAN_KINDS[kind](F.col(f"_clean_{source}")) if kind in CLEAN_KINDS else RAW_KINDS[kind](value(source))).alias(name) for name, (source, kind) in spec.items()])

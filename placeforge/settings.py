@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark.sql import SparkSession
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -26,3 +28,14 @@ class Settings:
 
 
 DEFAULTS = Settings()
+
+#: HotSpot never compiles a method of more bytes than this, so a wide projection in one generated method would be
+#: interpreted; with this limit Spark runs such operators apart, in methods that are compiled.
+METHOD_BYTES = "8000"
+
+
+def tune(spark: SparkSession) -> None:
+    """Lower the session's limit for generated methods, unless the user has set one."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key) == "65535":
+        spark.conf.set(key, METHOD_BYTES)
