@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, hilbert, lines, media, mixing, neardup, packing, quality, urls, wrapper
+from . import chunks, hilbert, lines, media, mixing, neardup, packing, quality, resampling, toxicity, urls, wrapper
 from ._common import table
 
 
@@ -57,10 +57,21 @@ def op10_bagminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_sentences", "worst_start", "worst_length")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_html_extraction, op2_substring_dedup, op3_line_dedup, op4_best_fit_packing, op5_poisson_mixing, op6_hilbert_sharding, op7_media_columns, op8_url_filters, op9_quality_rules, op10_bagminhash_neardup)
+    own = (op1_html_extraction, op2_substring_dedup, op3_line_dedup, op4_best_fit_packing, op5_poisson_mixing, op6_hilbert_sharding, op7_media_columns, op8_url_filters, op9_quality_rules, op10_bagminhash_neardup, op12_importance_resampling, op13_toxicity)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": lines.ORACLE, "op5_poisson_mixing": mixing.ORACLE, "op8_url_filters": urls.ORACLE}
+    return {"op3_line_dedup": lines.ORACLE, "op5_poisson_mixing": mixing.ORACLE, "op8_url_filters": urls.ORACLE, "op12_importance_resampling": resampling.ORACLE}
