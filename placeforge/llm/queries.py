@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, hilbert, lines, media, mixing, neardup, packing, quality, resampling, toxicity, urls, wrapper
+from . import alignment, chunks, hilbert, lines, media, mixing, neardup, packing, quality, resampling, toxicity, urls, wrapper
 from ._common import table
 
 
@@ -57,6 +57,10 @@ def op10_bagminhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resampling.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
@@ -69,7 +73,7 @@ def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_html_extraction, op2_substring_dedup, op3_line_dedup, op4_best_fit_packing, op5_poisson_mixing, op6_hilbert_sharding, op7_media_columns, op8_url_filters, op9_quality_rules, op10_bagminhash_neardup, op12_importance_resampling, op13_toxicity)
+    own = (op1_html_extraction, op2_substring_dedup, op3_line_dedup, op4_best_fit_packing, op5_poisson_mixing, op6_hilbert_sharding, op7_media_columns, op8_url_filters, op9_quality_rules, op10_bagminhash_neardup, op11_tokenizer_alignment, op12_importance_resampling, op13_toxicity)
     return {f.__name__: f for f in own}
 
 
