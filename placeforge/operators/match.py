@@ -85,13 +85,3 @@ def best_ratio(names: Column, title: Column) -> Column:
         return pd.Series([max((SequenceMatcher(None, n, t or "").ratio() for n in ns), default=0.0) for ns, t in zip(many, one, strict=True)], dtype="float64")
 
     return best(names, title)
-
-
-def cards(pages: DataFrame, html: str = "html", key: str = "place_id") -> DataFrame:
-    """Review cards of stored pages, the first of each id: rating, text, date, likes; without an id a hash of place and text."""
-    part = lambda name: F.nullif(F.trim(F.regexp_replace(F.regexp_extract("card", rf'(?s)class="{name}"[^>]*>(.*?)</', 1), "<[^>]*>", "")), F.lit(""))
-    out = pages.select(key, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(r"(?s)(<div[^>]*data-review-id.*?</div>)"), F.lit(1))).alias("pos", "card"))
-    out = out.select(key, "pos", F.nullif(F.regexp_extract("card", 'data-review-id="([^"]*)"', 1), F.lit("")).alias("review_id"), F.regexp_extract(F.regexp_extract("card", 'aria-label="([^"]*)"', 1), r"(\d)", 1).try_cast("int").alias("rating"), part("text").alias("review_text"), part("date").alias("review_date"), text.first_number(part("likes")).alias("likes_count"))
-    out = out.withColumn("review_id", F.coalesce("review_id", F.sha1(F.concat_ws("|", F.col(key), "review_text"))))
-    first = F.min_by(F.struct("rating", "review_text", "review_date", "likes_count"), "pos").alias("c")
-    return out.groupBy(key, "review_id").agg(first).select(key, "review_id", "c.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import checks, geo, ingest, match, reference, shaping
+from ..operators import cards, checks, geo, ingest, match, reference, shaping
 from ..settings import DEFAULTS
 from ..sources import bronze, sinks
 from ..sources.tables import new_path
@@ -419,11 +419,27 @@ def ing14_resolution_score(spark, d):
     return match.resolve(c.join(p, "k")).select("conv_id", "turn", "resolution_score", "resolution_status", "resolution_reason")
 
 
-@query("SELECT page_id AS place_id, concat('r', page_id % 7) AS review_id, CAST(1 + page_id % 5 AS INT) AS rating, CAST(1000 + page_id % 1000 AS BIGINT) AS likes_count FROM pages")
+def stored_pages(spark, d) -> DataFrame:
+    """The pages with cards behind them, which the page's number decides: nested, repeated, without an id, with the owner's answer."""
+    n = C("page_id").cast("string")
+    k = C("page_id") % 5
+    part = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    stars = F.when(k == 0, part('<i role="img" aria-label="', (C("page_id") % 3).cast("string"), ' of 5"></i><span class="kvMYJc x" aria-label="', (1 + k).cast("string"), ',0 stars"></span>'))
+    stars = stars.when(k == 1, part("<div><b role=img aria-label='Rated ", (1 + C("page_id") % 4).cast("string"), "'></b></div>")).when(k == 2, F.lit('<span class="kvMYJc"></span><i role="img" aria-label="3"></i>')).otherwise(F.lit(""))
+    answer = F.when(C("page_id") % 2 == 0, part('<div class="CDe7pd"><div><span class="wiI7pd">thanks ', n, "</span></div></div>")).otherwise(F.lit(""))
+    body = part('<div><span class="MyEned"><span class="a wiI7pd">good<br>place <div>no. ', n, "</div></span></span>")
+    likes = F.when(C("page_id") % 3 != 0, part('<span class="pkWtMe">1.', F.lpad((C("page_id") % 1000).cast("string"), 3, "0"), " likes</span>")).otherwise(F.lit(""))
+    inner = part('<div data-review-id="in', n, '"><span class="rsqaWe">a week ago</span><span class="wiI7pd"> inner </span></div>')
+    card = part('<div class="jftiEf"><div data-review-id="out', n, '">', stars, answer, body, '<p>more</p><span class="rsqaWe">\n 2  days ago</span>', likes, inner, "</div></div></div>")
+    again = part('<div data-review-id="out', n, '"><span class="wiI7pd">again</span></div><div data-review-id=""><span class="wiI7pd">none</span></div><div data-review-id="&nbsp; "><span class="wiI7pd">blank ', n, "</span></div>")
+    return base(spark, d, "pages").select(C("page_id").alias("place_id"), F.concat("html", card, again).alias("html"))
+
+
+@query("""SELECT page_id AS place_id, concat('out', page_id) AS review_id, CAST(CASE page_id % 5 WHEN 0 THEN 1 WHEN 1 THEN 1 + page_id % 4 END AS BIGINT) AS rating, concat('good place no. ', page_id) AS review_text, '2 days ago' AS review_date, CAST(CASE WHEN page_id % 3 = 0 THEN 0 ELSE 1000 + page_id % 1000 END AS BIGINT) AS likes_count FROM pages
+    UNION ALL SELECT page_id, concat('in', page_id), NULL, 'inner', 'a week ago', 0 FROM pages
+    UNION ALL SELECT page_id, sha1(concat(page_id, '|blank ', page_id)), NULL, concat('blank ', page_id), NULL, 0 FROM pages""")
 def ing15_cards(spark, d):
-    card = lambda text: F.concat(F.lit('<div data-review-id="r'), (C("page_id") % 7).cast("string"), F.lit('"><span aria-label="'), (1 + C("page_id") % 5).cast("string"), F.lit(f' stars"></span><p class="text">{text}</p><i class="likes">1.'), F.lpad((C("page_id") % 1000).cast("string"), 3, "0"), F.lit(" likes</i></div>"))
-    pages = base(spark, d, "pages").select("page_id", F.concat("html", card("first"), card("second")).alias("html")).withColumnRenamed("page_id", "place_id")
-    return match.cards(pages).select("place_id", "review_id", "rating", "likes_count")
+    return cards.cards(stored_pages(spark, d))
 
 
 @query(f"SELECT item, arg_max(status, (\"at\", seq)) AS status FROM {LOG} GROUP BY 1")
