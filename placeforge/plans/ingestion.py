@@ -79,9 +79,12 @@ def src6_csv_layouts(spark, d):
     return bronze.read_csv_layouts(spark, path, [["id", "name"], ["id", "name", "nation"]])
 
 
-@query("SELECT o_orderkey FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)")
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, concat(max(year(o_orderdate)) OVER (), '-01-01') AS crawl_date FROM orders QUALIFY year(o_orderdate) = max(year(o_orderdate)) OVER ()")
 def src7_newest_partition(spark, d):
-    return bronze.newest_partition(base(spark, d, "orders").withColumn("crawl_date", F.year("o_orderdate"))).select("o_orderkey")
+    path = new_path(spark, "by-date")
+    rows = base(spark, d, "orders").select(C("o_orderkey").cast("string"), F.concat(F.year("o_orderdate"), F.lit("-01-01")).alias("crawl_date"))
+    rows.write.partitionBy("crawl_date").json(path)
+    return bronze.newest_partition(spark, path, ["o_orderkey"]).drop("file_path")
 
 
 REVIEW_OK = "review_id IS NOT NULL AND place_id IS NOT NULL AND TRY_CAST(rating AS DOUBLE) BETWEEN 1 AND 5 AND TRY_CAST(likes_count AS DOUBLE) >= 0"
@@ -97,9 +100,9 @@ def pinned():
 
 @query(f"SELECT review_id, rating, CASE WHEN {REVIEW_OK} THEN 'success' ELSE 'quarantine' END AS record_status, substr(crawled_at, 1, 10) AS crawl_date FROM ({raw_sql('reviews')})")
 def snk1_ing2_ing4_land(spark, d):
-    paths = sinks.land(review_rows(spark, d), new_path(spark, "landing"), "google_maps/reviews", "run-1", pinned())
-    fields = ["review_id", "rating", "record_status"]
-    return bronze.read_jsonl(spark, paths["success"], fields).unionByName(bronze.read_jsonl(spark, paths["quarantine"], fields)).drop("file_path")
+    root = new_path(spark, "landing")
+    sinks.land(review_rows(spark, d), root, "google_maps/reviews", "run-1", pinned())
+    return bronze.read_landed(spark, root, "google_maps/reviews", fields := ["review_id", "rating", "record_status"]).unionByName(bronze.read_landed(spark, root, "google_maps/reviews", fields, quarantine=True)).drop("file_path")
 
 
 @query("SELECT s_suppkey, s_name FROM supplier")
@@ -477,6 +480,6 @@ def ss4_streaming_daily_counts(spark, d):
     return streams.daily_to_end(spark, d)
 
 
-@query("SELECT event_type, CAST(date_trunc('month', ts) AS DATE) AS month, count(*) AS n FROM events GROUP BY ALL")
+@query("SELECT o_orderstatus AS \"by\", CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n FROM orders WHERE date_trunc('month', o_orderdate) + INTERVAL 1 MONTH <= (SELECT max(o_orderdate) FROM orders) - INTERVAL 1 DAY GROUP BY ALL")
 def ss4_streaming_monthly_counts(spark, d):
     return streams.monthly_to_end(spark, d)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cast import repair_json
+from .tables import file_system
 
 PARTITION = "crawl_date"
 
@@ -31,6 +32,13 @@ def read_jsonl(spark: SparkSession, root: str, fields: Sequence[str], since: str
     return df.where(F.col(PARTITION) >= since) if since else df
 
 
+def read_landed(spark: SparkSession, root: str, dataset: str, fields: Sequence[str], quarantine: bool = False, since: str | None = None) -> DataFrame:
+    """The rows of committed batches that ``sinks.land`` wrote, accepted or quarantined, with file_path and crawl_date."""
+    rows = read_jsonl(spark, f"{root}/{'quarantine/' if quarantine else ''}{dataset}", [*fields, "batch"], since)
+    committed = spark.read.schema(strings(["run_id", "batch"])).json(f"{root}/_commits/{dataset}").select("batch")
+    return rows.join(F.broadcast(committed), "batch", "left_semi").drop("batch")  # a name a batch
+
+
 def read_text_json(spark: SparkSession, root: str, fields: Sequence[str]) -> DataFrame:
     """The same from files with NaN and Infinity tokens: lines as text, repaired, then parsed; blank lines go."""
     lines = spark.read.text(root).select(F.col("value"), F.col("_metadata.file_path").alias("file_path")).where(F.trim("value") != "")
@@ -64,7 +72,17 @@ def read_csv_layouts(spark: SparkSession, path: str, layouts: Sequence[Sequence[
     return parts.unionByName(guard)
 
 
-def newest_partition(df: DataFrame, column: str = PARTITION) -> DataFrame:
-    """The rows of the last partition; an aggregate over partition values, then a pruned scan."""
-    last = df.agg(F.max(column).alias("last"))  # one row
-    return df.join(F.broadcast(last), F.col(column) == F.col("last")).drop("last")
+def newest_partition(spark: SparkSession, root: str, fields: Sequence[str]) -> DataFrame:
+    """The rows of JSON lines in the last crawl_date= folder; no other folder is read.
+
+    The date comes from the folders' names: a scan of the partition column alone reads no file, and the filter is a literal.
+    """
+    last = newest_date(spark, root)
+    return read_jsonl(spark, root, fields).where(F.col(PARTITION) == F.lit(last)) if last else read_jsonl(spark, root, fields).limit(0)
+
+
+def newest_date(spark: SparkSession, root: str) -> str | None:
+    """The greatest date among the crawl_date= folders that stand right in the dataset's folder."""
+    fs, path = file_system(spark, root)
+    names = [str(f.getPath().getName()) for f in fs.listStatus(path) if f.isDirectory()]
+    return max((n.split("=", 1)[1] for n in names if n.startswith(f"{PARTITION}=")), default=None)

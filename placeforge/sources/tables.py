@@ -28,3 +28,43 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds a path, and the path as it knows it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """One step on a file system that renames atomically, such as HDFS; an error if it cannot."""
+    fs, p = file_system(spark, old)
+    if not fs.rename(p, file_system(spark, new)[1]):
+        raise OSError(f"{old} cannot become {new}")
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put a finished folder in the place of another, which stays where it was if that fails."""
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    there = exists(spark, path)
+    if there:
+        rename(spark, path, old)
+    try:
+        rename(spark, new, path)
+    except Exception:
+        if there:
+            rename(spark, old, path)
+        raise
+    if there:
+        remove(spark, old)
+    spark.catalog.refreshByPath(path)
