@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cast import rounded
 from ..sources.tables import stored
+from . import scan
 
 
 def live(df: DataFrame, *keys: str) -> DataFrame:
@@ -39,10 +40,12 @@ def observations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("observation_count"), F.min("crawled_at_utc").alias("first_crawled_at_utc"))
 
 
-def series(df: DataFrame, keys: Sequence[str], day: str, values: Sequence[str]) -> DataFrame:
-    """Adds snapshot_seq_num, prev_<day>, days_since_prev_snapshot and prev_<value> for each value."""
-    w = Window.partitionBy(*keys).orderBy(F.col(day).asc_nulls_last())
-    out = df.withColumns({"snapshot_seq_num": F.row_number().over(w).cast("bigint"), f"prev_{day}": F.lag(day).over(w), **{f"prev_{v}": F.lag(v).over(w) for v in values}})
+def series(df: DataFrame, keys: Sequence[str], day: str, values: Sequence[str], most: int | None = scan.HOT_ROWS) -> DataFrame:
+    """Adds snapshot_seq_num, prev_<day>, days_since_prev_snapshot and prev_<value> for each value.
+
+    ``most``: keys with more rows are cut into ranges; None if days bound the rows of a key.
+    """
+    out = scan.followed(df, keys, [F.col(day).asc_nulls_last()], "snapshot_seq_num", [day, *values], most)
     return out.withColumn("days_since_prev_snapshot", F.datediff(day, f"prev_{day}").cast("bigint"))
 
 
@@ -59,20 +62,19 @@ def conform(fact: DataFrame, places: DataFrame) -> DataFrame:
     return out.withColumns(names | {"is_place_in_dim": F.coalesce("_dim", F.lit(False))}).drop(*[c for c in out.columns if c.startswith("_dim")])
 
 
-def nearest_asof(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str, values: Sequence[str]) -> DataFrame:
+def nearest_asof(left: DataFrame, right: DataFrame, key: str, left_day: str, right_day: str, values: Sequence[str], most: int | None = scan.HOT_ROWS) -> DataFrame:
     """For each left row the newest right row of its key up to its day, or else the first one after it.
 
     Both sides are put in one series a key and filled forward, and backward where nothing came before: one shuffle and
-    one sort, where an equi-join would make all pairs of a key. ``right`` has one row a (key, day).
+    one sort, where an equi-join would make all pairs of a key. ``right`` has one row a (key, day). ``most``: keys with
+    more rows are cut into ranges; None if days bound the rows of a key.
     """
     packed = F.struct(F.col(right_day).alias(right_day), *values)
     a = left.select("*", F.col(left_day).alias("_day"), F.lit(1).alias("_side"), F.lit(None).cast(right.select(packed.alias("x")).schema["x"].dataType).alias("_match"))
     b = right.select(key, F.col(right_day).alias("_day"), F.lit(0).alias("_side"), packed.alias("_match"))
-    w = Window.partitionBy(key).orderBy("_day", "_side")
-    before = F.last("_match", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first("_match", True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    filled = a.unionByName(b, allowMissingColumns=True).withColumn("_found", F.coalesce(before, after)).where("_side = 1")
-    return filled.select(*left.columns, F.col("_found")[right_day].alias(right_day), *[F.col("_found")[v].alias(v) for v in values])
+    both = a.unionByName(b, allowMissingColumns=True)
+    found = scan.filled(both, [key], [F.col("_day").asc_nulls_first(), F.col("_side").asc()], "_match", "_found", most).where("_side = 1")
+    return found.select(*left.columns, F.col("_found")[right_day].alias(right_day), *[F.col("_found")[v].alias(v) for v in values])
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank") -> DataFrame:

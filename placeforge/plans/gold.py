@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cast, times
+from ..operators import scan
 from ..operators import shaping as op
 from ..settings import DEFAULTS, Settings
 from .silver import STARS, op_id
@@ -60,14 +61,14 @@ TRACKED = ["tracked_videos_count", "total_youtube_views", "prev_total_youtube_vi
 
 def snapshot_trajectory(ratings: DataFrame, video_snapshots: DataFrame, places: DataFrame, place_categories: DataFrame) -> DataFrame:
     axis = ratings.withColumn("review_daily_velocity", op.velocity(F.col("review_count_delta"), F.col("days_since_prev_snapshot")))
-    out = op.nearest_asof(axis, daily_views(video_snapshots), "place_id", "snapshot_date", "youtube_snapshot_date", TRACKED)
+    out = op.nearest_asof(axis, daily_views(video_snapshots), "place_id", "snapshot_date", "youtube_snapshot_date", TRACKED, None)
     out = out.withColumns({"has_youtube_snapshot": F.col("youtube_snapshot_date").isNotNull(), "tracked_videos_count": F.coalesce("tracked_videos_count", F.lit(0)).cast("bigint"), "has_google_maps_snapshot": F.lit(True), "place_snapshot_id": F.col("rating_snapshot_id")})
     out = op.conform(out, places).join(primary_category(place_categories), "place_id", "left")
     return out.select("place_snapshot_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", *CATEGORY, "snapshot_date", "snapshot_seq_num", "prev_snapshot_date", "days_since_prev_snapshot", "has_google_maps_snapshot", "google_rating", "prev_google_rating", "rating_delta", "google_review_count", "prev_google_review_count", "review_count_delta", "review_daily_velocity", *STARS, "rating_distribution_total", "has_youtube_snapshot", *TRACKED)
 
 
-def video_rank() -> Column:
-    return F.row_number().over(Window.partitionBy("place_id").orderBy(F.col("views").desc_nulls_last(), F.col("published_date").desc_nulls_last(), F.col("video_id").asc_nulls_last())).cast("bigint")
+def by_views() -> list[Column]:
+    return [F.col("views").desc_nulls_last(), F.col("published_date").desc_nulls_last(), F.col("video_id").asc_nulls_last()]
 
 
 def video_performance(videos: DataFrame, video_snapshots: DataFrame, comments: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def video_performance(videos: DataFrame, video_snapshots: DataFrame, comments: D
         F.sum(F.when(later, F.col("views_delta"))).alias("total_views_delta"), cast.mean_rounded(F.when(later, F.col("views_daily_growth"))).alias("snapshot_daily_view_growth"),
     )
     c = comments.groupBy(*keys).agg(F.count(F.lit(1)).alias("crawled_comment_count"))
-    out = videos.withColumn("place_video_view_rank", video_rank()).join(s, keys, "left").join(c, keys, "left")
+    out = scan.numbered(videos, ["place_id"], by_views(), "place_video_view_rank").join(s, keys, "left").join(c, keys, "left")
     age = times.days_between(F.col("published_date"), F.col("latest_snapshot_date"))
     out = out.withColumns({"video_age_days": F.when(age >= 0, age), "avg_daily_views_since_publish": op.velocity(F.col("views"), age), "snapshot_count": F.coalesce("snapshot_count", F.lit(1)).cast("bigint"), "crawled_comment_count": F.coalesce("crawled_comment_count", F.lit(0)).cast("bigint"), "place_video_id": op_id("place_id", "video_id")})
     return out.select("place_video_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "video_id", "video_title", "channel_id", "channel_name", "category", "video_url", "published_date", "published_month", "duration_seconds", "video_age_days", "first_snapshot_date", "latest_snapshot_date", "snapshot_count", "first_views", F.col("views").alias("latest_views"), "total_views_delta", "avg_daily_views_since_publish", "snapshot_daily_view_growth", "crawled_comment_count", "place_video_view_rank")
@@ -105,7 +106,7 @@ def place_360(places: DataFrame, coverage: DataFrame, place_categories: DataFram
         F.count_if(day > F.date_sub(as_of, 90)).alias("reviews_last_90d_count"), F.count_if((day > F.date_sub(as_of, 180)) & (day <= F.date_sub(as_of, 90))).alias("reviews_prev_90d_count"),
     )
     v = videos.groupBy("place_id").agg(F.countDistinct("video_id").alias("youtube_video_count"), F.countDistinct("channel_id").alias("distinct_channel_count"), F.sum("views").alias("total_youtube_views"), cast.rounded(F.avg("views"), 2).alias("avg_views_per_video"), F.max("views").alias("max_video_views"))
-    top = videos.withColumn("_rank", video_rank()).where("_rank = 1").select("place_id", F.col("video_id").alias("top_video_id"), F.col("video_title").alias("top_video_title"))
+    top = op.first_by(videos.select("place_id", "video_id", "video_title", "views", "published_date"), ["place_id"], by_views()).select("place_id", F.col("video_id").alias("top_video_id"), F.col("video_title").alias("top_video_title"))
     g = video_snapshots.where("snapshot_seq_num >= 2").groupBy("place_id").agg(F.sum("views_delta").alias("total_youtube_views_delta"), cast.mean_rounded(F.col("views_daily_growth")).alias("avg_daily_youtube_view_growth"))
     cats = place_categories.groupBy("place_id").agg(F.countDistinct("category_id").alias("category_count"))
     cov = coverage.select("place_id", "rating_snapshot_count", "video_snapshot_date_count", "total_active_month_count", "history_span_months", "coverage_status", "is_forecast_eligible")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cast, text, times
-from ..operators import checks, scope, shaping
+from ..operators import checks, scan, scope, shaping
 from . import oracle
 from .inputs import base, raw, raw_sql
 from .models import Lakehouse
@@ -351,6 +351,23 @@ def win4_to_7_series(spark, d):
     return out.withColumn("velocity", shaping.velocity(C("views") - C("prev_views"), C("days_since_prev_snapshot")))
 
 
+HOT = "(SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END AS k, l_orderkey AS id, l_linenumber AS line, CAST(l_shipdate AS DATE) AS day, CASE WHEN l_linenumber % 2 = 0 THEN CAST(l_quantity AS BIGINT) END AS v FROM lineitem)"
+
+
+def hot_rows(spark, d):
+    """Every row of lineitem, a third of them under one key; every other value is null."""
+    k, v = F.when(C("l_orderkey") % 3 == 0, F.lit(0)).otherwise(C("l_suppkey")).alias("k"), F.when(C("l_linenumber") % 2 == 0, C("l_quantity").cast("bigint")).alias("v")
+    return base(spark, d, "lineitem").select(k, C("l_orderkey").alias("id"), C("l_linenumber").alias("line"), C("l_shipdate").cast("date").alias("day"), v)
+
+
+@query(f"""SELECT k, id, line, row_number() OVER w AS number, lag(day) OVER w AS prev_day, lag(v) OVER w AS prev_v, coalesce(last_value(v IGNORE NULLS) OVER (w ROWS UNBOUNDED PRECEDING), first_value(v IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS near FROM {HOT}
+    WINDOW w AS (PARTITION BY k ORDER BY day, id, line)""")
+def win5_hot_key_in_ranges(spark, d):
+    order, most = [C("day").asc(), C("id").asc(), C("line").asc()], 400
+    rows = scan.followed(hot_rows(spark, d), ["k"], order, "number", ["day", "v"], most)
+    return scan.filled(rows, ["k"], order, "v", "near", most).select("k", "id", "line", "number", "prev_day", "prev_v", "near")
+
+
 @query("""SELECT k, m, n, CAST(sum(n) OVER (PARTITION BY k ORDER BY m ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total, round(avg(n) OVER (PARTITION BY k ORDER BY m ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 2) AS rolling, n - lag(n) OVER (PARTITION BY k ORDER BY m) AS change,
     round((n - lag(n) OVER (PARTITION BY k ORDER BY m)) * 100.0 / lag(n) OVER (PARTITION BY k ORDER BY m), 2) AS pct FROM (SELECT o_custkey % 50 AS k, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, count(*) AS n FROM orders GROUP BY ALL)""")
 def win8_to_10_running(spark, d):

@@ -74,7 +74,7 @@ def rating_snapshots(staged: DataFrame, places_: DataFrame) -> DataFrame:
     top = op.latest_by(valid, ["place_id", "snapshot_date"])
     top = top.withColumns({"google_rating": cast.in_range(F.col("google_rating"), 0, 5)} | {c: cast.not_negative(F.col(c)) for c in ("google_review_count", *STARS)})
     top = top.withColumn("rating_distribution_total", sum((F.coalesce(c, F.lit(0)) for c in STARS), F.lit(0).cast("bigint")))
-    out = op.series(top, ["place_id"], "snapshot_date", ["google_rating", "google_review_count"])
+    out = op.series(top, ["place_id"], "snapshot_date", ["google_rating", "google_review_count"], None)
     out = out.withColumns({
         "rating_delta": cast.rounded(F.col("google_rating") - F.col("prev_google_rating"), 4), "review_count_delta": F.col("google_review_count") - F.col("prev_google_review_count"),
         "rating_snapshot_id": op_id("place_id", "snapshot_date"), "has_rating_value": F.col("google_rating").isNotNull(), "has_rating_distribution": F.col("rating_distribution_total") > 0, "source": F.lit("google_maps"),
@@ -109,7 +109,7 @@ def videos(staged: DataFrame, places_: DataFrame) -> DataFrame:
 def video_snapshots(staged: DataFrame, places_: DataFrame) -> DataFrame:
     valid = valid_videos(staged).withColumn("snapshot_date", F.col("crawled_at_utc").cast("date"))
     top = checked_videos(op.latest_by(valid, ["place_id", "video_id", "snapshot_date"]))
-    out = op.series(top, ["place_id", "video_id"], "snapshot_date", ["views"]).withColumn("views_delta", F.col("views") - F.col("prev_views"))
+    out = op.series(top, ["place_id", "video_id"], "snapshot_date", ["views"], None).withColumn("views_delta", F.col("views") - F.col("prev_views"))
     out = out.withColumns({"views_daily_growth": op.velocity(F.col("views_delta"), F.col("days_since_prev_snapshot")), "video_snapshot_id": op_id("place_id", "video_id", "snapshot_date")})
     return op.conform(out, places_).select("video_snapshot_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", *VIDEO, "category", "video_url", "published_at_utc", "published_date", "snapshot_date", "crawled_at_utc", "views", "duration_seconds", "snapshot_seq_num", "prev_snapshot_date", "days_since_prev_snapshot", "prev_views", "views_delta", "views_daily_growth", "source", "bronze_run_id")
 
