@@ -118,3 +118,20 @@ def per_key_limit(df: DataFrame, keys: Sequence[str], order: Sequence[Column], l
 def new_keys(batch: DataFrame, stored_keys: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The rows whose keys are not stored, one a key."""
     return first_by(batch.join(stored_keys.select(*keys).distinct(), list(keys), "left_anti"), keys, order)
+
+
+def dealt_join(left: DataFrame, right: DataFrame, on: Sequence[str], most: int) -> DataFrame:
+    """The inner join on ``on``, in which a key that more than ``most`` rows of ``left`` have is dealt to so many parts that none has more.
+
+    The keys of ``left`` are counted, with partial sums; only rows of ``right`` with such a key are repeated, once a part.
+    Keys are without nulls. ``left`` is read twice, so it should be stored or cheap.
+    """
+    hot = stored(left.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most).select(*on, F.ceil(F.col("_n") / most).cast("int").alias("_parts")), "hot-keys")
+    n = hot.limit(scan.FEW + 1).count()
+    if not n:
+        return left.join(right, list(on))
+    side = F.broadcast(hot) if n <= scan.FEW else hot
+    part = F.pmod(F.xxhash64(*[F.col(c) for c, t in left.dtypes if not t.startswith("map")]), F.coalesce("_parts", F.lit(1)))
+    a = left.join(side, list(on), "left").withColumn("_part", part.cast("int")).drop("_parts")
+    b = right.join(side, list(on), "left").withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
+    return a.join(b, [*on, "_part"]).drop("_part")

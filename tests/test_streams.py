@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeforge.functions import text
-from placeforge.operators import checks, geo, scope
+from placeforge.operators import checks, scope
 from placeforge.streaming import streams
 
 SCHEMA = "user_id long, event_type string, ts timestamp"
@@ -107,25 +107,3 @@ def test_similarity_matches_brute_force(spark):
         a, b = a or "", b or ""
         assert got[k][0] == pytest.approx(brute_ratio(a, b))
         assert got[k][1] == (not a or not b or a in b or b in a or brute_ratio(a, b) >= text.RATIO)
-
-
-def test_nearest_polygon_matches_brute_force(spark):
-    import math
-    import random
-
-    r = random.Random(3)
-    rings = [(k, [(x + 0.2 * math.cos(t), y + 0.3 * math.sin(t)) for t in (0, 1.5, 3, 4.5)]) for k in range(12) for x, y in [(r.uniform(-170, 170), r.uniform(-70, 70))]]
-    spots = [(k, r.uniform(-179, 179), r.uniform(-80, 80)) for k in range(60)]
-    edges = geo.edges(spark.createDataFrame([(k, [{"x": x, "y": y} for x, y in p]) for k, p in rings], "polygon_id int, points array<struct<x:double,y:double>>"))
-    got = {r.point_id: (r.polygon_id, r.distance_m) for r in geo.nearest(spark.createDataFrame(spots, "point_id int, x double, y double"), edges).collect()}
-    flat = lambda x, y: (math.radians(x) * geo.RADIUS, math.log(math.tan(math.pi / 4 + math.radians(y) / 2)) * geo.RADIUS)
-
-    def far(p, a, b):
-        (px, py), (ax, ay), (bx, by) = flat(*p), flat(*a), flat(*b)
-        t = max(0, min(1, ((px - ax) * (bx - ax) + (py - ay) * (by - ay)) / ((bx - ax) ** 2 + (by - ay) ** 2)))
-        return math.hypot(px - ax - t * (bx - ax), py - ay - t * (by - ay))
-
-    assert len(got) == len(spots)
-    for k, x, y in spots:
-        d, polygon = min((min(far((x, y), a, b) for a, b in zip(p, [*p[1:], p[0]], strict=True)), key) for key, p in rings)
-        assert got[k][0] == polygon and got[k][1] == pytest.approx(d, rel=1e-9)
