@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A table of at most this many fixed-width rows may be broadcast (some 32 MB); beyond it, joins shuffle.
-BROADCAST_ROWS = 1_000_000
+#: A table of at most this many rows and bytes may be broadcast; beyond it, joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 32 << 20
 #: White space as the word rules of this package know it: blank and the controls 9 to 13.
 SPACE = "[\\x20\\x09-\\x0D]"
 NOT_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -34,9 +34,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``df`` with a broadcast hint if it has at most ``rows`` rows, and whether it has. ``df`` should be materialized."""
-    fits = df.limit(rows + 1).count() <= rows
+def width(df: DataFrame) -> Column:
+    """Bytes of a row, about: of texts and lists as many as they have, of the rest eight a column."""
+    sizes = {"string": F.octet_length, "binary": F.octet_length, "array": lambda c: 16 * F.size(c), "map": lambda c: 32 * F.size(c)}
+    parts = [sizes[k](c) for c, kind in df.dtypes if (k := kind.split("<")[0]) in sizes]
+    return sum((F.coalesce(p, F.lit(0)) for p in parts), F.lit(8 * len(df.columns)))
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """``df`` with a broadcast hint if it has at most ``rows`` rows of at most ``size`` bytes together, and whether it has. ``df`` should be materialized."""
+    n, held = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width(df)), F.lit(0))).first()
+    fits = n <= rows and held <= size
     return (F.broadcast(df) if fits else df), fits
 
 

@@ -12,7 +12,7 @@ Scale. First digests are counted with map-side aggregation; then the chunks whos
 found by a join on the digest (large partitions are split by Spark), and runs are formed by document. No text is
 shuffled but by ``remove``, and there only by document.
 
-Cases. Null and empty texts have no chunks. Rows with one doc_id are one document; each text without a doc_id is a
+Cases. Ids are whole numbers from 0 to NONE, or null; other kinds are refused. Null and empty texts have no chunks. Rows with one doc_id are one document; each text without a doc_id is a
 document of its own, numbered from NONE on by its hash, after all others. Repeats inside one document are no repeats across documents and stay. Empty tables work.
 """
 
@@ -138,6 +138,8 @@ def number_of(doc_id: Column, text: Column) -> Column:
 
 
 def chunks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    if docs.schema[doc_id].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"{doc_id} must be a whole number, as the first document of a passage is the least of them")
     rows = docs.select(number_of(F.col(doc_id), F.col(text)).alias("doc"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
     return rows.mapInArrow(chunk_rows, "doc long, row long, digest long, start long, length int, words int")
 

@@ -7,8 +7,8 @@ run of ranks within a length which sequences and which offset they take; pieces
 
 Scale. The driver sees the histogram, at most one row a length; the plan has at most a few rows a length, whatever the
 input (each step uses up a length or a group of sequences, and a group is used at most length / piece times), so it
-may be broadcast. Ranks within a length come from counts by (length, salt), so a length with a third of all pieces is
-many groups. Tokens are made once; the pieces' numbers are written to the shared folder before the plan.
+may be broadcast. Ranks within a length come from counts by (length, salt); a length has as many salts as its pieces
+need, and a piece's salt comes from its number, so equal rows are dealt too. Tokens are made once; the pieces' numbers are written to the shared folder before the plan.
 
 Cases. A null or empty text is the closing id alone. Repeated rows are packed each; equal rows are interchangeable.
 Empty tables give an empty result. Texts are never cut before tokenizing.
@@ -34,7 +34,8 @@ from ._common import materialize
 
 MAX_TOKENS = 2048
 CLOSING_ID = 0
-SALTS = 256
+#: Pieces of one salt of a length, about.
+PIECES_A_SALT = 50_000
 #: The vocabulary, a file of the tokenizers library.
 VOCABULARY = "byte_bpe_50k.json"
 #: Where a text can be cut without a change of its ids: at a blank between two characters that are no white space. The
@@ -182,13 +183,15 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int
     """doc_id, piece, start, length, ids_crc32, sequence_id and offset of every piece (and ids)."""
     spark = docs.sparkSession
     pieces = token_pieces(docs, doc_id, text, most, vocabulary, keep_ids)
-    pieces = materialize(pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(SALTS)).cast("int")), "pieces")
+    pieces = materialize(pieces.withColumn("number", F.monotonically_increasing_id()), "pieces")
+    histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most a row a length
+    salts = spark.createDataFrame([(k, -(-n // PIECES_A_SALT)) for k, n in histogram.items()], "length long, salts long")
+    pieces = pieces.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("number"), F.col("salts")))
     counts = materialize(pieces.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
-    histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most a row a length
     plan = spark.createDataFrame(best_fit(histogram, most), PLAN)
-    inside = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)  # at most SALTS rows
+    inside = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)  # a row for each PIECES_A_SALT pieces
     at = counts.select("length", "salt", F.coalesce(F.sum("n").over(inside), F.lit(0)).alias("at"))
-    own = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy("length", "salt").orderBy("number")
     ranked = pieces.withColumn("own", F.row_number().over(own) - 1).join(at, ["length", "salt"]).withColumn("rank", F.col("at") + F.col("own"))
     here = (F.col("length") == F.col("plan_length")) & (F.col("rank") >= F.col("first_rank")) & (F.col("rank") < F.col("first_rank") + F.col("pieces"))
     placed = ranked.join(F.broadcast(plan), here)

@@ -1,18 +1,19 @@
 """Operator 8, URL filters by a sort-merge range join.
 
-Method. A rule (host, path prefix) gets the key ``reversed host / path``: com.example/en/7. The URLs that it can fit
-form an interval of keys, those that begin with it, so rules nest like brackets. A URL asks once for each suffix of its
-host: www.example.com/en/7 asks as com.example.www/en/7, com.example/en/7 and com/en/7, since a rule fits subdomains.
+Method. A rule (host, path prefix) gets the key ``reversed host / path``: com.example//en/7. The slash closes the host, so
+that com is not the start of community, whatever the path. The URLs that a rule can fit form an interval of keys, those that
+begin with its key, so rules nest like brackets. A URL asks once for each suffix of its host: www.example.com/en/7
+asks as com.example.www//en/7, com.example//en/7 and com//en/7, since a rule fits subdomains.
 Rules and questions are sorted together by key; one sweep keeps the stack of rules that are open at the current key,
 and its top is the longest rule that fits the question. The longest answer over a URL's questions wins: most labels in
 the host first, then the longer path; equal rules with different verdicts: block wins.
 
 Scale. The sorted order is cut into ranges of keys at bounds from a bounded sample (which only balances the work); a
-question goes to its range, a rule to each range that its interval meets. Keys end with a hash of the row, so that one
-URL with a third of all rows is many keys. Nothing is broadcast but the bounds, at most RANGES strings.
+question goes to its range, a rule to each range that its interval meets. Each URL is judged once, under a number of its own, so
+one with a third of all rows is one question. Nothing is broadcast but the bounds, at most RANGES strings.
 
-Cases. Null URLs and URLs without ``://`` have an empty host and path and fit no rule; so do empty hosts. Without a rule
-the verdict is DEFAULT. Repeated rows are judged each. Empty tables of either kind work.
+Cases. Null URLs and URLs without ``://`` have an empty host and path and fit no rule; so do empty hosts. A rule with an
+empty path fits its whole host; one with an empty host, or with a slash in it, fits nothing. Without a rule the verdict is DEFAULT. Repeated rows are judged each. Empty tables of either kind work.
 """
 
 from __future__ import annotations
@@ -78,13 +79,13 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
     row = fresh(pages, "_row")[0]
     # equal URLs have equal verdicts: each (host, path) is judged once
     split = pages.withColumns({"url_host": host_of(F.col(url)), "url_path": path_of(F.col(url))})
-    clean = rules.select(F.translate(F.col("host"), UPPER, LOWER).alias("host"), "path", "verdict").where(F.col("host").isNotNull() & F.col("path").isNotNull())
+    clean = rules.select(F.translate(F.col("host"), UPPER, LOWER).alias("host"), "path", "verdict").where((F.col("host") != "") & F.col("path").isNotNull() & ~F.contains("host", F.lit("/")))
     clean = clean.groupBy("host", "path").agg(F.max("verdict").alias("verdict"))  # block sorts after allow
-    clean = materialize(clean.select(F.concat(reversed_host(F.col("host")), "path").alias("rule_key"), F.concat("host", "path").alias("rule"), "verdict"), "url-rules")
-    targets = materialize(split.where(F.col("url_host") != "").select("url_host", "url_path").distinct().withColumn("row", F.xxhash64("url_host", "url_path")), "url-targets")
+    clean = materialize(clean.select(F.concat(reversed_host(F.col("host")), F.lit("/"), "path").alias("rule_key"), F.concat("host", "path").alias("rule"), "verdict"), "url-rules")
+    targets = materialize(split.where(F.col("url_host") != "").select("url_host", "url_path").distinct().withColumn("row", F.monotonically_increasing_id()), "url-targets")
     labels = F.split(F.col("url_host"), "\\.", -1)
     back = F.reverse(labels)
-    asked = F.transform(F.sequence(F.lit(1), F.size(back)), lambda k: F.concat(F.array_join(F.slice(back, F.lit(1), k), "."), F.col("url_path")))
+    asked = F.transform(F.sequence(F.lit(1), F.size(back)), lambda k: F.concat(F.array_join(F.slice(back, F.lit(1), k), "."), F.lit("/"), F.col("url_path")))
     questions = targets.select("row", F.explode(asked).alias("key")).withColumn("key", F.concat("key", F.lit("\x00"), F.hex("row")))
     bounds = sorted(r.key for r in questions.orderBy(F.xxhash64("key")).limit(RANGES * PER_RANGE).select("key").collect())  # bounded
     ranges = max(1, min(RANGES, len(bounds) // PER_RANGE))

@@ -5,19 +5,20 @@ pivot page's by simple tree matching (the most pairs of equal labels that keep o
 text is the same on most pages are template; nodes whose text varies, and nodes without partner, are slots. The content
 root is found on the pivot from the text of slots, pooled over the partners of each node: from the top, the way goes
 down into a child that holds MAJOR of that text while nothing beside it is a heading, running text or MINOR of it. Each
-page takes its partner of that node. Names (tags, roles, classes, ids) mark page furniture that varies from page to page
-as content does, which no alignment can tell, and break the tie where the way could not go on but an article or main
-element does; pages that have no partner, and blocks of fewer than TEMPLATE_PAGES different pages, go by names and link
-density. Below the root the template and furniture are left out and the rest is the text: white space in a block becomes
-one blank, blocks are joined by two newlines. If the template would take most of the root (pages that are copies), it is
-not used there.
+page takes its partner of that node. Tags and roles mark page furniture that varies from page to page as content does,
+which no alignment can tell; an article or main element breaks the tie where the way could not go on but it does; pages that
+have no partner, and blocks of fewer than TEMPLATE_PAGES different pages, go by names and link density. Below the root
+the furniture is left out, and of a root that is no article or main element the template too, but for headings of what varies.
+Class names and ids count only outside articles, and only if they name furniture and nothing else. The rest is
+the text: white space in a block becomes one blank, blocks are joined by two newlines. If the template would take all of
+the root (pages that are copies), it is not used there.
 
 Scale. One shuffle by (host, block). The number of blocks follows the host's page count, so a host with a third of all
-pages is many blocks, and every page is aligned in its own; a task holds one block. Pages are dealt to blocks by a hash,
-so each block of a large host has as many pages as an alignment needs. Only hosts of more than a block are in the table
+pages is many blocks, and every page is aligned in its own; a task holds one block. Pages are dealt to blocks by a hash of
+their place in the input, so rows that are equal, or without id and URL, are dealt like others, and each block of a large host has as many pages as an alignment needs. Only hosts of more than a block are in the table
 of counts, which is broadcast only if small. Reading a page is linear in its length, whatever its depth; two child lists
 are matched exactly while their product is within EFFORT, summed over two trees, and beyond that by their equal
-subtrees and in order of labels, in n log n.
+subtrees and in order of labels, in n log n: such pages are aligned, but not by the most pairs.
 
 Cases. Null or empty html: text ''. Null URLs and URLs without host are one host. A page alone on its host has no
 partner and goes by names and density. Broken or cut markup is read as far as it goes. Repeated rows are read each.
@@ -56,9 +57,10 @@ CONTAINERS = frozenset("html body div main section article center table tbody tr
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: What an opening tag closes: the nearest of these, unless one of the bounds comes first.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-FURNITURE = frozenset("nav footer aside form button select input dialog menu head script style noscript template iframe svg math label fieldset object audio video canvas map".split())
+FURNITURE = frozenset("nav footer aside form button select input dialog menu head script style noscript template iframe svg object audio video canvas map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words in class names and ids that mark page furniture.
+#: Words in class names and ids that mark page furniture, and words that may stand beside them: social-links is furniture,
+#: social-history is not.
 MARKS = frozenset("""
 ad ads adv advert adverts advertisement advertising adsense banner promo promotion sponsor sponsored
 cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription signup
@@ -66,14 +68,15 @@ menu menus nav navbar navigation breadcrumb breadcrumbs sidebar sidebars side as
 related recommended recommendations share sharing social follow footer foot header masthead topbar bottombar
 comment comments disqus reply replies respond discussion form search login pagination pager toolbar copyright legal skip hidden
 """.split())
+BESIDE = frozenset("top bottom left right bar box block list section area container wrapper wrap inner outer content site page global main item items link links panel unit slot group row col column primary secondary js is has the".split())
 WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "label", "kids", "els", "up", "noise", "shape", "size", "own", "template", "link", "content")
+    __slots__ = ("tag", "label", "kids", "els", "up", "noise", "marked", "shape", "size", "own", "template", "link", "content")
 
-    def __init__(self, tag: str, label: str, up: Node | None, noise: bool = False) -> None:
-        self.tag, self.label, self.up, self.noise = tag, label, up, noise
+    def __init__(self, tag: str, label: str, up: Node | None, noise: bool = False, marked: bool = False) -> None:
+        self.tag, self.label, self.up, self.noise, self.marked = tag, label, up, noise, marked
         self.kids: list = []
         self.els: list[Node] = []
         self.shape, self.size, self.own, self.template, self.content = 0, 1, None, False, None
@@ -83,18 +86,24 @@ class Node:
         self.els.append(kid)
 
 
-def marks_of(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """The node's label, whether names mark it as furniture, and whether they mark it as the main part."""
+def names_furniture(name: str) -> bool:
+    """Whether a class name or id has a word for furniture and no word for anything else."""
+    words = WORD.findall(re.sub(r"([a-z])(?=[A-Z])", r"\1 ", name).lower())
+    return any(w in MARKS for w in words) and all(w in MARKS or w in BESIDE for w in words)
+
+
+def marks_of(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """The node's label, whether its tag or role is furniture, whether its names mark it so, and whether it is the main part."""
     if not attributes or attributes.isspace():
-        return tag, tag in FURNITURE, tag == "main"
+        return tag, tag in FURNITURE, False, tag == "main"
     values = {}
     for m in ATTRIBUTE.finditer(attributes):
         values.setdefault(m[1].lower(), m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "")
-    role, names = values.get("role", "").lower(), f"{values.get('class', '')} {values.get('id', '')}".lower()
+    role, names = values.get("role", "").lower(), f"{values.get('class', '')} {values.get('id', '')}".split()
     hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "").lower()
     main = tag == "main" or role == "main" or values.get("itemprop", "").lower() == "articlebody"
-    marked = tag not in ("body", "html", "main") and not main and any(w in MARKS for w in WORD.findall(re.sub(r"([a-z])(?=[A-Z])", r"\1 ", names)))
-    return f"{tag}.{' '.join(sorted(values.get('class', '').split()))}", tag in FURNITURE or role in ROLES or hidden or marked, main
+    marked = tag not in ("body", "html", "main") and not main and any(map(names_furniture, names))
+    return f"{tag}.{' '.join(sorted(values.get('class', '').split()))}", tag in FURNITURE or role in ROLES or hidden, marked, main
 
 
 class Open:
@@ -168,13 +177,14 @@ def parse(source: str) -> Node:
             closes, bounds = map(now.last, CLOSES[tag])
             if closes > bounds:
                 now.close(closes)
-        label, noise, main = marks_of(tag, attributes)
+        label, noise, marked, main = marks_of(tag, attributes)
         if tag == "header":
-            noise = all(k.noise for k in now.articles)  # a header of the page, not of an article
-        node = Node("main" if main else tag, label, now.top, noise)
-        if not noise and node.tag in ("article", "main"):  # what holds an article is no furniture, whatever it is called
+            noise = all(k.noise or k.marked for k in now.articles)  # a header of the page, not of an article
+        marked = marked and (tag == "article" or all(k.noise or k.marked for k in now.articles))  # names count outside articles
+        node = Node("main" if main else tag, label, now.top, noise, marked)
+        if not noise and not marked and node.tag in ("article", "main"):  # what holds an article is no furniture, whatever it is called
             for holder in now.nodes[max(1, now.cleared) :]:
-                holder.noise = holder.noise and holder.tag in FURNITURE
+                holder.noise, holder.marked = holder.noise and holder.tag in FURNITURE, False
             now.cleared = len(now.nodes)
         now.top.add(node)
         if tag in RAW:
@@ -355,6 +365,11 @@ def mark_template(trees: list[Node]) -> None:
         if text and n >= TEMPLATE_SHARE * len(nodes):
             for k in nodes:
                 k.template = k.own == text
+    for tree in trees:
+        for n in in_order(tree):
+            for x, following in zip(n.els, n.els[1:], strict=False):
+                if x.template and x.tag in HEADINGS and following.own and not following.template and following.tag in ("p", "ul", "ol", "table", "pre", "blockquote", "dl"):
+                    x.template = False  # the heading of what varies
     pooled: dict[int, tuple[int, int]] = {}
     for tree in trees:
         for n, (text, links) in weigh(tree).items():
@@ -403,7 +418,7 @@ def named_root(tree: Node, has_text) -> Node | None:
     named, stack = [], [tree]
     while stack:
         n = stack.pop()
-        if n.noise:
+        if n.noise or n.marked:
             continue
         if n.tag in ("article", "main") and has_text(n):
             named.append(n)
@@ -421,7 +436,7 @@ def weigh(node: Node) -> dict[Node, tuple[int, int]]:
         order.append(n)
         for k in n.els:
             k.template = k.template if k.tag in BLOCKS else n.template
-            if not k.noise:
+            if not k.noise and not k.marked:
                 stack.append((k, n.link))
     for n in reversed(order):
         own = 0 if n.template else sum(len(k.strip()) for k in n.kids if isinstance(k, str))
@@ -498,7 +513,7 @@ def blocks_of(root: Node, by_template: bool, density: bool) -> list[str]:
                 links[0] += len(kid.strip()) if link and not article else 0
         elif kid.tag == "br":
             parts.append(" ")
-        elif not kid.noise and kid.tag not in RAW:
+        elif not kid.noise and not kid.marked and kid.tag not in RAW:
             if kid.tag in BLOCKS:
                 flush()
             stack.append([kid, 0, link or kid.tag == "a", article or kid.tag == "article"])
@@ -510,8 +525,10 @@ def text_of(tree: Node) -> str:
     root = content_root(tree)
     named = root.tag in ("article", "main")
     whole = blocks_of(root, False, not named)
-    pruned = blocks_of(root, True, not named)
-    return "\n\n".join(pruned if 2 * sum(map(len, pruned)) >= sum(map(len, whole)) or not named and pruned else whole)
+    if named:  # the page says that all of it is content
+        return "\n\n".join(whole)
+    pruned = blocks_of(root, True, True)
+    return "\n\n".join(pruned or whole)
 
 
 def extract_block(pages: pa.Table) -> pa.Table:
@@ -534,7 +551,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html:
     large = materialize(rows.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select(F.col("host").alias("large"), F.ceil(F.col("n") / block).alias("blocks")), "large-hosts")
     side, _ = small_side(large, 200_000)
     dealt = rows.join(side, F.col("host") == F.col("large"), "left")
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("blocks", F.lit(1))))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("blocks", F.lit(1))))
     kind = pages.schema[page_id].dataType.simpleString()
     out = f"page_id {kind}, url string, text string, n_chars long"
     return dealt.select("page_id", "url", "html", "host", "block").groupBy("host", "block").applyInArrow(extract_block, out)

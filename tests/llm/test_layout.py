@@ -1,6 +1,7 @@
 """Packing, sharding and media files: round trips, exact layouts, corrupt input."""
 
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -95,7 +96,7 @@ def test_shards_match_a_plain_cut_of_the_order(spark):
     order = {}
     for doc_id, text, lang, source, *_ in rows:
         size = len((text or "").encode()) + 1
-        order.setdefault((source, lang, int(np.log2(size) / 2)), set()).add((doc_id, size, zlib.crc32((text or "").encode())))
+        order.setdefault((source, lang, size), set()).add((doc_id, size, zlib.crc32((text or "").encode())))
     cells = defaultdict(set)
     for r in found:
         cells[r.cell].add((r.doc_id, r.size, r.text_crc32))
@@ -103,11 +104,28 @@ def test_shards_match_a_plain_cut_of_the_order(spark):
         assert any(one <= c for c in cells.values())
 
 
-def test_shards_prune_by_source(spark):
-    """A source lies in well under all shards, so a reader of one source skips the others."""
-    rows = [(k, "x" * 4 ** (1 + k % 7), f"l{k % 5}", f"s{k % 9}", 1, "x", 7, "y", 9, "z", "b") for k in range(3150)]
-    found = {r.doc_id: r for r in hilbert.shard(frame(spark, rows)).collect()}
-    assert sum(len({found[r[0]].shard for r in rows if r[3] == f"s{k}"}) for k in range(9)) < 0.75 * 9 * 16
+def test_shards_prune_by_the_least_and_greatest_value_of_each_column(spark):
+    """A reader of one source, one language or one size skips the shards whose range it is not in."""
+    rows = [(k, "x" * (40 + k % 7 * 3), f"l{k % 5}", f"s{k % 9}", 1, "x", 7, "y", 9, "z", "b") for k in range(3150)]
+    shards = defaultdict(list)
+    for r in hilbert.shard(frame(spark, rows)).collect():
+        shards[r.shard].append((rows[r.doc_id][3], rows[r.doc_id][2], r.size))
+    for column, most in ((0, 0.5), (1, 0.65), (2, 0.65)):
+        ranges = [(min(x[column] for x in s), max(x[column] for x in s)) for s in shards.values()]
+        values = {x[column] for s in shards.values() for x in s}
+        assert sum(low <= v <= high for v in values for low, high in ranges) < most * len(values) * 16
+
+
+def test_codes_keep_the_order_of_a_column(spark):
+    of = lambda values, levels=4: hilbert.cuts_of([(v, 1) for v in values], levels)
+    assert of([]) == [] and of(["b", "a", "b"]) == ["b"] and of(range(8)) == [1, 3, 5] and of(["hot", *"abcdefghij"]) == ["c", "f", "hot"]
+    assert of(["hot"] * 90 + list("abcdefghij")) == ["hot"] and hilbert.cuts_of([(k, 1 if k < 8 else 100) for k in range(10)], 2) == [8]
+    r = random.Random(1)
+    values = [None, *(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200))]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    cuts = of([v for v in values if v], 16)
+    got = sorted(((x.v or "", x.c) for x in df.withColumn("c", hilbert.code(df["v"], cuts, "string")).collect()))
+    assert [c for _, c in got] == sorted(c for _, c in got) and got[0][1] == 0 and got[-1][1] == len(cuts) * 16 // (len(cuts) + 1)
 
 
 def test_written_shards_hold_all_rows(spark, tmp_path):
@@ -200,3 +218,11 @@ def test_media_columns_beside_nulls_and_clashing_names(spark):
     found = {r.id: r.probe for r in media.probe(rows).collect()}
     assert found[2] is None and found[3].error and found[1] == found[4] and found[1].payload_bytes == 576
     assert media.encode(rows.select("id", F.col("probe").alias("text"), F.lit(1).alias("MEDIA"))).columns == ["id", "text", "media"]
+
+
+def test_equal_pieces_are_dealt_to_salts(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES_A_SALT", 7)
+    rows = [(1, "one two three", "en", "s", 1, "x", 7, "y", 9, "z", "b")] * 60
+    packed = packing.pack(frame(spark, rows), most=16).collect()
+    assert len(packed) == 60 and len({(r.sequence_id, r.offset) for r in packed}) == 60
+    assert len({r.sequence_id for r in packed}) == 60 * packed[0].length // (16 // packed[0].length * packed[0].length) + (60 % (16 // packed[0].length) > 0)

@@ -236,7 +236,7 @@ def brute_verdict(url, rules):
 def test_url_rules_match_brute_force(spark):
     r = random.Random(2)
     labels, parts = ["a", "b", "ab", "com", "net", "ex-1"], ["", "/", "/a", "/ab", "/ab/", "/ab/c", "/b%20", "/é"]
-    rules = list({(".".join(r.choices(labels, k=r.randint(1, 3))), r.choice(parts[1:])): r.choice(["allow", "block"]) for _ in range(60)}.items())
+    rules = list({(".".join(r.choices(labels, k=r.randint(1, 3))), r.choice(parts)): r.choice(["allow", "block"]) for _ in range(60)}.items())
     rules = [(h, p, v) for (h, p), v in rules]
     pages = [(k, f"{r.choice(['http', 'https'])}://{r.choice(['', 'WWW.', 'x.'])}{'.'.join(r.choices(labels, k=r.randint(1, 4)))}{r.choice(parts)}{r.choice(['', 'c', '/q'])}{r.choice(['', '?a=://b/', '#top'])}") for k in range(800)]
     pages += [(None, None), (900, ""), (901, "no scheme.com/en"), (902, "http://"), (903, "http:///ab"), (904, "http://a.com")] + [(905, pages[0][1])] * 3
@@ -244,6 +244,9 @@ def test_url_rules_match_brute_force(spark):
     got = urls.match_rules(df, spark.createDataFrame(rules, "host string, path string, verdict string"))
     found = sorted(((r.page_id, r.url, r.url_host, r.url_path, r.rule, r.verdict) for r in got.collect()), key=repr)
     assert found == sorted(((k, u, *brute_verdict(u, rules)) for k, u in pages), key=repr)
+    whole = spark.createDataFrame([("com", "", "block"), ("", "/", "block"), ("a/b", "", "block"), (None, "/", "block"), ("com", None, "block")], "host string, path string, verdict string")
+    near = spark.createDataFrame([(1, "http://x.community/z"), (2, "http://x.com"), (3, "http://com/z"), (4, "http://a/b"), (5, "http://telecom/")], "page_id long, url string")
+    assert {r.page_id: (r.rule, r.verdict) for r in urls.match_rules(near, whole).collect()} == {1: (None, "allow"), 2: ("com", "block"), 3: ("com", "block"), 4: (None, "allow"), 5: (None, "allow")}
     none = spark.createDataFrame([], "host string, path string, verdict string")
     assert {r.verdict for r in urls.match_rules(df, none).collect()} == {"allow"} and urls.match_rules(df.limit(0), none).count() == 0
 
