@@ -88,11 +88,34 @@ def repair_json(line: Column) -> Column:
     return F.regexp_replace(line, r":\s*(NaN|-?Infinity)\s*([,}])", ": null$2")
 
 
+#: Texts that count as empty in tags and their columns.
+EMPTY_WORDS = ("", "nan", "none", "<na>")
+
+
+def given(x: Column) -> Column:
+    """The trimmed text, null if it is empty or a word for nothing."""
+    v = F.trim(x.cast("string"))
+    return F.when(~F.lower(v).isin(*EMPTY_WORDS), v)
+
+
+def json_object(text: Column) -> Column:
+    """The members of a JSON object as a map of texts, null for anything else, in strict JSON and with nothing after it.
+
+    The parser stops behind the first value. So the text is read once as the only item of a list and once as the only member
+    of an object: what ends one of these early is an error in the other.
+    """
+    strict = {"allowSingleQuotes": "false"}
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", strict)
+    held = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), "map<string,map<string,string>>", strict)
+    return F.when((F.size(listed) == 1) & (F.size(held) == 1) & F.startswith(F.trim(text), F.lit("{")), F.get(listed, F.lit(0)))
+
+
 def tag_map(tags_json: Column, defaults: dict[str, Column]) -> tuple[Column, Column]:
     """The tags of a JSON object without blank values, over the defaults; and whether the JSON is malformed."""
-    text = F.trim(tags_json)
-    parsed = F.from_json(text, "map<string,string>")
+    text = given(tags_json)
+    parsed = json_object(text)
     kept = F.map_filter(F.coalesce(parsed, F.expr("map()").cast("map<string,string>")), lambda k, v: v.isNotNull() & (F.trim(v) != ""))
-    pairs = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), F.trim(v).alias("v")) for k, v in defaults.items()]), lambda p: p["v"].isNotNull() & (p["v"] != ""))
+    kept = F.transform_values(kept, lambda k, v: F.trim(v))
+    pairs = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), given(v).alias("v")) for k, v in defaults.items()]), lambda p: p["v"].isNotNull())
     base = F.map_filter(F.map_from_entries(pairs), lambda k, v: ~F.map_contains_key(kept, k))
-    return F.map_concat(base, kept), F.coalesce((text != "") & parsed.isNull(), F.lit(False))
+    return F.map_concat(base, kept), F.coalesce(text.isNotNull() & parsed.isNull(), F.lit(False))

@@ -73,15 +73,21 @@ def event_date(df: DataFrame, now: Column) -> Column:
     return F.coalesce(*found, now).cast("date")
 
 
-def stamped(df: DataFrame, dataset: str, run_id: str, now: Column, source_url: str = "", attempt: int = 1) -> DataFrame:
-    """Rows with their errors, status, metadata and partition date. Raw fields stay as they are."""
-    ids = [F.col(f).cast("string") for f in ("video_id", "review_id", "place_id") if f in df.columns]
-    url = F.coalesce(*[F.nullif(F.col(f), F.lit("")) for f in ("video_url", "google_maps_url") if f in df.columns], F.lit(source_url))
-    out = df.withColumn("quality_errors", row_errors(df, DATASETS[dataset]))
+def stamped(df: DataFrame, dataset: str, run_id: str, now: Column, source_id: str = "", source_url: str = "", attempt: int = 1, pipeline_version: str = "1.0", crawler_version: str = "adapter-1") -> DataFrame:
+    """Rows with their errors (JSON, null without), status, metadata and partition date. Raw fields stay as they are.
+
+    What the caller does not name as source comes from the row: the first id of video, review and place that is not
+    empty, and its url, or else the map's.
+    """
+    own = lambda fields: [F.nullif(F.col(f).cast("string"), F.lit("")) for f in fields if f in df.columns]
+    name = F.lit(source_id) if source_id else F.coalesce(*own(("video_id", "review_id", "place_id")), F.lit(""))
+    url = F.lit(source_url) if source_url else F.coalesce(*own(("url", "google_maps_url")), F.lit(""))
+    found = row_errors(df, DATASETS[dataset])
+    out = df.withColumn("_errors", found)
     return out.withColumns({
-        "record_status": F.when(F.size("quality_errors") == 0, "success").otherwise("quarantine"), "run_id": F.lit(run_id), "source": F.lit(dataset.split("/")[0]), "source_id": F.coalesce(*ids, F.lit("")) if ids else F.lit(""),
-        "source_url": url, "schema_version": F.lit("1"), "attempt": F.lit(attempt), "ingested_at_utc": now.cast("string"), "crawl_date": event_date(df, now).cast("string"),
-    })
+        "quality_errors": F.when(F.size("_errors") > 0, F.concat(F.lit('["'), F.array_join("_errors", '", "'), F.lit('"]'))), "record_status": F.when(F.size("_errors") == 0, "success").otherwise("quarantine"), "run_id": F.lit(run_id), "source": F.lit(dataset.split("/")[0]), "source_id": name,
+        "source_url": url, "pipeline_version": F.lit(pipeline_version), "crawler_version": F.lit(crawler_version), "attempt": F.lit(attempt), "ingested_at_utc": now.cast("string"), "crawl_date": event_date(df, now).cast("string"),
+    }).drop("_errors")
 
 
 def split(stamped_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -91,17 +97,11 @@ def split(stamped_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def rescue(quarantined: DataFrame, dataset: str, time_field: str, fallback: str, run_id: str, now: Column) -> tuple[DataFrame, DataFrame]:
     """Quarantined rows with a missing time repaired from another field, validated anew."""
-    columns = [c for c in ("quality_errors", "record_status", "run_id", "source_id", "source_url", "schema_version", "attempt", "crawl_date") if c in quarantined.columns]
+    columns = [c for c in ("quality_errors", "record_status", "run_id", "source_id", "source_url", "pipeline_version", "crawler_version", "attempt", "crawl_date") if c in quarantined.columns]
     repaired = quarantined.withColumn(time_field, F.coalesce(F.nullif(F.trim(F.col(time_field)), F.lit("")), F.col(fallback))).drop(*columns)
     return split(stamped(repaired, dataset, run_id, now))
 
 
-def backfill(source: DataFrame, done: DataFrame, file: str = "file", time_field: str = "crawled_at", fill: str = "") -> DataFrame:
-    """Rows of files without a marker, with an empty time filled."""
-    left = source.join(done.select(file).distinct(), file, "left_anti")
-    return left.withColumn(time_field, F.coalesce(F.nullif(F.trim(F.col(time_field)), F.lit("")), F.lit(fill)))
-
-
 def latest_status(log: DataFrame, key: str, at: str = "at", status: str = "status", seq: str = "seq") -> DataFrame:
     """The newest event of each item: later times, then later lines win."""
     return log.groupBy(key).agg(F.max_by(status, F.struct(at, seq)).alias(status), F.max(at).alias(at))
@@ -112,11 +112,35 @@ def latest_success(log: DataFrame, key: str, at: str = "at", status: str = "stat
 
 
 def recency(sources: list[DataFrame], key: str, at: str = "at") -> DataFrame:
-    """The newest evidence of several sources of (key, at)."""
+    """The newest evidence of several sources of (key, at); rows without a time are none."""
     out = sources[0].select(key, at)
     for s in sources[1:]:
         out = out.unionByName(s.select(key, at))
-    return out.groupBy(key).agg(F.max(at).alias(at))
+    return out.where(F.col(at).isNotNull()).groupBy(key).agg(F.max(at).alias(at))
+
+
+def latest_seen(key: str, history: DataFrame | None = None, data: DataFrame | None = None, checkpoint: DataFrame | None = None) -> DataFrame:
+    """When an item was last dealt with: a success in the history, a row of data, or a checkpoint that stands at success or empty.
+
+    ``history``: key, at and status (without a status column every row counts); ``data``: key and at; ``checkpoint``: key,
+    at, seq and status, of which the last line of an item counts, and only that.
+    """
+    sources = []
+    if history is not None:
+        sources.append(history.where(F.upper("status") == "SUCCESS") if "status" in history.columns else history)
+    if data is not None:
+        sources.append(data)
+    if checkpoint is not None:
+        last = checkpoint.groupBy(key).agg(F.max_by(F.struct("at", "status"), "seq").alias("c")).select(key, "c.*")
+        sources.append(last.where(F.upper("status").isin("SUCCESS", "EMPTY")))
+    return recency(sources, key)
+
+
+def successful_items(key: str, history: DataFrame, checkpoint: DataFrame) -> DataFrame:
+    """Items whose last status is success: that of the history's last line, or of the checkpoint's for items that the history lacks."""
+    both = history.select(key, "seq", "status", F.lit(1).alias("_rank")).unionByName(checkpoint.select(key, "seq", "status", F.lit(0).alias("_rank")))
+    last = both.groupBy(key).agg(F.max_by("status", F.struct("_rank", "seq")).alias("status"))
+    return last.where(F.upper(F.trim("status")) == "SUCCESS").select(key)
 
 
 def review_limit(terms: Column) -> Column:
@@ -128,26 +152,6 @@ def review_limit(terms: Column) -> Column:
     return out.otherwise(LOWEST_TIER)
 
 
-def plan(candidates: DataFrame, evidence: DataFrame, now: Column, days: int, key: str = "place_id", force: bool = False, dry_run: bool = False, once: bool = False) -> DataFrame:
-    """A decision for each candidate: would_run, should_run and reason. ``once``: an item with evidence never runs again."""
-    out = candidates.join(evidence.select(key, F.col("at").alias("last_at")), key, "left")
-    fresh = F.col("last_at").isNotNull() if once else times.is_fresh(F.col("last_at"), now, days)
-    would = F.lit(True) if force else ~fresh
-    reason = F.when(F.lit(force), "forced").when(F.col("last_at").isNull(), "missing").when(F.col("would_run"), "stale").otherwise("fresh")
-    out = out.withColumn("would_run", would).withColumn("reason", reason)
-    return out.withColumn("should_run", F.col("would_run") & F.lit(not dry_run))
-
-
-def plan_summary(plans: dict[str, DataFrame], dry_run: bool = False) -> DataFrame:
-    """A row a dataset: items, items to run, whether it runs, and why."""
-    out = None
-    for name, df in plans.items():
-        row = df.agg(F.count(F.lit(1)).alias("items"), F.count_if("would_run").alias("to_run")).select(F.lit(name).alias("dataset"), "items", "to_run")
-        out = row if out is None else out.unionByName(row)
-    would = F.col("to_run") > 0
-    return out.withColumns({"would_run": would, "should_run": would & F.lit(not dry_run), "reason": F.when(would & F.lit(dry_run), "dry_run").when(would, "stale_or_missing_items").otherwise("all_items_fresh")})
-
-
 def reference_version(*tables: DataFrame) -> DataFrame:
     """One row with ``version``, a SHA-256 of the tables' contents, whatever the order of their rows.
 
@@ -184,11 +188,21 @@ def error_status(message: Column, name: Column) -> Column:
     return out.otherwise(UNKNOWN_ERROR)
 
 
+#: The statuses that make up a run's total.
+RUN_STATUSES = ("success", "failed", "skipped", "quarantine", "retry", "empty")
+
+
 def run_metrics(events: DataFrame, run: str = "run_id", status: str = "status", at: str = "at") -> DataFrame:
-    """Counts, success rate (1 without events) and seconds of each run."""
-    good = F.count_if(F.col(status) == "SUCCESS")
-    n = F.count(status)
-    return events.groupBy(run).agg(n.alias("n_items"), good.alias("n_success"), (n - good).alias("n_failed"), F.when(n > 0, F.round(good / n, 4)).otherwise(F.lit(1.0)).alias("success_rate"), (F.max(F.unix_micros(F.col(at).cast("timestamp"))) - F.min(F.unix_micros(F.col(at).cast("timestamp")))).alias("duration_us"))
+    """A row a run: a count for each status, their total, the success rate (1 without events), whether it failed, and its seconds.
+
+    Other statuses are in no count. A run with a failure has failed.
+    """
+    counts = {s: F.count_if(F.lower(status) == s) for s in RUN_STATUSES}
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    out = events.groupBy(run).agg(*[c.alias(s) for s, c in counts.items()], F.round((F.max(micros) - F.min(micros)) / 1e6, 3).alias("duration_seconds"))
+    total = sum((F.col(s) for s in RUN_STATUSES), F.lit(0).cast("long"))
+    out = out.withColumn("total", total)
+    return out.withColumns({"success_rate": F.when(F.col("total") > 0, F.col("success") / F.col("total")).otherwise(F.lit(1.0)), "run_status": F.when(F.col("failed") > 0, "failed").otherwise("success")})
 
 
 def audit(df: DataFrame) -> DataFrame:

@@ -93,10 +93,11 @@ def suspect_names(df: DataFrame) -> DataFrame:
 
 
 def suspect_namesakes(df: DataFrame) -> DataFrame:
-    """Valid rows that share name and province go to review, all of them."""
-    same = F.count(F.lit(1)).over(Window.partitionBy("province_id", F.lower(F.trim("place_name")), F.col("validation_status") == "valid")) > 1
-    out = df.withColumn("_same", same & (F.col("validation_status") == "valid"))
-    return out.withColumns({"validation_status": F.when(F.col("_same"), "review").otherwise(F.col("validation_status")), "validation_reason": F.when(F.col("_same"), "duplicate_name_same_province").otherwise(F.col("validation_reason"))}).drop("_same")
+    """Valid rows that share name and province with any other row, whatever that one's status, go to review. Blank names share nothing."""
+    name = F.regexp_replace(F.lower(F.coalesce("place_name", F.lit(""))), r"(?U)^\s+|\s+$", "")
+    shared = F.count(F.lit(1)).over(Window.partitionBy("province_id", "_name")) > 1
+    out = df.withColumn("_name", name).withColumn("_same", shared & (F.col("_name") != "") & (F.col("validation_status") == "valid"))
+    return out.withColumns({"validation_status": F.when(F.col("_same"), "review").otherwise(F.col("validation_status")), "validation_reason": F.when(F.col("_same"), "duplicate_name").otherwise(F.col("validation_reason"))}).drop("_same", "_name")
 
 
 def eligibility(tags_json: Column, fields: dict[str, Column]) -> Column:
@@ -106,7 +107,7 @@ def eligibility(tags_json: Column, fields: dict[str, Column]) -> Column:
     """
     tags, malformed = cast.tag_map(tags_json, {k: fields[k] for k in TAGS if k in fields})
     tag = lambda k: F.coalesce(tags[k], F.lit(""))
-    names = [F.when((tag(f) != "") | (F.coalesce(F.trim(fields[f]), F.lit("")) != "" if f in fields else F.lit(False)), f) for f in EVIDENCE]
+    names = [F.when((tag(f) != "") | (cast.given(fields[f]).isNotNull() if f in fields else F.lit(False)), f) for f in EVIDENCE]
     evidence = F.array_join(F.array_compact(F.array(*names)), ",")
     excluded = F.array_join(F.array_compact(F.array(*[F.when(tag(f) != "", f) for f in (*BUSINESS, "amenity")])), ",")
     business = (F.greatest(*[tag(f) for f in BUSINESS]) != "") | tag("amenity").isin(*EXCLUDED_AMENITIES)
@@ -144,10 +145,33 @@ def classify(df: DataFrame, key: str = "place_id") -> DataFrame:
     return each.withColumn("is_primary", first).join(F.broadcast(taxonomy(spark)), "subcategory_name").select(key, "category_id", "category_group", "category_name", "subcategory_name", "is_primary")
 
 
-def fill_legacy(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Missing legacy provinces from the mapping of current ones (which may be many)."""
-    m = mapping.select(F.col("current_province_id").alias("province_id"), F.col("legacy_province_id").alias("_legacy"))
-    return df.join(m, "province_id", "left").withColumn("legacy_province_id", F.coalesce("legacy_province_id", "_legacy")).drop("_legacy")
+LEGACY = ("legacy_province_id", "legacy_province_name")
+
+
+def enrich_admin(df: DataFrame, mapping: DataFrame | None) -> DataFrame:
+    """Current provinces from the plain ones where the table has none, and missing legacy ids and names from a mapping.
+
+    The mapping (current_province_id, legacy_province_id, legacy_province_name) may have many rows for a province, which
+    then has a row for each. It is not joined if no row of the table misses anything.
+    """
+    null, have = F.lit(None).cast("string"), {c.lower() for c in df.columns}
+    plain = {f"current_{c}": F.col(c) if c in have else null for c in ("province_id", "province_name")} | {c: null for c in LEGACY}
+    out = df.withColumns({c: v for c, v in plain.items() if c not in have})
+    if mapping is None or out.where(F.col(LEGACY[0]).isNull() | F.col(LEGACY[1]).isNull()).isEmpty():
+        return out
+    m = mapping.select(F.col("current_province_id").alias("_current"), *[F.col(c).alias(f"_{c}") for c in LEGACY])
+    joined = out.join(m, out["current_province_id"].eqNullSafe(m["_current"]), "left")
+    return joined.withColumns({c: F.coalesce(c, f"_{c}") for c in LEGACY}).drop("_current", *[f"_{c}" for c in LEGACY])
+
+
+def review_queue(places: DataFrame) -> DataFrame:
+    """Places that someone has to look at: not eligible, or not valid."""
+    return places.where(F.col("tourism_status").isin("review", "rejected") | ~F.col("validation_status").eqNullSafe("valid"))
+
+
+def eligibility_report(places: DataFrame) -> DataFrame:
+    """place_count by province, status and reason; null is a value of its own."""
+    return places.groupBy("province_id", "province_name", "tourism_status", "tourism_reason").agg(F.count(F.lit(1)).alias("place_count"))
 
 
 def stable_id(osm_type: Column, osm_id: Column) -> Column:
@@ -157,20 +181,33 @@ def stable_id(osm_type: Column, osm_id: Column) -> Column:
 ELEMENT = "struct<type:string,id:bigint,lat:double,lon:double,center:struct<lat:double,lon:double>,tags:map<string,string>>"
 
 
-def elements(df: DataFrame, json: str = "element") -> DataFrame:
-    """Candidate rows of stored map elements: the first name there is, own or centre coordinates; the nameless go."""
+def elements(df: DataFrame, run_id: str, crawled_at: Column, scope: str | None = None, json: str = "element") -> DataFrame:
+    """Candidate rows of stored map elements, beside the other columns of their rows.
+
+    The name is the first there is of name, name:vi and name:en; elements without one go. A node stands at its own
+    coordinates, anything else at its centre. Tags are kept as they are, and as JSON.
+    """
     e = df.withColumn("e", F.from_json(json, ELEMENT))
-    tag = lambda k: F.nullif(F.trim(F.col("e.tags")[k]), F.lit(""))
-    out = e.select(*[c for c in df.columns if c != json], F.col("e.type").alias("osm_type"), F.col("e.id").alias("osm_id"), F.coalesce(tag("name"), tag("name:vi"), tag("name:en")).alias("place_name"), F.coalesce("e.lat", "e.center.lat").alias("latitude"), F.coalesce("e.lon", "e.center.lon").alias("longitude"), F.coalesce(tag("website"), tag("contact:website")).alias("website"), *[tag(k).alias(k) for k in TAGS])
+    tag = lambda k: F.nullif(F.col("e.tags")[k], F.lit(""))
+    node = F.col("e.type") == "node"
+    place = lambda k: F.when(node, F.col(f"e.{k}")).otherwise(F.col(f"e.center.{k}"))
+    out = e.select(
+        *[c for c in df.columns if c != json], F.col("e.id").alias("osm_id"), F.col("e.type").alias("osm_type"), F.coalesce(tag("name"), tag("name:vi"), tag("name:en")).alias("place_name"), F.col("e.tags")["name:vi"].alias("name_vi"), F.col("e.tags")["name:en"].alias("name_en"), *[F.col("e.tags")[k].alias(k) for k in TAGS],
+        place("lat").alias("latitude"), place("lon").alias("longitude"), F.coalesce(tag("website"), tag("contact:website")).alias("website"), *[F.col("e.tags")[k].alias(k) for k in ("wikidata", "wikipedia")], F.coalesce(F.to_json("e.tags"), F.lit("{}")).alias("tags_json"),
+        F.lit("OpenStreetMap").alias("source"), F.lit(scope).cast("string").alias("discovery_scope"), F.lit(run_id).alias("pipeline_run_id"), crawled_at.cast("string").alias("crawled_at_utc"),
+    )
     return out.where("place_name IS NOT NULL")
 
 
-def province_features(df: DataFrame, json: str = "feature") -> DataFrame:
-    """Id, name and bounding box of stored province features, by chains of fallbacks."""
-    f = df.withColumn("f", F.from_json(json, "struct<id:string,properties:map<string,string>,bbox:array<double>>"))
-    p = lambda k: F.nullif(F.trim(F.col("f.properties")[k]), F.lit(""))
-    out = f.select(*[c for c in df.columns if c != json], cast.province_code(F.coalesce(p("province_id"), p("id"), F.col("f.id"))).alias("province_id"), F.coalesce(p("province_name"), p("name"), p("ten_tinh")).alias("province_name"), *[F.get("f.bbox", F.lit(k)).alias(n) for k, n in enumerate(("min_lon", "min_lat", "max_lon", "max_lat"))])
-    return out.where("province_id IS NOT NULL")
+COLLECTION = "struct<bbox:array<double>,features:array<struct<id:string,bbox:array<double>,properties:map<string,string>>>>"
+
+
+def province_features(df: DataFrame, json: str = "collection") -> DataFrame:
+    """Id, name and bounding box of the first feature of stored collections, by chains of fallbacks; collections without one go."""
+    f = df.withColumn("c", F.from_json(json, COLLECTION)).where(F.size("c.features") > 0).withColumn("f", F.get("c.features", F.lit(0)))
+    p = lambda k: F.nullif(F.col("f.properties")[k], F.lit(""))
+    box = F.when(F.size("f.bbox") > 0, F.col("f.bbox")).when(F.size("c.bbox") > 0, F.col("c.bbox"))
+    return f.select(*[c for c in df.columns if c != json], F.coalesce(F.nullif("f.id", F.lit("")), p("province_code"), p("code")).alias("province_id"), F.coalesce(p("name"), p("province_name"), p("full_name")).alias("province_name"), *[F.get(box, F.lit(k)).alias(n) for k, n in enumerate(("min_lon", "min_lat", "max_lon", "max_lat"))])
 
 
 def tag_report(df: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import cards, checks, geo, ingest, match, reference, shaping
+from ..operators import cards, checks, geo, ingest, match, plan, reference, shaping
 from ..settings import DEFAULTS
-from ..sources import bronze, sinks
+from ..sources import backfill, bronze, sinks
 from ..sources.tables import new_path
 from ..streaming import streams
 from .inputs import base, raw, raw_sql
@@ -126,14 +126,14 @@ def snk5_sync(spark, d):
 # ---- reference data ----
 
 CANDIDATES = """SELECT c_custkey AS row_no, CASE c_mktsegment WHEN 'BUILDING' THEN 'node' ELSE 'way' END AS osm_type, CASE WHEN c_custkey % 17 <> 0 THEN c_custkey % 900 END AS osm_id,
-    CASE WHEN c_custkey % 19 = 0 THEN ' ' WHEN c_custkey % 23 = 0 THEN concat('Block ', c_custkey % 10) ELSE concat('Place ', c_custkey % 400) END AS place_name, c_nationkey AS province_id,
+    CASE WHEN c_custkey % 19 = 0 THEN ' ' WHEN c_custkey % 23 = 0 THEN concat('Block ', c_custkey % 10) WHEN c_custkey % 7 = 3 THEN concat(' pLACE ', c_custkey % 20, ' ') ELSE concat('Place ', c_custkey % 20) END AS place_name, c_nationkey AS province_id,
     CASE WHEN c_custkey % 13 <> 0 THEN CAST(c_custkey % 200 - 100 AS DOUBLE) END AS latitude, CAST(c_custkey % 400 - 200 AS DOUBLE) AS longitude,
     CASE c_custkey % 6 WHEN 0 THEN 'museum' WHEN 1 THEN 'attraction' WHEN 2 THEN 'artwork' END AS tourism, CASE c_custkey % 5 WHEN 0 THEN 'peak' WHEN 1 THEN 'beach' END AS natural_tag, CASE c_custkey % 7 WHEN 0 THEN 'castle' END AS historic, CASE c_custkey % 4 WHEN 0 THEN 'park' END AS leisure,
-    CASE c_custkey % 8 WHEN 0 THEN '{"shop":"gift"}' WHEN 1 THEN '{"wikidata":"Q1","office":""}' WHEN 2 THEN '{broken' WHEN 3 THEN '{"amenity":"copyshop"}' WHEN 4 THEN '{"natural":"cape"}' END AS tags_json FROM {customer} AS customer"""
+    CASE c_custkey % 8 WHEN 0 THEN '{"shop":"gift"}' WHEN 1 THEN '{"wikidata":"Q1","office":""}' WHEN 2 THEN '{broken' WHEN 3 THEN '{"amenity":"copyshop"}' WHEN 4 THEN '{"natural":"cape"}' WHEN 5 THEN replace('{^shop^:^gift^}', '^', chr(39)) WHEN 6 THEN '{"wikidata":"Q1"} junk' ELSE 'NaN' END AS tags_json FROM {customer} AS customer"""
 
 
 def candidates(spark, d) -> DataFrame:
-    text = CANDIDATES.replace("{broken", "{{broken").replace("{\"", "{{\"").replace("\"}'", "\"}}'")
+    text = CANDIDATES.replace("{broken", "{{broken").replace("{\"", "{{\"").replace("\"}", "\"}}").replace("{^", "{{^").replace("^}", "^}}")
     return spark.sql(text, customer=base(spark, d, "customer")).withColumnRenamed("natural_tag", "natural")
 
 
@@ -159,7 +159,8 @@ def ref3_suspicious_names(spark, d):
     return rows.select("row_no", "validation_status", "validation_reason")
 
 
-@query(f"SELECT row_no, CASE WHEN odd OR twin THEN 'review' WHEN r2 = '' THEN 'valid' ELSE 'invalid' END AS validation_status, CASE WHEN twin THEN 'duplicate_name_same_province' WHEN odd THEN 'suspicious_name' ELSE r2 END AS validation_reason FROM (SELECT *, r2 = '' AND NOT odd AND count(*) OVER (PARTITION BY province_id, lower(trim(place_name)), r2 = '' AND NOT odd) > 1 AS twin FROM {NAMES})")
+@query(f"""SELECT row_no, CASE WHEN odd OR twin THEN 'review' WHEN r2 = '' THEN 'valid' ELSE 'invalid' END AS validation_status, CASE WHEN twin THEN 'duplicate_name' WHEN odd THEN 'suspicious_name' ELSE r2 END AS validation_reason
+    FROM (SELECT *, r2 = '' AND NOT odd AND count(*) OVER (PARTITION BY province_id, trim(lower(place_name))) > 1 AND trim(place_name) <> '' AS twin FROM {NAMES})""")
 def ref4_namesakes(spark, d):
     rows = reference.suspect_namesakes(reference.suspect_names(reference.reject_repeats(reference.validate_basic(candidates(spark, d)), "row_no")))
     return rows.select("row_no", "validation_status", "validation_reason")
@@ -170,7 +171,7 @@ def eligibility_rows(spark, d) -> DataFrame:
     return c.select("row_no", reference.eligibility(C("tags_json"), {k: C(k) for k in reference.TAGS}).alias("e")).select("row_no", "e.tourism_status", "e.tourism_reason", "e.tourism_evidence", "e.tourism_confidence")
 
 
-ELIGIBLE = f"""WITH t AS (SELECT *, c_8 = 2 AS bad, c_8 IN (0, 3) AS shop, CASE WHEN c_8 = 4 THEN 'cape' ELSE "natural" END AS nat FROM (SELECT *, row_no % 8 AS c_8 FROM {CAND})),
+ELIGIBLE = f"""WITH t AS (SELECT *, c_8 IN (2, 5, 6) AS bad, c_8 IN (0, 3) AS shop, CASE WHEN c_8 = 4 THEN 'cape' ELSE "natural" END AS nat FROM (SELECT *, row_no % 8 AS c_8 FROM {CAND})),
     u AS (SELECT *, CASE WHEN tourism = 'museum' THEN 'tourism=museum' WHEN nat = 'beach' THEN 'natural=beach' WHEN historic = 'castle' THEN 'historic=castle' END AS direct, CASE WHEN leisure = 'park' THEN 'leisure=park' WHEN nat IN ('cape', 'peak') THEN 'natural=' || nat WHEN tourism IN ('artwork', 'attraction') THEN 'tourism=' || tourism END AS cond FROM t)
     SELECT row_no, CASE WHEN bad THEN 'review' WHEN shop AND tourism IS DISTINCT FROM 'museum' THEN 'rejected' WHEN direct IS NOT NULL THEN 'eligible' WHEN cond IS NOT NULL AND c_8 = 1 THEN 'eligible' WHEN cond IS NOT NULL THEN 'review' ELSE 'rejected' END AS tourism_status,
            CASE WHEN bad THEN 'malformed_tags_json' WHEN shop AND tourism IS DISTINCT FROM 'museum' THEN 'non_destination_business' WHEN direct IS NOT NULL THEN 'strong_tourism_tag' WHEN cond IS NOT NULL AND c_8 = 1 THEN 'conditional_tag_with_independent_evidence' WHEN cond IS NOT NULL THEN 'conditional_tag_needs_evidence' ELSE 'no_supported_tourism_signal' END AS tourism_reason,
@@ -198,29 +199,57 @@ def ref8_map2_classify(spark, d):
     return reference.classify(candidates(spark, d), "row_no")
 
 
-@query("SELECT c_custkey, c_nationkey, coalesce(CASE WHEN c_custkey % 2 = 0 THEN 'kept' END, s_name) AS legacy_province_id FROM customer LEFT JOIN supplier ON c_nationkey = s_suppkey")
+@query("""SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS current_province_id, coalesce(CASE WHEN c_custkey % 2 = 0 THEN 'kept' END, s_name) AS legacy_province_id, coalesce(CASE WHEN c_custkey % 3 = 0 THEN 'kept too' END, s_address) AS legacy_province_name
+    FROM customer LEFT JOIN (SELECT s_nationkey, s_name, concat('old ', s_suppkey) AS s_address FROM supplier) ON c_nationkey = s_nationkey""")
 def ref10_legacy_fill(spark, d):
-    m = base(spark, d, "supplier").select(C("s_suppkey").cast("int").alias("current_province_id"), C("s_name").alias("legacy_province_id"))
-    c = base(spark, d, "customer").select("c_custkey", C("c_nationkey").alias("province_id"), F.when(C("c_custkey") % 2 == 0, "kept").alias("legacy_province_id"))
-    return reference.fill_legacy(c, m).select("c_custkey", C("province_id").alias("c_nationkey"), "legacy_province_id")
+    m = base(spark, d, "supplier").select(C("s_nationkey").cast("string").alias("current_province_id"), C("s_name").alias("legacy_province_id"), F.concat(F.lit("old "), "s_suppkey").alias("legacy_province_name"))
+    c = base(spark, d, "customer").select("c_custkey", C("c_nationkey").cast("string").alias("province_id"), F.when(C("c_custkey") % 2 == 0, "kept").alias("legacy_province_id"), F.when(C("c_custkey") % 3 == 0, "kept too").alias("legacy_province_name"))
+    return reference.enrich_admin(c, m).select("c_custkey", "current_province_id", "legacy_province_id", "legacy_province_name")
 
 
-@query("SELECT p_partkey AS osm_id, 'OSM_node_' || p_partkey AS place_id, CASE WHEN p_partkey % 3 = 0 THEN p_name ELSE p_type END AS place_name, CAST(p_size AS DOUBLE) AS latitude FROM part WHERE p_partkey % 3 <> 2")
+def ruled_places(spark, d) -> DataFrame:
+    """Candidates with both statuses, some without a province's name."""
+    rows = reference.validate_basic(candidates(spark, d)).join(eligibility_rows(spark, d), "row_no")
+    return rows.withColumn("province_name", F.when(C("province_id") % 3 != 0, F.concat(F.lit("P"), "province_id")))
+
+
+RULED = f"(SELECT row_no, province_id, CASE WHEN province_id % 3 <> 0 THEN concat('P', province_id) END AS province_name, CASE WHEN r1 = '' THEN 'valid' ELSE 'invalid' END AS validation_status, tourism_status, tourism_reason FROM {BASIC} JOIN ({ELIGIBLE}) USING (row_no))"
+
+
+@query(f"SELECT row_no, validation_status, tourism_status FROM {RULED} WHERE tourism_status IN ('review', 'rejected') OR validation_status <> 'valid'")
+def ref11_review_queue(spark, d):
+    return reference.review_queue(ruled_places(spark, d)).select("row_no", "validation_status", "tourism_status")
+
+
+@query(f"SELECT province_id, province_name, tourism_status, tourism_reason, count(*) AS place_count FROM {RULED} GROUP BY ALL")
+def ref11_eligibility_report(spark, d):
+    return reference.eligibility_report(ruled_places(spark, d))
+
+
+@query("""WITH e AS (SELECT p_partkey AS k, CASE p_partkey % 3 WHEN 0 THEN 'node' WHEN 1 THEN 'way' ELSE 'relation' END AS kind, CAST(p_size AS DOUBLE) AS lat, CASE WHEN p_partkey % 4 = 0 THEN '' WHEN p_partkey % 4 < 3 THEN p_name END AS name, CASE WHEN p_partkey % 5 < 2 THEN p_type END AS vi, CASE WHEN p_partkey % 7 < 3 THEN p_brand END AS en FROM part)
+    SELECT k AS osm_id, kind AS osm_type, concat('OSM_', kind, '_', k) AS place_id, coalesce(nullif(name, ''), vi, en) AS place_name, vi AS name_vi, en AS name_en, CASE WHEN k % 2 = 0 THEN 'museum' END AS tourism, CASE WHEN kind = 'node' THEN lat WHEN k % 11 <> 0 THEN lat + 1 END AS latitude, CASE WHEN kind = 'node' THEN 1.0 WHEN k % 11 <> 0 THEN 2.0 END AS longitude,
+        CASE WHEN k % 6 = 0 THEN 'own' WHEN k % 6 < 3 THEN 'contact' END AS website, concat('Q', k) AS wikidata, json_object('name', name, 'name:vi', vi, 'name:en', en, 'tourism', CASE WHEN k % 2 = 0 THEN 'museum' END, 'website', CASE WHEN k % 6 = 0 THEN 'own' END, 'contact:website', CASE WHEN k % 6 < 3 THEN 'contact' END, 'wikidata', concat('Q', k)) ->> '$.name' AS name_in_json, 'OpenStreetMap' AS source, 'core' AS discovery_scope, 'run-1' AS pipeline_run_id, '2026-02-01 00:00:00' AS crawled_at_utc
+    FROM e WHERE coalesce(nullif(name, ''), vi, en) IS NOT NULL""")
 def ref12_ref14_elements(spark, d):
-    p = base(spark, d, "part")
-    tags = F.when(C("p_partkey") % 3 == 0, F.create_map(F.lit("name"), C("p_name"))).when(C("p_partkey") % 3 == 1, F.create_map(F.lit("name"), F.lit(" "), F.lit("name:vi"), C("p_type"))).otherwise(F.create_map(F.lit("note"), F.lit("x")))
-    lat = C("p_size").cast("double")
-    own = F.struct(F.lit("node").alias("type"), C("p_partkey").alias("id"), F.when(C("p_partkey") % 2 == 0, lat).alias("lat"), F.lit(1.0).alias("lon"), F.when(C("p_partkey") % 2 == 1, F.struct(lat.alias("lat"), F.lit(1.0).alias("lon"))).alias("center"), tags.alias("tags"))
-    rows = reference.elements(p.select(F.to_json(own).alias("element")))
-    return rows.select("osm_id", reference.stable_id(C("osm_type"), C("osm_id")).alias("place_id"), "place_name", "latitude")
+    k, lat = C("p_partkey"), C("p_size").cast("double")
+    kind = F.when(k % 3 == 0, "node").when(k % 3 == 1, "way").otherwise("relation")
+    tags = {"name": F.when(k % 4 == 0, "").when(k % 4 < 3, C("p_name")), "name:vi": F.when(k % 5 < 2, C("p_type")), "name:en": F.when(k % 7 < 3, C("p_brand")), "tourism": F.when(k % 2 == 0, "museum"), "website": F.when(k % 6 == 0, "own"), "contact:website": F.when(k % 6 < 3, "contact"), "wikidata": F.concat(F.lit("Q"), k)}
+    center = F.when(k % 11 != 0, F.struct((lat + 1).alias("lat"), F.lit(2.0).alias("lon")))  # nodes have one too, which does not count
+    own = F.struct(kind.alias("type"), k.alias("id"), lat.alias("lat"), F.lit(1.0).alias("lon"), center.alias("center"), F.struct(*[v.alias(n) for n, v in tags.items()]).alias("tags"))
+    rows = reference.elements(base(spark, d, "part").select(F.to_json(own).alias("element")), "run-1", pinned(), "core")
+    return rows.select("osm_id", "osm_type", reference.stable_id(C("osm_type"), C("osm_id")).alias("place_id"), "place_name", "name_vi", "name_en", "tourism", "latitude", "longitude", "website", "wikidata", F.get_json_object("tags_json", "$.name").alias("name_in_json"), "source", "discovery_scope", "pipeline_run_id", "crawled_at_utc")
 
 
-@query("SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS province_id, n_name AS province_name, CAST(n_nationkey AS DOUBLE) AS min_lon, CAST(n_nationkey + 2 AS DOUBLE) AS max_lon FROM nation")
+@query("""SELECT n_nationkey AS k, CASE WHEN n_nationkey % 2 = 0 THEN concat('f', n_nationkey) WHEN n_nationkey % 3 = 0 THEN concat('pc', n_nationkey) WHEN n_nationkey % 5 = 0 THEN concat('c', n_nationkey) END AS province_id, CASE WHEN n_nationkey % 3 = 1 THEN n_name WHEN n_nationkey % 4 < 2 THEN concat('P ', n_name) ELSE concat('F ', n_name) END AS province_name,
+    CASE WHEN n_nationkey % 4 = 0 THEN CAST(n_nationkey AS DOUBLE) WHEN n_nationkey % 4 < 3 THEN -1.0 END AS min_lon, CASE WHEN n_nationkey % 4 = 0 THEN 3.5 WHEN n_nationkey % 4 < 3 THEN 9.0 END AS max_lat FROM nation WHERE n_nationkey % 7 <> 6""")
 def ref13_province_features(spark, d):
-    k = C("n_nationkey").cast("double")
-    props = F.when(C("n_nationkey") % 2 == 0, F.create_map(F.lit("province_id"), C("n_nationkey").cast("string"), F.lit("name"), C("n_name"))).otherwise(F.create_map(F.lit("ten_tinh"), C("n_name")))
-    feature = F.struct(C("n_nationkey").cast("string").alias("id"), props.alias("properties"), F.array(k, F.lit(1.0), k + 2, F.lit(3.0)).alias("bbox"))
-    return reference.province_features(base(spark, d, "nation").select(F.to_json(feature).alias("feature"))).select("province_id", "province_name", "min_lon", "max_lon")
+    k, name = C("n_nationkey"), C("n_name")
+    props = F.struct(F.lit("x").alias("province_id"), F.when(k % 3 == 0, F.concat(F.lit("pc"), k)).alias("province_code"), F.when(k % 5 == 0, F.concat(F.lit("c"), k)).alias("code"), F.when(k % 3 == 1, name).when(k % 3 == 0, "").alias("name"), F.when(k % 4 < 2, F.concat(F.lit("P "), name)).alias("province_name"), F.concat(F.lit("F "), name).alias("full_name"))
+    box = lambda *v: F.array(*[x.cast("double") if isinstance(x, F.Column) else F.lit(float(x)) for x in v])
+    feature = F.struct(F.when(k % 2 == 0, F.concat(F.lit("f"), k)).alias("id"), F.when(k % 4 == 0, box(k, 1, 2, 3.5)).when(k % 4 == 1, F.array().cast("array<double>")).alias("bbox"), props.alias("properties"))
+    other = F.struct(F.lit("second").alias("id"), box(0, 0, 0, 0).alias("bbox"), props.alias("properties"))
+    collection = F.struct(F.when(k % 4 < 3, box(-1, 8, 10, 9)).alias("bbox"), F.when(k % 7 == 6, F.array().cast(f"array<{base(spark, d, 'nation').select(feature.alias('f')).schema['f'].dataType.simpleString()}>")).otherwise(F.array(feature, other)).alias("features"))
+    return reference.province_features(base(spark, d, "nation").select(k.alias("k"), F.to_json(collection).alias("collection"))).select("k", "province_id", "province_name", "min_lon", "max_lat")
 
 
 @query(f"""SELECT tag, value, count(*) AS n FROM (UNPIVOT (SELECT tourism, "natural", historic, leisure FROM {CAND}) ON COLUMNS(*) INTO NAME tag VALUE value) GROUP BY ALL""")
@@ -314,15 +343,37 @@ def ing1_row_errors(spark, d):
     return rows.select("review_id", "rating", F.array_join(ingest.row_errors(rows, ingest.DATASETS["google_maps/reviews"]), ",").alias("errors"))
 
 
-@query(f"SELECT review_id, 'google_maps' AS source, review_id AS source_id, substr(crawled_at, 1, 10) AS crawl_date FROM ({raw_sql('reviews')})")
+@query(f"""SELECT id, 'google_maps' AS source, coalesce(nullif(video_id, ''), nullif(review_id, ''), nullif(place_id, ''), '') AS source_id, coalesce(nullif(url, ''), nullif(google_maps_url, ''), '') AS source_url, CASE WHEN substr(review_id, -1) = '3' THEN '2026-02-01' ELSE substr(crawled_at_utc, 1, 10) END AS crawl_date, pipeline_version, crawler_version, CAST(1 AS INT) AS attempt,
+    CASE WHEN len(e) > 0 THEN concat('["', array_to_string(e, '", "'), '"]') END AS quality_errors FROM (SELECT *, list_filter([CASE WHEN review_id = '' THEN 'missing:review_id' END, CASE WHEN coalesce(place_id, '') = '' THEN 'missing:place_id' END, CASE WHEN substr(review_id, -1) = '3' THEN 'missing:crawled_at_utc' END, CASE WHEN TRY_CAST(rating AS DOUBLE) NOT BETWEEN 1 AND 5 THEN 'range:rating' END, CASE WHEN TRY_CAST(likes_count AS DOUBLE) < 0 THEN 'negative:likes_count' END], lambda x: x IS NOT NULL) AS e
+    FROM (SELECT review_id AS id, CASE WHEN substr(review_id, -1) = '7' THEN '' ELSE review_id END AS review_id, place_id, rating, likes_count, crawled_at AS crawled_at_utc, '' AS video_id, CASE WHEN substr(review_id, -1) = '1' THEN concat('u/', review_id) ELSE '' END AS url, CASE WHEN substr(review_id, -1) = '2' THEN concat('maps/', review_id) END AS google_maps_url, '1.0' AS pipeline_version, 'adapter-2' AS crawler_version FROM ({raw_sql('reviews')})))""")
 def ing3_dt14_stamp(spark, d):
-    return ingest.stamped(review_rows(spark, d), "google_maps/reviews", "run-1", pinned()).select("review_id", "source", "source_id", "crawl_date")
+    last = lambda k: C("review_id").endswith(k)
+    rows = review_rows(spark, d).withColumns({"id": C("review_id"), "video_id": F.lit(""), "url": F.when(last("1"), F.concat(F.lit("u/"), "review_id")).otherwise(""), "google_maps_url": F.when(last("2"), F.concat(F.lit("maps/"), "review_id")), "crawled_at_utc": F.when(~last("3"), C("crawled_at_utc"))})
+    rows = rows.withColumn("review_id", F.when(last("7"), "").otherwise(C("review_id")))
+    out = ingest.stamped(rows, "google_maps/reviews", "run-1", pinned(), crawler_version="adapter-2")
+    return out.select("id", "source", "source_id", "source_url", "crawl_date", "pipeline_version", "crawler_version", "attempt", "quality_errors")
 
 
-@query("SELECT event_id, coalesce(CAST(nullif(user_id % 3, 0) AS VARCHAR), 'filled') AS crawled_at FROM events WHERE event_type NOT IN (SELECT event_type FROM events WHERE event_id % 5 = 0 AND event_type = 'view')")
+@query("""WITH r AS (SELECT event_id, CASE WHEN event_id % 10 = 3 THEN '' ELSE concat(CAST(ts AS DATE), 'T00:00:00Z') END AS t, event_id % 6 = 0 AS bad FROM events)
+    SELECT 'google_maps/reviews' AS dataset, concat('r', event_id) AS id, CASE WHEN t = '' THEN '2026-08-30T00:00:00.000000' ELSE t END AS crawled_at, CASE WHEN bad THEN 'quarantine' ELSE 'success' END AS record_status, CASE WHEN t = '' THEN '2026-08-30' ELSE substr(t, 1, 10) END AS crawl_date, 'historical-google_maps_reviews' AS run_id FROM r
+    UNION ALL SELECT 'google_maps/errors', concat('p', event_id), CASE WHEN event_id % 10 = 3 THEN NULL ELSE t END, CASE WHEN t = '' THEN 'quarantine' ELSE 'success' END, CASE WHEN t = '' THEN '2026-02-01' ELSE substr(t, 1, 10) END, 'historical-google_maps_errors' FROM r""")
 def ing5_backfill(spark, d):
-    e = base(spark, d, "events").select("event_id", C("event_type").alias("file"), F.coalesce(F.nullif(C("user_id") % 3, F.lit(0)).cast("string"), F.lit(" ")).alias("crawled_at"))
-    return ingest.backfill(e, e.where("event_id % 5 = 0 AND file = 'view'"), fill="filled").select("event_id", "crawled_at")
+    folder, root = new_path(spark, "historical"), new_path(spark, "backfilled")
+    t = F.when(C("event_id") % 10 == 3, "").otherwise(F.concat(C("ts").cast("date").cast("string"), F.lit("T00:00:00Z")))
+    e = base(spark, d, "events").select("event_id", t.alias("t"))
+    reviews = e.select(F.concat(F.lit("r"), "event_id").alias("review_id"), F.lit("p").alias("place_id"), F.when(C("event_id") % 6 == 0, "9").otherwise("3").alias("rating"), C("t").alias("crawled_at"))
+    sinks.append_csv(reviews, f"{folder}/google_maps_reviews.csv", reviews.columns)
+    errors = e.select(F.concat(F.lit("p"), "event_id").alias("place_id"), F.lit("e").alias("error_type"), C("t").alias("failed_at"))
+    sinks.append_csv(errors, f"{folder}/google_maps_errors.csv", errors.columns)
+    for _ in range(2):  # the second run finds all files landed
+        backfill.backfill(spark, folder, root, pinned())
+    out = None
+    for dataset, key, at in (("google_maps/reviews", "review_id", "crawled_at_utc"), ("google_maps/errors", "place_id", "failed_at")):
+        for quarantine in (False, True):
+            rows = bronze.read_landed(spark, root, dataset, [key, at, "record_status", "run_id"], quarantine)
+            part = rows.select(F.lit(dataset).alias("dataset"), C(key).alias("id"), F.nullif(at, F.lit("")).alias("crawled_at"), "record_status", "crawl_date", "run_id")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(f"SELECT review_id, rating FROM ({raw_sql('reviews')}) WHERE rating IN ('1', '2', '3', '4', '5') AND TRY_CAST(likes_count AS INT) >= 0 AND substr(review_id, -1) = '4'")
@@ -350,40 +401,98 @@ def agg19_latest_success(spark, d):
     return ingest.latest_success(log(spark, d), "item")
 
 
-@query(f"SELECT item AS run_id, count(*) AS n_items, count(*) FILTER (status = 'SUCCESS') AS n_success, count(*) FILTER (status <> 'SUCCESS') AS n_failed, round(count(*) FILTER (status = 'SUCCESS') / count(*), 4) AS success_rate, epoch_us(max(\"at\")) - epoch_us(min(\"at\")) AS duration_us FROM {LOG} GROUP BY 1")
+RUN_LOG = """(SELECT user_id AS run_id, ts AS "at", CASE event_id % 9 WHEN 0 THEN 'Success' WHEN 1 THEN 'failed' WHEN 2 THEN 'skipped' WHEN 3 THEN 'QUARANTINE' WHEN 4 THEN 'retry' WHEN 5 THEN 'empty' WHEN 6 THEN 'reviews_found' ELSE 'success' END AS status FROM events WHERE user_id % 5 <> 0 OR event_id % 9 = 6)"""
+
+
+@query(f"""SELECT run_id, n[1] AS success, n[2] AS failed, n[3] AS skipped, n[4] AS quarantine, n[5] AS retry, n[6] AS empty, CAST(list_sum(n) AS BIGINT) AS total, CASE WHEN list_sum(n) > 0 THEN n[1] / list_sum(n) ELSE 1.0 END AS success_rate, CASE WHEN n[2] > 0 THEN 'failed' ELSE 'success' END AS run_status, round(us / 1e6, 3) AS duration_seconds
+    FROM (SELECT run_id, [count(*) FILTER (lower(status) = s) FOR s IN ['success', 'failed', 'skipped', 'quarantine', 'retry', 'empty']] AS n, epoch_us(max("at")) - epoch_us(min("at")) AS us FROM {RUN_LOG} GROUP BY 1)""".replace("[count(*) FILTER (lower(status) = s) FOR s IN ['success', 'failed', 'skipped', 'quarantine', 'retry', 'empty']]", "[" + ", ".join(f"count(*) FILTER (lower(status) = '{x}')" for x in ingest.RUN_STATUSES) + "]"))
 def agg21_run_metrics(spark, d):
-    return ingest.run_metrics(log(spark, d).withColumnRenamed("item", "run_id"))
+    k = C("event_id") % 9
+    status = F.when(k == 0, "Success").when(k == 1, "failed").when(k == 2, "skipped").when(k == 3, "QUARANTINE").when(k == 4, "retry").when(k == 5, "empty").when(k == 6, "reviews_found").otherwise("success")
+    rows = base(spark, d, "events").where("user_id % 5 <> 0 OR event_id % 9 = 6")  # a fifth of the runs has no status that counts
+    return ingest.run_metrics(rows.select(C("user_id").alias("run_id"), C("ts").alias("at"), status.alias("status")))
+
+
+# The plan: customers are places, parts are videos of the supplier's place; a history, data and checkpoints tell what was done.
+def history(spark, d) -> DataFrame:
+    status = F.when(C("o_orderstatus") == "F", "success").when(C("o_orderstatus") == "O", "FAILED").otherwise("SUCCESS ")
+    return base(spark, d, "orders").select(C("o_custkey").alias("item_id"), C("o_orderdate").alias("at"), C("o_orderkey").alias("seq"), status.alias("status"))
 
 
-def evidence(spark, d) -> DataFrame:
-    orders = base(spark, d, "orders").select(C("o_custkey").alias("place_id"), C("o_orderdate").alias("at"))
-    events = base(spark, d, "events").where("event_type = 'purchase'").select(C("user_id").alias("place_id"), C("ts").alias("at"))
-    return ingest.recency([orders, events], "place_id")
+def checkpoints(spark, d) -> DataFrame:
+    """Events as checkpoints of parts and places; their times lie years back like the orders'."""
+    status = F.when(C("event_type") == "error", "FAILED").when(C("event_type") == "view", "empty").when(C("event_type") == "click", " success ").otherwise("SUCCESS")
+    return base(spark, d, "events").select(C("user_id").alias("item_id"), (C("ts") - F.expr("interval 8400 days")).alias("at"), C("event_id").alias("seq"), status.alias("status"))
 
 
-EVIDENCE = "(SELECT k AS place_id, max(t) AS \"at\" FROM (SELECT o_custkey AS k, o_orderdate AS t FROM orders UNION ALL SELECT user_id, ts FROM events WHERE event_type = 'purchase') GROUP BY 1)"
+def landed_data(spark, d) -> DataFrame:
+    return base(spark, d, "lineitem").select(C("l_suppkey").alias("item_id"), F.when(C("l_linenumber") != 3, C("l_shipdate")).alias("at"))
 
 
-@query(f"SELECT place_id, \"at\" FROM {EVIDENCE}")
+HISTORY = "(SELECT o_custkey AS item_id, o_orderdate AS t, o_orderkey AS seq, CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'FAILED' ELSE 'SUCCESS ' END AS status FROM orders)"
+CHECKPOINTS = "(SELECT user_id AS item_id, ts - INTERVAL 8400 DAY AS t, event_id AS seq, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'view' THEN 'empty' WHEN 'click' THEN ' success ' ELSE 'SUCCESS' END AS status FROM events)"
+LAST_CHECK = f"(SELECT item_id, arg_max(t, seq) AS t, arg_max(status, seq) AS status FROM {CHECKPOINTS} GROUP BY 1)"
+SEEN = f"""(SELECT item_id, max(t) AS "at" FROM (SELECT item_id, t FROM {HISTORY} WHERE upper(status) = 'SUCCESS' UNION ALL SELECT l_suppkey, l_shipdate FROM lineitem WHERE l_linenumber <> 3 UNION ALL SELECT item_id, t FROM {LAST_CHECK} WHERE upper(status) IN ('SUCCESS', 'EMPTY')) GROUP BY 1)"""
+SUCCESSFUL = f"(SELECT item_id FROM (SELECT item_id, arg_max(status, seq) AS status FROM {HISTORY} GROUP BY 1 UNION ALL SELECT item_id, status FROM {LAST_CHECK} WHERE item_id NOT IN (SELECT item_id FROM {HISTORY})) WHERE upper(trim(status)) = 'SUCCESS')"
+
+
+def seen(spark, d) -> DataFrame:
+    return ingest.latest_seen("item_id", history(spark, d), landed_data(spark, d), checkpoints(spark, d))
+
+
+@query(f'SELECT item_id, "at" FROM {SEEN}')
 def ing8_recency(spark, d):
-    return evidence(spark, d)
+    return seen(spark, d)
+
+
+@query(f"SELECT item_id FROM {SUCCESSFUL}")
+def ing8_successful_items(spark, d):
+    return ingest.successful_items("item_id", history(spark, d), checkpoints(spark, d))
+
 
+NOW, DAYS = "2001-08-10 00:00:00", {"ratings": 100, "reviews": 400, "videos": 1500, "comments": 900}
 
-PLAN = f"SELECT c_custkey AS place_id, \"at\" IS NULL OR NOT (\"at\" > TIMESTAMP '2001-05-02' AND \"at\" <= TIMESTAMP '2001-08-10') AS would_run, CASE WHEN \"at\" IS NULL THEN 'missing' WHEN \"at\" > TIMESTAMP '2001-05-02' AND \"at\" <= TIMESTAMP '2001-08-10' THEN 'fresh' ELSE 'stale' END AS reason FROM customer LEFT JOIN {EVIDENCE} ON c_custkey = place_id"
 
+def planned(spark, d, **options) -> plan.Plan:
+    request = plan.Request(F.lit(NOW).cast("timestamp_ntz"), DAYS, **options)
+    places = base(spark, d, "customer").select(C("c_custkey").alias("item_id"))
+    videos = base(spark, d, "lineitem").select(C("l_partkey").alias("item_id"), C("l_suppkey").alias("place_id")).where("place_id <= 40")
+    terms = base(spark, d, "customer").select(C("c_custkey").alias("item_id"), F.when(C("c_mktsegment") == "BUILDING", "Museum|x").when(C("c_mktsegment") == "MACHINERY", "old beach").alias("terms"))
+    at = seen(spark, d)
+    return plan.work_plan(request, places, dict.fromkeys(DAYS, at), videos, ingest.successful_items("item_id", history(spark, d), checkpoints(spark, d)), terms)
 
-def planned(spark, d, **options) -> DataFrame:
-    return ingest.plan(base(spark, d, "customer").select(C("c_custkey").alias("place_id")), evidence(spark, d), F.lit("2001-08-10 00:00:00").cast("timestamp_ntz"), 100, **options)
 
+def fresh_sql(days: int) -> str:
+    return f"""("at" IS NOT NULL AND "at" > TIMESTAMP '{NOW}' - INTERVAL {days} DAY AND "at" <= TIMESTAMP '{NOW}')"""
 
-@query(PLAN)
+
+ITEMS = " UNION ALL ".join(
+    f"""SELECT '{name}' AS dataset, c_custkey AS item_id, "at" AS last_at, false AS successful, NOT {fresh_sql(days)} AS would_run, CAST({"CASE WHEN NOT " + fresh_sql(days) + " THEN CASE c_mktsegment WHEN 'BUILDING' THEN 100 WHEN 'MACHINERY' THEN 30 ELSE 15 END END" if name == "reviews" else "NULL"} AS INT) AS max_reviews FROM customer LEFT JOIN {SEEN} ON c_custkey = item_id"""
+    for name, days in DAYS.items() if name != "comments"
+) + f""" UNION ALL SELECT 'comments', k, "at", k IN {SUCCESSFUL}, NOT (k IN {SUCCESSFUL}) AND NOT {fresh_sql(DAYS["comments"])}, CAST(NULL AS INT) FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_suppkey <= 40 AND l_suppkey IN (SELECT c_custkey FROM customer)) LEFT JOIN {SEEN} ON k = item_id"""
+
+
+@query(ITEMS)
 def ing9_work_plan(spark, d):
-    return planned(spark, d).select("place_id", "would_run", "reason")
+    return planned(spark, d).items
+
 
+def plan_sql(dry: bool, datasets: tuple[str, ...]) -> str:
+    """The summary of the plan, for a run or a dry run."""
+    names = ", ".join(f"('{k}', '{plan.OPERATIONS[k]}', {DAYS[k]})" for k in datasets)
+    return f"""SELECT '{"dry" if dry else "run"}' AS kind, dataset, operation, items, due_items, new_videos AS include_new_videos, due_items > 0 OR new_videos AS would_run, (due_items > 0 OR new_videos) AND {not dry} AS should_run,
+        CASE WHEN (due_items > 0 OR new_videos) AND {dry} THEN 'dry_run' WHEN due_items > 0 THEN 'stale_or_missing_items' WHEN dataset = 'comments' AND items = 0 THEN 'no_videos_in_scope' WHEN dataset = 'comments' AND done = items THEN 'all_items_successful' ELSE 'all_items_fresh' END AS reason, CAST(days AS INT) AS freshness_days
+        FROM (SELECT a.*, coalesce(n, 0) AS items, coalesce(m, 0) AS due_items, coalesce(o, 0) AS done, dataset = 'comments' AND {not dry} AND {'videos' in datasets} AND (SELECT bool_or(would_run) FROM ({ITEMS}) WHERE dataset = 'videos') AS new_videos
+        FROM (VALUES {names}) a(dataset, operation, days) LEFT JOIN (SELECT dataset, count(*) AS n, count(*) FILTER (would_run) AS m, count(*) FILTER (successful) AS o FROM ({ITEMS}) GROUP BY 1) USING (dataset))"""
 
-@query(f"SELECT * FROM (SELECT 'once' AS dataset, count(*) AS items, count(*) FILTER (reason = 'missing') AS to_run FROM ({PLAN}) UNION ALL SELECT 'again', count(*), count(*) FILTER (would_run) FROM ({PLAN}))")
+
+@query(f"{plan_sql(True, tuple(DAYS))} UNION ALL {plan_sql(False, tuple(DAYS))} UNION ALL {plan_sql(False, ('ratings', 'comments'))}")
 def ing9_plan_summary(spark, d):
-    return ingest.plan_summary({"once": planned(spark, d, once=True), "again": planned(spark, d)}, dry_run=True).select("dataset", "items", "to_run")
+    out = None
+    for kind, options in (("dry", {"dry_run": True}), ("run", {}), ("run", {"datasets": ("ratings", "comments")})):
+        part = planned(spark, d, **options).summary.select(F.lit(kind).alias("kind"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query("SELECT p_partkey, CAST(CASE p_partkey % 4 WHEN 0 THEN 100 WHEN 1 THEN 100 WHEN 2 THEN 30 ELSE 15 END AS BIGINT) AS lim FROM part")

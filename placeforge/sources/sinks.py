@@ -13,19 +13,19 @@ from ..operators import ingest
 from .tables import exists, remove, swap
 
 
-def land(df: DataFrame, root: str, dataset: str, run_id: str, now: Column, batch: str | None = None) -> dict[str, int] | None:
+def land(df: DataFrame, root: str, dataset: str, run_id: str, now: Column, batch: str | None = None, **stamps) -> dict[str, int] | None:
     """Add accepted rows to <root>/<dataset> and the others to <root>/quarantine/<dataset>, by batch and event date.
 
     Both sides are written, then the batch is committed by one marker in <root>/_commits/<dataset>, and readers
     (``bronze.read_landed``) take committed batches only. So a batch that failed between the two writes is not seen, and one that
     is run again replaces what it left; a batch that is committed already is not written again, and None is returned. Without
-    ``batch`` the run is the batch. The rows are stamped once and read for both writes. Returns how many went where.
+    ``batch`` the run is the batch. ``stamps`` go to ``ingest.stamped``. The rows are stamped once and read for both writes. Returns how many went where.
     """
     spark, batch = df.sparkSession, batch or run_id
     marker = f"{root}/_commits/{dataset}/batch={batch}"
     if exists(spark, f"{marker}/_SUCCESS"):
         return None
-    stamped = ingest.stamped(df, dataset, run_id, now).persist()
+    stamped = ingest.stamped(df, dataset, run_id, now, **stamps).persist()
     counts = {}
     try:
         for (side, place), rows in zip((("success", dataset), ("quarantine", f"quarantine/{dataset}")), ingest.split(stamped), strict=True):
