@@ -116,6 +116,9 @@ def tag_map(tags_json: Column, defaults: dict[str, Column]) -> tuple[Column, Col
     parsed = json_object(text)
     kept = F.map_filter(F.coalesce(parsed, F.expr("map()").cast("map<string,string>")), lambda k, v: v.isNotNull() & (F.trim(v) != ""))
     kept = F.transform_values(kept, lambda k, v: F.trim(v))
+    malformed = F.coalesce(text.isNotNull() & parsed.isNull(), F.lit(False))
+    if not defaults:
+        return kept, malformed
     pairs = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), given(v).alias("v")) for k, v in defaults.items()]), lambda p: p["v"].isNotNull())
     base = F.map_filter(F.map_from_entries(pairs), lambda k, v: ~F.map_contains_key(kept, k))
-    return F.map_concat(base, kept), F.coalesce(text.isNotNull() & parsed.isNull(), F.lit(False))
+    return F.map_concat(base, kept), malformed
