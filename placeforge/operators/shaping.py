@@ -31,6 +31,18 @@ def latest_by(df: DataFrame, keys: Sequence[str], at: str = "crawled_at_utc", th
     return first_by(df, keys, [F.col(at).desc_nulls_last(), F.col("bronze_ingested_at_utc").desc_nulls_last(), *then])
 
 
+def latest_observed(df: DataFrame, keys: Sequence[str], at: str = "crawled_at_utc") -> DataFrame:
+    """The latest row of each key, with observation_count and first_crawled_at_utc of all its rows: one aggregation, one shuffle.
+
+    The order is that of ``latest_by``.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    tie = F.bitwise_not(F.xxhash64(*[F.col(c) for c in df.columns]))  # of a full tie the least hash
+    order = F.struct(F.col(at).alias("a"), F.col("bronze_ingested_at_utc").alias("i"), tie.alias("t"))
+    one = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_latest"), F.count(F.lit(1)).alias("observation_count"), F.min("crawled_at_utc").alias("first_crawled_at_utc"))
+    return one.select(*keys, "_latest.*", "observation_count", "first_crawled_at_utc")
+
+
 def lifecycle(df: DataFrame, key: str, day: str = "bronze_crawl_date") -> DataFrame:
     """First and last day and number of days that a key was seen."""
     return df.groupBy(key).agg(F.min(day).alias("first_seen_crawl_date"), F.max(day).alias("last_seen_crawl_date"), F.countDistinct(day).alias("snapshot_count"))

@@ -23,14 +23,16 @@ def monthly_growth(reviews: DataFrame, videos: DataFrame, comments: DataFrame, p
     names = ["place_name", "province_id", "province_name"]
     keys = ["place_id", "activity_month"]
     rating = F.col("rating")
-    r = reviews.where("review_month IS NOT NULL").groupBy("place_id", F.col("review_month").alias("activity_month")).agg(
-        *[F.max(c).alias(f"r_{c}") for c in names], F.count(F.lit(1)).alias("new_reviews_count"), F.count_if(F.col("has_review_text")).alias("new_reviews_with_text_count"), F.count("rating").alias("rated"),
+    # a row an event with what it counts for, and one aggregation over all three kinds; videos are unique by place and id
+    said = reviews.where("review_month IS NOT NULL").select("place_id", F.col("review_month").alias("activity_month"), *[F.col(c).alias(f"r_{c}") for c in names], F.lit(1).alias("review"), F.col("has_review_text").alias("with_text"), "rating", "likes_count")
+    shown = videos.where("published_month IS NOT NULL").select("place_id", F.col("published_month").alias("activity_month"), *[F.col(c).alias(f"v_{c}") for c in names], F.col("video_id").isNotNull().alias("video"), "views")
+    answered = comments.where("comment_created_date IS NOT NULL").select("place_id", times.month_of(F.col("comment_created_date")).alias("activity_month"), F.lit(1).alias("comment"))
+    every = said.unionByName(shown, allowMissingColumns=True).unionByName(answered, allowMissingColumns=True)
+    out = every.groupBy(*keys).agg(
+        *[F.max(f"{side}_{c}").alias(f"{side}_{c}") for side in "rv" for c in names], F.count("review").alias("new_reviews_count"), F.count_if(F.col("with_text")).alias("new_reviews_with_text_count"), F.count("rating").alias("rated"),
         cast.rounded(F.avg("rating"), 2).alias("monthly_avg_review_rating"), F.count_if(rating >= 4).alias("positive_reviews_count"), F.count_if(rating == 3).alias("neutral_reviews_count"), F.count_if(rating <= 2).alias("negative_reviews_count"), F.sum("likes_count").alias("review_likes_sum"),
+        F.count_if(F.col("video")).alias("new_videos_published_count"), F.sum("views").alias("new_videos_current_views_sum"), F.count("comment").alias("new_comments_count"),
     )
-    v = videos.where("published_month IS NOT NULL").groupBy("place_id", F.col("published_month").alias("activity_month")).agg(*[F.max(c).alias(f"v_{c}") for c in names], F.countDistinct("video_id").alias("new_videos_published_count"), F.sum("views").alias("new_videos_current_views_sum"))
-    c = comments.where("comment_created_date IS NOT NULL").groupBy("place_id", times.month_of(F.col("comment_created_date")).alias("activity_month")).agg(F.count(F.lit(1)).alias("new_comments_count"))
-    # the three sides are unions of keys: full outer joins on them keep one shuffle a side
-    out = r.join(v, keys, "full").join(c, keys, "full")
     counts = ["new_reviews_count", "new_reviews_with_text_count", "rated", "positive_reviews_count", "neutral_reviews_count", "negative_reviews_count", "review_likes_sum", "new_videos_published_count", "new_videos_current_views_sum", "new_comments_count"]
     out = out.withColumns({k: F.coalesce(k, F.lit(0)).cast("bigint") for k in counts} | {n: F.coalesce(f"r_{n}", f"v_{n}") for n in names})
     w = Window.partitionBy("place_id").orderBy("activity_month")
@@ -99,7 +101,7 @@ def place_360(places: DataFrame, coverage: DataFrame, place_categories: DataFram
     order = F.struct("snapshot_date", "crawled_at_utc")
     ends = ratings.groupBy("place_id").agg(F.max_by(F.struct("snapshot_date", "google_rating", "google_review_count", *STARS, "rating_distribution_total"), order).alias("l"), F.min_by(F.struct("snapshot_date", "google_rating", "google_review_count"), order).alias("f"))
     ends = ends.select("place_id", F.col("l.snapshot_date").alias("latest_rating_snapshot_date"), F.col("l.google_rating").alias("latest_google_rating"), F.col("l.google_review_count").alias("latest_google_review_count"), *[F.col(f"l.{c}").alias(c) for c in (*STARS, "rating_distribution_total")], F.col("f.snapshot_date").alias("first_rating_snapshot_date"), F.col("f.google_rating").alias("first_google_rating"), F.col("f.google_review_count").alias("first_google_review_count"))
-    dated = reviews.join(coverage.select("place_id", "as_of_date"), "place_id")
+    dated = reviews.crossJoin(F.broadcast(coverage.agg(F.max("as_of_date").alias("as_of_date"))))  # one day for all places
     day, as_of, rating = F.col("review_date"), F.col("as_of_date"), F.col("rating")
     r = dated.groupBy("place_id").agg(
         F.count(F.lit(1)).alias("crawled_review_count"), cast.rounded(F.avg("rating"), 2).alias("crawled_avg_rating"), F.count_if(F.col("has_review_text")).alias("texts"), F.count("rating").alias("rated"), F.count_if(rating >= 4).alias("good"), F.count_if(rating <= 2).alias("bad"),

@@ -101,8 +101,7 @@ VIDEO = ("video_id", "video_title", "channel_id", "channel_name", "search_query"
 
 def videos(staged: DataFrame, places_: DataFrame) -> DataFrame:
     keys = ["place_id", "video_id"]
-    valid = valid_videos(staged)
-    out = checked_videos(op.latest_by(valid, keys)).join(op.observations(valid, keys), keys)
+    out = checked_videos(op.latest_observed(valid_videos(staged), keys))
     return op.conform(out, places_).select("place_id", "place_name", "province_id", "province_name", "is_place_in_dim", *VIDEO, "views", "duration_seconds", "category", "video_url", "published_at_raw", "published_at_utc", "published_date", "published_month", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "source", "bronze_run_id")
 
 
@@ -119,13 +118,13 @@ def comments(staged: DataFrame, places_: DataFrame) -> DataFrame:
     valid = op.live(staged, "place_id", "video_id", "crawled_at_utc").where("comment_id IS NOT NULL OR comment_text IS NOT NULL")
     valid = valid.withColumns({"comment_key": key, "is_surrogate_comment_key": F.col("comment_id").isNull()})
     keys = ["place_id", "comment_key"]
-    top = op.latest_by(valid, keys).withColumn("said", times.relative_text(F.col("comment_created_at_raw")))
+    top = op.latest_observed(valid, keys).withColumn("said", times.relative_text(F.col("comment_created_at_raw")))
     top = top.withColumns({"unit": times.relative_unit(F.col("said")), "exact": times.utc_timestamp(F.col("comment_created_at_raw"))})
     about = times.relative_date(F.col("unit"), times.relative_quantity(F.col("said")), F.col("crawled_at_utc").cast("date")).cast("timestamp_ntz")
     top = top.withColumn("comment_created_at_utc", F.coalesce("exact", about)).withColumn("comment_created_at_utc", not_ahead("comment_created_at_utc"))
     precision = F.when(F.col("comment_created_at_utc").isNull(), "unknown").when(F.col("exact").isNotNull(), "exact").otherwise(times.relative_precision(F.col("unit")))
     out = top.withColumns({"comment_created_at_precision": precision, "comment_created_date": F.col("comment_created_at_utc").cast("date"), "likes": cast.not_negative(F.col("likes")), "is_reply": F.coalesce("is_reply", F.lit(False)), "source": F.lit("youtube")})
-    out = op.conform(out.join(op.observations(valid, keys), keys), places_)
+    out = op.conform(out, places_)
     return out.select("place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "video_id", "video_title", "comment_key", "comment_id", "is_surrogate_comment_key", "author", "comment_text", "likes", "is_reply", "comment_created_at_raw", "comment_created_at_utc", "comment_created_at_precision", "comment_created_date", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "source", "bronze_run_id")
 
 

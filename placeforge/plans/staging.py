@@ -34,12 +34,31 @@ SPECS = {
 }
 
 
+#: More partitions than any table has, so that a coalesce to them changes nothing.
+ANY = 1 << 30
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """The same rows, with what stands above and below compiled as two pieces.
+
+    Spark fuses a chain of projections into one method. Some thirty cleaned and cast columns exceed the 64 KB that a method
+    may have; then the whole chain is not compiled at all. A coalesce that moves nothing is where one piece ends. Unused
+    columns are still left out.
+    """
+    return df.coalesce(ANY)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, below which no filter goes: it would repeat the cleaning and casting of each column that it reads."""
+    return df.where(F.monotonically_increasing_id() >= 0)
+
+
 def stage(feed: str, raw: DataFrame) -> DataFrame:
     """The staging table of a feed; fields that the raw table lacks are null."""
     columns, spec = {c.lower() for c in raw.columns}, {**SPECS[feed], **LINEAGE}
     value = lambda source: F.col(source) if source.lower() in columns else F.lit(None).cast("string")
     # trimmed and cleaned once, as columns of their own, however often the casts read them
     sources = dict.fromkeys(s for s, kind in spec.values() if kind in CLEAN_KINDS)
-    trimmed = raw.withColumns({f"_clean_{s}": text.trim_spaces(value(s)) for s in sources})
+    trimmed = apart(raw).withColumns({f"_clean_{s}": text.trim_spaces(value(s)) for s in sources})
     cleaned = trimmed.withColumns({f"_clean_{s}": text.not_null_word(F.col(f"_clean_{s}")) for s in sources})
-    return cleaned.select(*[(CLEAN_KINDS[kind](F.col(f"_clean_{source}")) if kind in CLEAN_KINDS else RAW_KINDS[kind](value(source))).alias(name) for name, (source, kind) in spec.items()])
+    return apart(settled(apart(cleaned).select(*[(CLEAN_KINDS[kind](F.col(f"_clean_{source}")) if kind in CLEAN_KINDS else RAW_KINDS[kind](value(source))).alias(name) for name, (source, kind) in spec.items()])))
