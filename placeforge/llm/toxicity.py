@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fresh, materialize
+from ._common import fresh, hash_sample, materialize
 
 #: Rows of each label that the fit may see, and the longest text among them.
 SAMPLE, SAMPLE_CHARS = 4_000, 20_000
@@ -140,7 +140,8 @@ def sample(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
     """text, toxic and share of at most ``rows`` labelled rows of each label that are not held out."""
     known = labels.where(F.col("toxic").isNotNull() & F.col(doc_id).isNotNull()).where(~held_out(F.col(doc_id)))
     known = known.groupBy(F.col(doc_id).alias("_id")).agg(F.max(F.col("toxic") > 0).alias("toxic"))
-    parts = [known.where(F.col("toxic") == flag).orderBy(F.xxhash64(F.col("_id").cast("string")), "_id").limit(rows) for flag in (False, True)]
+    sizes_of = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}  # two rows
+    parts = [hash_sample(known.where(F.col("toxic") == flag), "_id", sizes_of.get(flag, 0), rows) for flag in (False, True)]
     ids = materialize(parts[0].unionByName(parts[1]), "toxicity-ids")  # at most 2 * rows ids
     sizes = F.broadcast(known.groupBy("toxic").agg(F.count(F.lit(1)).alias("_all")))  # two rows
     own = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("text")).where(F.length("text") <= chars)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fresh, materialize
+from ._common import fresh, hash_sample, materialize
 
 #: The verdict of a URL that no rule fits.
 DEFAULT = "allow"
@@ -87,7 +87,8 @@ def match_rules(pages: DataFrame, rules: DataFrame, url: str = "url") -> DataFra
     back = F.reverse(labels)
     asked = F.transform(F.sequence(F.lit(1), F.size(back)), lambda k: F.concat(F.array_join(F.slice(back, F.lit(1), k), "."), F.lit("/"), F.col("url_path")))
     questions = targets.select("row", F.explode(asked).alias("key")).withColumn("key", F.concat("key", F.lit("\x00"), F.hex("row")))
-    bounds = sorted(r.key for r in questions.orderBy(F.xxhash64("key")).limit(RANGES * PER_RANGE).select("key").collect())  # bounded
+    total = targets.agg(F.sum(F.size(F.split("url_host", "\\.", -1)))).first()[0] or 0  # as many questions
+    bounds = sorted(r.key for r in hash_sample(questions.select("key"), "key", total, RANGES * PER_RANGE).collect())
     ranges = max(1, min(RANGES, len(bounds) // PER_RANGE))
     cuts = sorted({bounds[i * len(bounds) // ranges] for i in range(1, ranges)})
     at = F.lit(cuts) if cuts else F.array().cast("array<string>")
