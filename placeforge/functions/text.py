@@ -80,8 +80,13 @@ def unicode_form(form: str):
     return apply
 
 
+def plain_ascii(x: Column) -> Column:
+    return F.octet_length(x) == F.length(x)
+
+
 def nfc(x: Column) -> Column:
-    return unicode_form("NFC")(x)
+    """In plain ASCII the text itself; only other texts go to Python."""
+    return F.when(plain_ascii(x), x).otherwise(unicode_form("NFC")(F.when(~plain_ascii(x), x)))
 
 
 def plain(value: str) -> str:
@@ -92,11 +97,14 @@ def plain(value: str) -> str:
 
 
 def accent_key(x: Column) -> Column:
+    """``plain``, by columns for plain ASCII."""
+
     @F.pandas_udf("string")
     def key(s: pd.Series) -> pd.Series:
         return s.map(lambda v: None if v is None else plain(v))
 
-    return key(x)
+    bare = F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " "))
+    return F.when(plain_ascii(x), bare).otherwise(key(F.when(~plain_ascii(x), x)))
 
 
 def searchable(value: str | None, strip_accents: bool = False) -> str:
@@ -138,10 +146,27 @@ def similarity(a: Column, b: Column) -> Column:
     return ratio(a, b)
 
 
+def similar(a: Column, b: Column, ratio: float = RATIO) -> Column:
+    """Whether the similarity is at least ``ratio``; null for a null side. Lengths and letters settle most pairs; the rest is compared."""
+
+    @F.pandas_udf("boolean")
+    def enough(x: pd.Series, y: pd.Series) -> pd.Series:
+        from difflib import SequenceMatcher
+
+        out = []
+        for p, q in zip(x, y, strict=True):
+            m = SequenceMatcher(None, p, q) if p is not None and q is not None else None
+            out.append(None if m is None else m.real_quick_ratio() >= ratio and m.quick_ratio() >= ratio and m.ratio() >= ratio)
+        return pd.Series(out, dtype="object")
+
+    return enough(a, b)
+
+
 def names_match(a: Column, b: Column, ratio: float = RATIO) -> Column:
-    """Either name holds the other, or they are similar; an empty side matches all."""
+    """Either name holds the other, or they are similar; an empty side matches all. Only what is still open is compared."""
     p, q = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
-    return (p == "") | (q == "") | F.contains(p, q) | F.contains(q, p) | (similarity(p, q) >= ratio)
+    held = (p == "") | (q == "") | F.contains(p, q) | F.contains(q, p)
+    return held | F.coalesce(similar(F.when(~held, p), F.when(~held, q), ratio), F.lit(False))
 
 
 def terms(x: Column) -> Column:

@@ -58,7 +58,7 @@ def resolve(pairs: DataFrame) -> DataFrame:
 
     # the best name: one inside the title is 1, else the highest ratio
     inside = F.exists("_names", lambda n: F.contains(F.col("_title"), n))
-    ratios = best_ratio(F.col("_names"), F.col("_title"))
+    ratios = best_ratio(F.when(~inside, F.col("_names")), F.when(~inside, F.col("_title")))
     words = F.split("_all", " ")
     phrase = F.exists(literals(NEGATIVE_PHRASES), lambda p: F.contains(F.col("_all"), p)) | F.exists("_negative_keywords", lambda p: F.contains(F.col("_all"), p))
     negative = phrase | F.arrays_overlap(words, literals(NEGATIVE_WORDS))
@@ -82,6 +82,14 @@ def best_ratio(names: Column, title: Column) -> Column:
     def best(many: pd.Series, one: pd.Series) -> pd.Series:
         from difflib import SequenceMatcher
 
-        return pd.Series([max((SequenceMatcher(None, n, t or "").ratio() for n in ns), default=0.0) for ns, t in zip(many, one, strict=True)], dtype="float64")
+        out = []
+        for names_, t in zip(many, one, strict=True):
+            highest = 0.0
+            for n in names_ if names_ is not None else ():
+                m = SequenceMatcher(None, n, t or "")
+                if m.real_quick_ratio() > highest and m.quick_ratio() > highest:  # it could be higher
+                    highest = max(highest, m.ratio())
+            out.append(highest)
+        return pd.Series(out, dtype="float64")
 
     return best(names, title)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,13 +16,25 @@ def work_folder(spark: SparkSession) -> str:
     if not place:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        place = "file://" + tempfile.mkdtemp(prefix="placeforge-")
+        own = tempfile.mkdtemp(prefix="placeforge-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        place = "file://" + own
         spark.sparkContext.setCheckpointDir(place)
     return place.rstrip("/")
 
 
+def own_folder(spark: SparkSession) -> str:
+    """Where this application's tables are."""
+    return f"{work_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{own_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove the tables that this application has stored between its steps, once their results are written."""
+    remove(spark, own_folder(spark))
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -20,9 +20,9 @@ from .keys import KeyStore
 
 C = F.col
 #: How late a row may come to its day's or month's count, and how far apart repeats of a key are still seen.
-LATE, HORIZON = "1 day", "3650 days"
+LATE, HORIZON = "1 day", "31 days"
 #: How long the status of an item is kept without news of it, in the time of the events.
-STATUS_TTL = "3650 days"
+STATUS_TTL = "90 days"
 STORE, ROCKS = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
