@@ -42,6 +42,7 @@ def test_tables_are_replaced_verified_and_never_empty(spark, tmp_path):
 
 def test_landing_splits_and_keeps_raw_values(spark, tmp_path):
     df = spark.createDataFrame([("r1", "p", "2024-01-02T03:00:00Z", "9", "1"), ("r2", "p", "2024-01-02T03:00:00Z", "5", "1")], "review_id string, place_id string, crawled_at_utc string, rating string, likes_count string")
-    paths = sinks.land(df, str(tmp_path), "google_maps/reviews", "run", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
-    good, bad = (bronze.read_jsonl(spark, paths[k], ["review_id", "rating"]).collect() for k in ("success", "quarantine"))
+    counts = sinks.land(df, str(tmp_path), "google_maps/reviews", "run", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    good, bad = (bronze.read_landed(spark, str(tmp_path), "google_maps/reviews", ["review_id", "rating"], quarantine).collect() for quarantine in (False, True))
+    assert counts == {"success": 1, "quarantine": 1}
     assert [(r.review_id, r.rating) for r in good] == [("r2", "5")] and [(r.review_id, r.crawl_date) for r in bad] == [("r1", "2024-01-02")]
