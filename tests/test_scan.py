@@ -57,3 +57,16 @@ def test_asof_of_a_hot_key(spark):
     left = spark.createDataFrame([(r.choice(["hot", "hot", "a", "b", None]), r.randint(0, 400), k) for k in range(600)], "k string, a int, id int")
     right = spark.createDataFrame([(k, d, d * 2) for k in ("hot", "a", None) for d in r.sample(range(400), 60)], "k string, b int, q int")
     assert rows_of(shaping.nearest_asof(left, right, "k", "a", "b", ["q"], 40)) == rows_of(shaping.nearest_asof(left, right, "k", "a", "b", ["q"], None))
+
+
+@pytest.mark.parametrize("most", [0, None])
+def test_fill_reads_no_row_anew(spark, most):
+    """A frame from each row to the end of its key is quadratic; the fill has none and still gives what such a frame gives."""
+    df = table(spark).drop("m")
+    out = scan.filled(df, ["k"], [F.col("day").asc_nulls_first(), F.col("id").asc()], "v", "near", most)
+    assert "currentrow$(), unboundedfollowing$()" not in out._jdf.queryExecution().analyzed().toString()
+    groups = {}
+    for r in sorted(df.collect(), key=lambda r: (r.day is not None, r.day or 0, r.id)):
+        groups.setdefault(r.k, []).append(r)
+    expected = {r.id: next((x.v for x in [*rows[i::-1], *rows[i:]] if x.v is not None), None) for rows in groups.values() for i, r in enumerate(rows)}
+    assert {r.id: r.near for r in out.collect()} == expected
