@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -88,6 +90,11 @@ def repair_json(line: Column) -> Column:
     return F.regexp_replace(line, r":\s*(NaN|-?Infinity)\s*([,}])", ": null$2")
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is computed once a row, however often ``f`` names it: Spark writes a column out wherever it is named."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 #: Texts that count as empty in tags and their columns.
 EMPTY_WORDS = ("", "nan", "none", "<na>")
 
@@ -107,18 +114,28 @@ def json_object(text: Column) -> Column:
     strict = {"allowSingleQuotes": "false"}
     listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", strict)
     held = F.from_json(F.concat(F.lit('{"x":'), text, F.lit("}")), "map<string,map<string,string>>", strict)
-    return F.when((F.size(listed) == 1) & (F.size(held) == 1) & F.startswith(F.trim(text), F.lit("{")), F.get(listed, F.lit(0)))
+    whole = (F.size(held) == 1) & F.startswith(F.trim(text), F.lit("{"))
+    return once(listed, lambda items: F.when((F.size(items) == 1) & whole, F.get(items, F.lit(0))))
+
+
+def tags_of(tags_json: Column, defaults: dict[str, Column]) -> Column:
+    """A struct of ``tags``, those of a JSON object without blank values, over the defaults, and ``malformed``."""
+    none = F.expr("map()").cast("map<string,string>")
+    pairs = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), given(v).alias("v")) for k, v in defaults.items()]), lambda p: p["v"].isNotNull()) if defaults else None
+
+    def over_defaults(kept: Column) -> Column:
+        return kept if pairs is None else F.map_concat(F.map_filter(F.map_from_entries(pairs), lambda k, v: ~F.map_contains_key(kept, k)), kept)
+
+    def both(read: Column) -> Column:
+        kept = F.transform_values(F.map_filter(F.coalesce(read["parsed"], none), lambda k, v: v.isNotNull() & (F.trim(v) != "")), lambda k, v: F.trim(v))
+        malformed = read["text"].isNotNull() & read["parsed"].isNull()
+        return F.struct(once(kept, over_defaults).alias("tags"), malformed.alias("malformed"))
+
+    text = given(tags_json)
+    return once(F.struct(text.alias("text"), json_object(text).alias("parsed")), both)
 
 
 def tag_map(tags_json: Column, defaults: dict[str, Column]) -> tuple[Column, Column]:
     """The tags of a JSON object without blank values, over the defaults; and whether the JSON is malformed."""
-    text = given(tags_json)
-    parsed = json_object(text)
-    kept = F.map_filter(F.coalesce(parsed, F.expr("map()").cast("map<string,string>")), lambda k, v: v.isNotNull() & (F.trim(v) != ""))
-    kept = F.transform_values(kept, lambda k, v: F.trim(v))
-    malformed = F.coalesce(text.isNotNull() & parsed.isNull(), F.lit(False))
-    if not defaults:
-        return kept, malformed
-    pairs = F.filter(F.array(*[F.struct(F.lit(k).alias("k"), given(v).alias("v")) for k, v in defaults.items()]), lambda p: p["v"].isNotNull())
-    base = F.map_filter(F.map_from_entries(pairs), lambda k, v: ~F.map_contains_key(kept, k))
-    return F.map_concat(base, kept), malformed
+    found = tags_of(tags_json, defaults)
+    return found["tags"], found["malformed"]

@@ -105,7 +105,11 @@ def eligibility(tags_json: Column, fields: dict[str, Column]) -> Column:
 
     ``fields``: the columns of the row besides the tags, by name (the four tag columns, and evidence columns if any).
     """
-    tags, malformed = cast.tag_map(tags_json, {k: fields[k] for k in TAGS if k in fields})
+    found = cast.tags_of(tags_json, {k: fields[k] for k in TAGS if k in fields})
+    return cast.once(found, lambda t: ruled(t["tags"], t["malformed"], fields))
+
+
+def ruled(tags: Column, malformed: Column, fields: dict[str, Column]) -> Column:
     tag = lambda k: F.coalesce(tags[k], F.lit(""))
     names = [F.when((tag(f) != "") | (cast.given(fields[f]).isNotNull() if f in fields else F.lit(False)), f) for f in EVIDENCE]
     evidence = F.array_join(F.array_compact(F.array(*names)), ",")

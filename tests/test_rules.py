@@ -99,3 +99,11 @@ def test_comments_hang_on_videos(spark):
     assert planned(spark, ["p"], fresh, [], datasets=two)["comments"] == (0, False, False, False, plan.NO_VIDEOS)
     assert planned(spark, ["p"], fresh, None, datasets=two)["comments"] == (0, False, False, False, plan.NO_TABLE)
     assert planned(spark, [], fresh, both, datasets=two) == {"videos": (0, False, False, False, plan.FRESH), "comments": (0, False, False, False, plan.NO_VIDEOS)}
+
+
+def test_eligibility_reads_its_json_once(spark):
+    """Each of the rules names the tags; written out each time, the text was parsed anew for each name."""
+    df = spark.createDataFrame([('{"tourism":"museum"}', "x"), ("{broken", None), ('{"natural":"peak","wikidata":"Q1"}', None)], "t string, tourism string")
+    out = df.select(reference.eligibility(F.col("t"), {"tourism": F.col("tourism")}).alias("e")).select("e.*")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") <= 2
+    assert [r.tourism_reason for r in out.collect()] == ["strong_tourism_tag", "malformed_tags_json", "conditional_tag_with_independent_evidence"]
