@@ -107,3 +107,15 @@ def test_eligibility_reads_its_json_once(spark):
     out = df.select(reference.eligibility(F.col("t"), {"tourism": F.col("tourism")}).alias("e")).select("e.*")
     assert out._jdf.queryExecution().optimizedPlan().toString().count("from_json(") <= 2
     assert [r.tourism_reason for r in out.collect()] == ["strong_tourism_tag", "malformed_tags_json", "conditional_tag_with_independent_evidence"]
+
+
+def test_a_large_province_is_filled_in_pieces(spark, monkeypatch):
+    table = spark.createDataFrame([(k, ["01", "02", None, "09"][k % 4], None, "own" if k % 3 else None) for k in range(400)], "id int, province_id string, legacy_province_id string, legacy_province_name string").coalesce(1)
+    mapping = spark.createDataFrame([(p, f"l{k}", f"n{k}") for p in ("01", None, "02") for k in range(30 if p != "02" else 1)], "current_province_id string, legacy_province_id string, legacy_province_name string")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    whole = rows(reference.enrich_admin(table, mapping))
+    monkeypatch.setattr(reference, "PIECE", 300)
+    cut = reference.enrich_admin(table, mapping)
+    assert rows(cut) == whole and len(whole) == 100 * (30 + 1 + 30 + 1)
+    sizes = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 8 and max(sizes) < len(whole) / 4
