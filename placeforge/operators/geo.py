@@ -145,7 +145,9 @@ def nearest(points: DataFrame, polygon_edges: DataFrame, key: str = "polygon_id"
     width = first_width(e)
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("px") - F.col("x1")) * dx + (F.col("py") - F.col("y1")) * dy) / (dx * dx + dy * dy)))
-    d = F.sqrt(F.pow(F.col("px") - F.col("x1") - t * dx, 2) + F.pow(F.col("py") - F.col("y1") - t * dy, 2))
+    # at an end the distance is that to the corner itself, so edges that share it tie exactly
+    off = lambda p, a, b, step: F.when(t <= 0, F.col(p) - F.col(a)).when(t >= 1, F.col(p) - F.col(b)).otherwise(F.col(p) - F.col(a) - t * step)
+    d = F.sqrt(F.pow(off("px", "x1", "x2", dx), 2) + F.pow(off("py", "y1", "y2", dy), 2))
     while True:
         cell = lambda c, w=width: F.floor(F.col(c) / w).cast("int")
         near_edges = e.withColumn("cx", F.explode(F.sequence(cell("x_lo"), cell("x_hi")))).withColumn("cy", F.explode(F.sequence(cell("y_lo"), cell("y_hi"))))

@@ -88,3 +88,12 @@ def test_dealt_join_is_the_join(spark):
     right = spark.createDataFrame([(k, n) for k in range(9) for n in range(k % 3)], "k long, n int")
     for most in (1, 30, 1000):
         assert sorted(map(tuple, dealt_join(left, right, ["k"], most).collect())) == sorted(map(tuple, left.join(right, "k").collect()))
+
+
+def test_corners_that_two_squares_share_tie(spark):
+    """Off a shared corner both squares are equally far, to the last bit: the least key has it."""
+    at = lambda k: [(x, k * 10.0 - 25 + y) for x, y in ((15.0, 0.0), (25.0, 0.0), (25.0, 10.0), (15.0, 10.0))]
+    rings = spark.createDataFrame([(k, at(k)) for k in range(5)], RINGS)
+    points = [(100 * k + j, 50 + j * 0.25, k * 10.0 - 15) for k in range(4) for j in range(80)]
+    got = geo.nearest(spark.createDataFrame(points, "point_id long, x double, y double"), geo.edges(rings)).collect()
+    assert {r.point_id: r.polygon_id for r in got} == {p: p // 100 for p, _, _ in points}
