@@ -1,7 +1,7 @@
 """Operator 6, sharding along a Hilbert curve.
 
-Method. The source, the language and the text's size are quantised to BITS bits each, in their order: a bounded sample of the
-rows gives the values at which each column is cut to near equal numbers of bytes, and what is less than a cut has a
+Method. The source, the language and the text's size are quantised to BITS bits each, in their order: each
+column is cut to near equal numbers of bytes, counted over all rows, and what is less than a cut has a
 lower code. If a column has fewer values than codes, these are dealt over the whole range. Each row gets the index of its
 cell on the Hilbert curve, rows are ordered by it, and the order is cut into runs of near equal bytes. Neighbours on the
 curve are neighbours in every dimension, so each shard covers a compact box, and a reader can prune files by the least
@@ -25,12 +25,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ._common import fresh, hash_sample, materialize
+from ._common import fresh, materialize
 
 BITS = 4
 SHARDS = 16
-#: Rows of a group of a cell, about; rows sampled for the cuts.
-ROWS_A_PART, SAMPLE = 50_000, 20_000
+#: Rows of a group of a cell, about.
+ROWS_A_PART = 50_000
 #: Rows of a file at most, about.
 ROWS_A_FILE = 100_000
 
@@ -74,7 +74,7 @@ def curve(*dims: Column) -> Column:
 
 
 def cuts_of(sample: list[tuple], levels: int) -> list:
-    """Values that cut a sample of (value, bytes) into ``levels`` runs of near equal bytes, each once; a row's code is how many are up to its value."""
+    """Values that cut (value, bytes) pairs into ``levels`` runs of near equal bytes, each once; a row's code is how many are up to its value."""
     order = sorted(sample)
     different = sorted({v for v, _ in order})
     if len(different) <= levels:  # each value has a code of its own
@@ -84,6 +84,24 @@ def cuts_of(sample: list[tuple], levels: int) -> list:
     return sorted({order[k][0] for k in places} - {order[0][0]})
 
 
+def all_cuts(rows: DataFrame, column: str, levels: int) -> list:
+    """``cuts_of`` over the bytes of all rows: values are summed up, ranked in ranges, and only those where a run ends are collected."""
+    sums = materialize(rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.sum("size").alias("n")), "shard-values")
+    few = sums.limit(levels + 1).collect()  # one more than there are codes
+    if len(few) <= levels:
+        return cuts_of([(r["v"], r["n"]) for r in few], levels)
+    ranged = materialize(sums.repartitionByRange("v").withColumn("range", F.spark_partition_id()), "shard-ranges")
+    sizes = ranged.groupBy("range").agg(F.sum("n").alias("bytes"))
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    offsets = sizes.select("range", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("at"))
+    total, least = sums.agg(F.sum("n"), F.min("v")).first()
+    inside = Window.partitionBy("range").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ends = ranged.join(F.broadcast(offsets), "range").select("v", "n", (F.col("at") + F.sum("n").over(inside)).alias("end"))
+    run = lambda c: f"CAST(({levels} * CAST({c} AS DECIMAL(30,0))) div {int(total)} AS BIGINT)"
+    ended = ends.where(F.least(F.expr(run("end")), F.lit(levels - 1)) > F.expr(run("end - n")))
+    return sorted({r["v"] for r in ended.select("v").collect()} - {least})  # at most levels - 1
+
+
 def code(value: Column, cuts: list, kind: str, levels: int = 1 << BITS) -> Column:
     """0 .. levels - 1, in the order of the values; nulls are before all."""
     if not cuts:
@@ -99,8 +117,7 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     size = (F.octet_length(there) + 1).cast("long")
     rows = docs.select(F.col(doc_id).alias("doc_id"), size.alias("size"), F.crc32(F.encode(there, "UTF-8")).alias("text_crc32"), F.col(source).cast("string").alias("a"), F.col(lang).cast("string").alias("b"), *([F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []))
     rows = materialize(rows.withColumn("number", F.monotonically_increasing_id()), "shard-rows")
-    sample = hash_sample(rows.select("number", "a", "b", "size"), "number", rows.count(), SAMPLE).collect()  # bounded; only where cells end hangs on it
-    codes = [code(F.col(c), cuts_of([(r[c], r["size"]) for r in sample if r[c] is not None], 1 << BITS), kind) for c, kind in (("a", "string"), ("b", "string"), ("size", "long"))]
+    codes = [code(F.col(c), all_cuts(rows, c, 1 << BITS), kind) for c, kind in (("a", "string"), ("b", "string"), ("size", "long"))]
     rows = rows.select("doc_id", "size", "text_crc32", "number", curve(*codes).alias("cell"), *row)
     cells = materialize(rows.groupBy("cell").agg(F.sum("size").alias("cell_bytes"), F.count(F.lit(1)).alias("cell_n")), "shard-cells")
     before = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # over at most 2 ** (3 * BITS) cells

@@ -226,3 +226,13 @@ def test_equal_pieces_are_dealt_to_salts(spark, monkeypatch):
     packed = packing.pack(frame(spark, rows), most=16).collect()
     assert len(packed) == 60 and len({(r.sequence_id, r.offset) for r in packed}) == 60
     assert len({r.sequence_id for r in packed}) == 60 * packed[0].length // (16 // packed[0].length * packed[0].length) + (60 % (16 // packed[0].length) > 0)
+
+
+def test_cuts_are_those_of_all_rows(spark):
+    """Far more rows than a sample would hold: the cuts are those of a plain sort of them all, to the value."""
+    r = random.Random(8)
+    rows = [(r.choice([None, *range(30_000)]), r.randint(1, 9)) for _ in range(60_000)] + [(7, 3_000)]
+    df = spark.createDataFrame(rows, "v long, size long").repartition(5)
+    known = [(v, n) for v, n in rows if v is not None]
+    assert hilbert.all_cuts(df, "v", 16) == hilbert.cuts_of(known, 16)
+    assert hilbert.all_cuts(df.where("v < 9"), "v", 16) == list(range(1, 9)) and hilbert.all_cuts(df.limit(0), "v", 16) == []
