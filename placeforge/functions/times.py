@@ -27,7 +27,10 @@ def timestamp_of(v: Column) -> Column:
     zoned = F.convert_timezone(F.current_timezone(), F.lit("UTC"), v.try_cast("timestamp").cast("timestamp_ntz"))
     # most texts with an offset end in hh:mm:ssZ, which need no pattern
     plain_z = (F.substring(v, -1, 1) == "Z") & (F.substring(v, -4, 1) == ":") & (F.substring(v, -7, 1) == ":")
-    return F.when(plain_z | v.rlike(OFFSET), zoned).otherwise(v.try_cast("timestamp_ntz"))
+    other = F.when(plain_z | v.rlike(OFFSET), zoned).otherwise(v.try_cast("timestamp_ntz"))
+    # a date, a time and Z behind a digit (not a zone such as NZ): the digits are those of UTC as they stand
+    utc = F.endswith(v, F.lit("Z")) & (F.substring(v, 5, 1) == "-") & (F.substring(v, 14, 1) == ":") & F.substring(v, -2, 1).between("0", "9")
+    return F.when(utc, v.try_cast("timestamp_ntz")).otherwise(other)
 
 
 def relative_text(x: Column) -> Column:
