@@ -66,14 +66,16 @@ def rounded(x: Column, digits: int = 2) -> Column:
     return F.round(x.cast("double") * scale) / scale
 
 
-def mean_rounded(x: Column, digits: int = 2) -> Column:
+def mean_rounded(x: Column, digits: int = 2, over=None) -> Column:
     """The mean of values that have at most ``digits`` decimals, rounded to as many: an exact sum, one division, one rounding.
 
-    A sum of doubles depends on its order, and so would the rounding of a mean that lies half way.
+    A sum of doubles depends on its order, and so would the rounding of a mean that lies half way. ``over``: a window.
     """
     scale = float(10**digits)
-    whole = F.sum(F.rint(x.cast("double") * F.lit(scale)).cast("bigint"))
-    return F.when(F.count(x) > 0, F.round(whole.cast("double") / F.count(x)) / F.lit(scale))
+    whole, n = F.sum(F.rint(x.cast("double") * F.lit(scale)).cast("bigint")), F.count(x)
+    if over is not None:
+        whole, n = whole.over(over), n.over(over)
+    return F.when(n > 0, F.round(whole.cast("double") / n) / F.lit(scale))
 
 
 def ratio_pct(part: Column, whole: Column, digits: int = 2) -> Column:

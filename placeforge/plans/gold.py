@@ -51,7 +51,8 @@ def monthly_growth(reviews: DataFrame, videos: DataFrame, comments: DataFrame, p
 
 def daily_views(video_snapshots: DataFrame) -> DataFrame:
     """Videos and views of a place on each of its snapshot days, with the change since the last one."""
-    out = video_snapshots.groupBy("place_id", F.col("snapshot_date").alias("youtube_snapshot_date")).agg(F.countDistinct("video_id").alias("tracked_videos_count"), F.sum("views").alias("total_youtube_views"))
+    # a video has one row a day
+    out = video_snapshots.groupBy("place_id", F.col("snapshot_date").alias("youtube_snapshot_date")).agg(F.count("video_id").alias("tracked_videos_count"), F.sum("views").alias("total_youtube_views"))
     w = Window.partitionBy("place_id").orderBy("youtube_snapshot_date")
     out = out.withColumns({"prev_total_youtube_views": F.lag("total_youtube_views").over(w), "_days": F.datediff("youtube_snapshot_date", F.lag("youtube_snapshot_date").over(w))})
     out = out.withColumn("youtube_views_delta", F.col("total_youtube_views") - F.col("prev_total_youtube_views"))
@@ -73,17 +74,14 @@ def by_views() -> list[Column]:
     return [F.col("views").desc_nulls_last(), F.col("published_date").desc_nulls_last(), F.col("video_id").asc_nulls_last()]
 
 
-def video_performance(videos: DataFrame, video_snapshots: DataFrame, comments: DataFrame) -> DataFrame:
+def video_performance(videos: DataFrame, places: DataFrame, comments: DataFrame) -> DataFrame:
+    """``videos`` carry what their days sum up to. The ranks and the dimension meet them in one shuffle by place."""
     keys = ["place_id", "video_id"]
-    later = F.col("snapshot_seq_num") >= 2
-    s = video_snapshots.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("snapshot_count"), F.max("snapshot_date").alias("latest_snapshot_date"), F.min("snapshot_date").alias("first_snapshot_date"), F.max(F.when(F.col("snapshot_seq_num") == 1, F.col("views"))).alias("first_views"),
-        F.sum(F.when(later, F.col("views_delta"))).alias("total_views_delta"), cast.mean_rounded(F.when(later, F.col("views_daily_growth"))).alias("snapshot_daily_view_growth"),
-    )
     c = comments.groupBy(*keys).agg(F.count(F.lit(1)).alias("crawled_comment_count"))
-    out = scan.numbered(videos, ["place_id"], by_views(), "place_video_view_rank").join(s, keys, "left").join(c, keys, "left")
+    out = scan.numbered(videos, ["place_id"], by_views(), "place_video_view_rank")
+    out = op.conform(out, places).join(c, keys, "left")
     age = times.days_between(F.col("published_date"), F.col("latest_snapshot_date"))
-    out = out.withColumns({"video_age_days": F.when(age >= 0, age), "avg_daily_views_since_publish": op.velocity(F.col("views"), age), "snapshot_count": F.coalesce("snapshot_count", F.lit(1)).cast("bigint"), "crawled_comment_count": F.coalesce("crawled_comment_count", F.lit(0)).cast("bigint"), "place_video_id": op_id("place_id", "video_id")})
+    out = out.withColumns({"video_age_days": F.when(age >= 0, age), "avg_daily_views_since_publish": op.velocity(F.col("views"), age), "crawled_comment_count": F.coalesce("crawled_comment_count", F.lit(0)).cast("bigint"), "place_video_id": op_id("place_id", "video_id")})
     return out.select("place_video_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "video_id", "video_title", "channel_id", "channel_name", "category", "video_url", "published_date", "published_month", "duration_seconds", "video_age_days", "first_snapshot_date", "latest_snapshot_date", "snapshot_count", "first_views", F.col("views").alias("latest_views"), "total_views_delta", "avg_daily_views_since_publish", "snapshot_daily_view_growth", "crawled_comment_count", "place_video_view_rank")
 
 
@@ -107,7 +105,7 @@ def place_360(places: DataFrame, coverage: DataFrame, place_categories: DataFram
         F.count(F.lit(1)).alias("crawled_review_count"), cast.rounded(F.avg("rating"), 2).alias("crawled_avg_rating"), F.count_if(F.col("has_review_text")).alias("texts"), F.count("rating").alias("rated"), F.count_if(rating >= 4).alias("good"), F.count_if(rating <= 2).alias("bad"),
         F.count_if(day > F.date_sub(as_of, 90)).alias("reviews_last_90d_count"), F.count_if((day > F.date_sub(as_of, 180)) & (day <= F.date_sub(as_of, 90))).alias("reviews_prev_90d_count"),
     )
-    v = videos.groupBy("place_id").agg(F.countDistinct("video_id").alias("youtube_video_count"), F.countDistinct("channel_id").alias("distinct_channel_count"), F.sum("views").alias("total_youtube_views"), cast.rounded(F.avg("views"), 2).alias("avg_views_per_video"), F.max("views").alias("max_video_views"))
+    v = videos.groupBy("place_id").agg(F.count("video_id").alias("youtube_video_count"), F.countDistinct("channel_id").alias("distinct_channel_count"), F.sum("views").alias("total_youtube_views"), cast.rounded(F.avg("views"), 2).alias("avg_views_per_video"), F.max("views").alias("max_video_views"))
     top = op.first_by(videos.select("place_id", "video_id", "video_title", "views", "published_date"), ["place_id"], by_views()).select("place_id", F.col("video_id").alias("top_video_id"), F.col("video_title").alias("top_video_title"))
     g = video_snapshots.where("snapshot_seq_num >= 2").groupBy("place_id").agg(F.sum("views_delta").alias("total_youtube_views_delta"), cast.mean_rounded(F.col("views_daily_growth")).alias("avg_daily_youtube_view_growth"))
     cats = place_categories.groupBy("place_id").agg(F.countDistinct("category_id").alias("category_count"))

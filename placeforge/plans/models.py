@@ -38,10 +38,9 @@ class Lakehouse:
         self.feeds: dict[str, DataFrame] = {}
 
     def staged(self, feed: str) -> DataFrame:
-        """The staging table of a feed; a graph that stores its tables stores these too, as several tables read them."""
+        """The staging table of a feed. It is never stored: one table reads all of its rows, and others a few columns."""
         if feed not in self.feeds:
-            df = stage(feed, raw(self.spark, self.sf_dir, feed))
-            self.feeds[feed] = stored(df, f"stg_{feed}") if self.store else df
+            self.feeds[feed] = stage(feed, raw(self.spark, self.sf_dir, feed))
         return self.feeds[feed]
 
     @table
@@ -64,6 +63,15 @@ class Lakehouse:
     def ratings(self) -> DataFrame:
         return silver.rating_snapshots(self.staged("ratings"), self.places)
 
+    @table
+    def video_days(self) -> DataFrame:
+        """Videos and their days in one table, for the marts."""
+        return silver.video_days(self.staged("videos"))
+
+    @cached_property
+    def newest_videos(self) -> DataFrame:
+        return silver.newest_videos(self.video_days)
+
     @table
     def videos(self) -> DataFrame:
         return silver.videos(self.staged("videos"), self.places)
@@ -82,23 +90,23 @@ class Lakehouse:
 
     @table
     def coverage(self) -> DataFrame:
-        return silver.coverage(self.places, self.reviews, self.videos, self.video_snapshots, self.comments, self.ratings, self.settings)
+        return silver.coverage(self.places, self.reviews, self.newest_videos, self.video_days, self.comments, self.ratings, self.settings)
 
     @table
     def monthly(self) -> DataFrame:
-        return gold.monthly_growth(self.reviews, self.videos, self.comments, self.places, self.place_categories)
+        return gold.monthly_growth(self.reviews, self.newest_videos, self.comments, self.places, self.place_categories)
 
     @table
     def trajectory(self) -> DataFrame:
-        return gold.snapshot_trajectory(self.ratings, self.video_snapshots, self.places, self.place_categories)
+        return gold.snapshot_trajectory(self.ratings, self.video_days, self.places, self.place_categories)
 
     @table
     def video_performance(self) -> DataFrame:
-        return gold.video_performance(self.videos, self.video_snapshots, self.comments)
+        return gold.video_performance(self.newest_videos, self.places, self.comments)
 
     @table
     def profile(self) -> DataFrame:
-        return gold.place_360(self.places, self.coverage, self.place_categories, self.ratings, self.reviews, self.videos, self.video_snapshots, self.settings)
+        return gold.place_360(self.places, self.coverage, self.place_categories, self.ratings, self.reviews, self.newest_videos, self.video_days, self.settings)
 
     @table
     def province_summary(self) -> DataFrame:

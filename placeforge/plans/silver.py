@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cast, text, times
 from ..operators import shaping as op
 from ..settings import DEFAULTS, Settings
-
+from ..sources.tables import stored
 
 
 
@@ -105,11 +105,56 @@ def videos(staged: DataFrame, places_: DataFrame) -> DataFrame:
     return op.conform(out, places_).select("place_id", "place_name", "province_id", "province_name", "is_place_in_dim", *VIDEO, "views", "duration_seconds", "category", "video_url", "published_at_raw", "published_at_utc", "published_date", "published_month", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "source", "bronze_run_id")
 
 
-def video_snapshots(staged: DataFrame, places_: DataFrame) -> DataFrame:
+def video_series(staged: DataFrame) -> DataFrame:
+    """The latest row of a video on each of its days, with the change since the day before.
+
+    One shuffle and one sort serve the windows of a day and of a video. ``_n`` and ``_first`` are the number and the first
+    crawl of the day's rows.
+    """
     valid = valid_videos(staged).withColumn("snapshot_date", F.col("crawled_at_utc").cast("date"))
-    top = checked_videos(op.latest_by(valid, ["place_id", "video_id", "snapshot_date"]))
-    out = op.series(top, ["place_id", "video_id"], "snapshot_date", ["views"], None).withColumn("views_delta", F.col("views") - F.col("prev_views"))
-    out = out.withColumns({"views_daily_growth": op.velocity(F.col("views_delta"), F.col("days_since_prev_snapshot")), "video_snapshot_id": op_id("place_id", "video_id", "snapshot_date")})
+    valid = valid.withColumn("_tie", F.xxhash64(*valid.columns))  # before the shuffle, which then carries no column for it
+    day = Window.partitionBy(*VIDEO_KEYS, "snapshot_date").orderBy(F.col("crawled_at_utc").desc_nulls_last(), F.col("bronze_ingested_at_utc").desc_nulls_last(), "_tie")
+    seen = whole(day)
+    top = valid.repartition(*VIDEO_KEYS).withColumns({"_at": F.row_number().over(day), "_n": F.count(F.lit(1)).over(seen), "_first": F.min("crawled_at_utc").over(seen)})
+    top = checked_videos(top.where("_at = 1"))
+    w = Window.partitionBy(*VIDEO_KEYS).orderBy("snapshot_date")  # days are never null: crawled_at_utc is there
+    out = top.withColumns({"snapshot_seq_num": F.row_number().over(w).cast("bigint"), "prev_snapshot_date": F.lag("snapshot_date").over(w), "prev_views": F.lag("views").over(w)})
+    out = out.withColumns({"days_since_prev_snapshot": F.datediff("snapshot_date", "prev_snapshot_date").cast("bigint"), "views_delta": F.col("views") - F.col("prev_views")})
+    return out.withColumn("views_daily_growth", op.velocity(F.col("views_delta"), F.col("days_since_prev_snapshot"))).drop("_at", "_tie")
+
+
+#: Places' ids begin alike, so a sort compares the videos' first.
+VIDEO_KEYS = ("video_id", "place_id")
+
+#: What marts read of a video's latest row, and of all its days.
+NEWEST = ("place_name", "province_id", "province_name", "video_title", "channel_id", "channel_name", "duration_seconds", "category", "video_url", "published_date", "published_month", "crawled_at_utc")
+OF_DAYS = ("snapshot_count", "first_snapshot_date", "latest_snapshot_date", "first_views", "total_views_delta", "snapshot_daily_view_growth")
+
+
+def whole(w):
+    return w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def video_days(staged: DataFrame) -> DataFrame:
+    """Videos and their days as marts read them: a row a day with its numbers, and the rest in ``newest``, for the last day alone."""
+    every = whole(Window.partitionBy(*VIDEO_KEYS).orderBy("snapshot_date"))
+    later = F.col("snapshot_seq_num") >= 2
+    out = video_series(staged).withColumns({
+        "snapshot_count": F.count(F.lit(1)).over(every), "first_snapshot_date": F.min("snapshot_date").over(every), "latest_snapshot_date": F.max("snapshot_date").over(every),
+        "first_views": F.max(F.when(F.col("snapshot_seq_num") == 1, F.col("views"))).over(every), "total_views_delta": F.sum(F.when(later, F.col("views_delta"))).over(every),
+        "snapshot_daily_view_growth": cast.mean_rounded(F.when(later, F.col("views_daily_growth")), over=every),
+    })
+    newest = F.when(F.col("snapshot_date") == F.col("latest_snapshot_date"), F.struct(*NEWEST, *OF_DAYS))
+    return out.select("place_id", "video_id", "snapshot_date", "views", "snapshot_seq_num", "views_delta", "views_daily_growth", newest.alias("newest"))
+
+
+def newest_videos(days: DataFrame) -> DataFrame:
+    """A row a video, with the place's names as its latest row has them."""
+    return days.where("newest IS NOT NULL").select("place_id", "video_id", "views", "newest.*")
+
+
+def video_snapshots(staged: DataFrame, places_: DataFrame) -> DataFrame:
+    out = video_series(staged).withColumn("video_snapshot_id", op_id("place_id", "video_id", "snapshot_date"))
     return op.conform(out, places_).select("video_snapshot_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", *VIDEO, "category", "video_url", "published_at_utc", "published_date", "snapshot_date", "crawled_at_utc", "views", "duration_seconds", "snapshot_seq_num", "prev_snapshot_date", "days_since_prev_snapshot", "prev_views", "views_delta", "views_daily_growth", "source", "bronze_run_id")
 
 
@@ -128,11 +173,11 @@ def comments(staged: DataFrame, places_: DataFrame) -> DataFrame:
     return out.select("place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "video_id", "video_title", "comment_key", "comment_id", "is_surrogate_comment_key", "author", "comment_text", "likes", "is_reply", "comment_created_at_raw", "comment_created_at_utc", "comment_created_at_precision", "comment_created_date", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "source", "bronze_run_id")
 
 
-def fallback_places(ratings: DataFrame, videos_: DataFrame) -> DataFrame:
-    """The best place metadata of staging rows, failed crawls included: ratings before videos, then the newest."""
+def fallback_places(ratings: DataFrame, videos_: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The best metadata of the wanted places in staging rows, failed crawls included: ratings before videos, then the newest."""
     columns = ["place_id", "place_name", "province_id", "province_name", "crawled_at_utc"]
     both = reduce(DataFrame.unionByName, [df.select(*columns, F.lit(k).alias("priority")) for k, df in enumerate((ratings, videos_), 1)])
-    named = both.where(F.col("place_id").isNotNull() & F.col("place_name").isNotNull())
+    named = both.where(F.col("place_id").isNotNull() & F.col("place_name").isNotNull()).join(wanted, "place_id", "left_semi")
     return op.first_by(named, ["place_id"], [F.col("priority"), F.col("crawled_at_utc").desc_nulls_last()]).select("place_id", *[F.col(c).alias(f"fb_{c}") for c in columns[1:4]])
 
 
@@ -146,11 +191,12 @@ def reviews(staged: DataFrame, places_: DataFrame, ratings: DataFrame, videos_:
     rank = F.struct(times.precision_rank(F.col("review_date_precision")).alias("p"), F.col("crawled_at_utc").alias("t"), F.coalesce(F.col("bronze_ingested_at_utc"), F.lit("9999-12-31").cast("timestamp_ntz")).alias("i"))
     late = F.struct(F.col("crawled_at_utc").alias("t"), F.coalesce(F.col("bronze_ingested_at_utc"), F.lit("0001-01-01").cast("timestamp_ntz")).alias("i"))
     kept = ("place_id", "rating", "review_text", "is_edited", "likes_count", "source", "crawled_at_utc", "bronze_run_id")
-    one = seen.groupBy("review_id").agg(F.max_by(F.struct(*kept), late).alias("latest"), F.min_by(F.struct(*dated), rank).alias("best"), F.count(F.lit(1)).alias("observation_count"), F.min("crawled_at_utc").alias("first_crawled_at_utc"))
+    # stored, so that its size is known: where its places are few they are broadcast, and no other row of staging is sorted
+    one = stored(seen.groupBy("review_id").agg(F.max_by(F.struct(*kept), late).alias("latest"), F.min_by(F.struct(*dated), rank).alias("best"), F.count(F.lit(1)).alias("observation_count"), F.min("crawled_at_utc").alias("first_crawled_at_utc")), "latest-reviews")
     out = one.select("review_id", "latest.*", "best.*", "observation_count", "first_crawled_at_utc")
     out = out.withColumns({"rating": cast.in_range(F.col("rating"), 1, 5), "has_review_text": F.col("review_text").isNotNull(), "review_month": times.month_of(F.col("review_date")), "likes_count": cast.not_negative(F.col("likes_count")), "source": F.coalesce("source", F.lit("google_maps"))})
     dim = provinces_.select(F.col("province_id"), F.col("province_name").alias("prov_name"))
-    out = op.conform(out, places_).join(fallback_places(ratings, videos_), "place_id", "left")
+    out = op.conform(out, places_).join(fallback_places(ratings, videos_, out.select("place_id").distinct()), "place_id", "left")
     out = out.withColumns({"place_name": F.coalesce("place_name", "fb_place_name"), "province_id": F.coalesce("province_id", "fb_province_id")}).join(dim, "province_id", "left")
     out = out.withColumn("province_name", F.coalesce("province_name", "prov_name", "fb_province_name"))
     return out.select("review_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "rating", "review_text", "has_review_text", *dated, "review_month", "is_edited", "likes_count", "source", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "bronze_run_id")
@@ -164,7 +210,7 @@ def coverage(places_: DataFrame, reviews_: DataFrame, videos_: DataFrame, video_
     comment_month = times.month_of(F.col("comment_created_date"))
     stats = [
         reviews_.groupBy("place_id").agg(n.alias("review_count"), F.count("review_date").alias("review_dated_count"), F.min("review_date").alias("review_min_date"), F.max("review_date").alias("review_max_date"), F.countDistinct(F.when(known, F.col("review_month"))).alias("review_active_month_count")),
-        videos_.groupBy("place_id").agg(F.countDistinct("video_id").alias("video_count"), F.min("published_date").alias("video_min_published_date"), F.max("published_date").alias("video_max_published_date"), F.countDistinct("published_month").alias("video_active_month_count")),
+        videos_.groupBy("place_id").agg(F.count("video_id").alias("video_count"), F.min("published_date").alias("video_min_published_date"), F.max("published_date").alias("video_max_published_date"), F.countDistinct("published_month").alias("video_active_month_count")),
         video_snapshots_.groupBy("place_id").agg(n.alias("video_snapshot_count"), F.countDistinct("snapshot_date").alias("video_snapshot_date_count"), F.min("snapshot_date").alias("video_min_snapshot_date"), F.max("snapshot_date").alias("video_max_snapshot_date")),
         comments_.groupBy("place_id").agg(n.alias("comment_count"), F.count("comment_created_date").alias("comment_dated_count"), F.min("comment_created_date").alias("comment_min_date"), F.max("comment_created_date").alias("comment_max_date"), F.countDistinct(F.when(said, comment_month)).alias("comment_active_month_count")),
         ratings_.groupBy("place_id").agg(n.alias("rating_snapshot_count"), F.min("snapshot_date").alias("rating_min_snapshot_date"), F.max("snapshot_date").alias("rating_max_snapshot_date")),
