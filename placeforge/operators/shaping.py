@@ -40,7 +40,7 @@ def latest_observed(df: DataFrame, keys: Sequence[str], at: str = "crawled_at_ut
     tie = F.bitwise_not(F.xxhash64(*[F.col(c) for c in df.columns]))  # of a full tie the least hash
     order = F.struct(F.col(at).alias("a"), F.col("bronze_ingested_at_utc").alias("i"), tie.alias("t"))
     # dealt by key first: a partial aggregation of rows with texts would sort all of a task's rows before the shuffle too
-    one = df.withColumn("_order", order).repartition(*keys).groupBy(*keys).agg(F.max_by(F.struct(*rest), "_order").alias("_latest"), F.count(F.lit(1)).alias("observation_count"), F.min("crawled_at_utc").alias("first_crawled_at_utc"))
+    one = df.repartition(*keys).groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_latest"), F.count(F.lit(1)).alias("observation_count"), F.min("crawled_at_utc").alias("first_crawled_at_utc"))
     return one.select(*keys, "_latest.*", "observation_count", "first_crawled_at_utc")
 
 
