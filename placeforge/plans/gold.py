@@ -9,8 +9,11 @@ from ..functions import cast, times
 from ..operators import scan
 from ..operators import shaping as op
 from ..settings import DEFAULTS, Settings
+from ..sources.tables import stored
 from .silver import STARS, op_id
 
+#: So many counts of comments may be broadcast.
+FEW_COUNTS = 100_000
 CATEGORY = ["primary_category_id", "primary_category_group", "primary_category_name"]
 
 
@@ -74,11 +77,16 @@ def by_views() -> list[Column]:
     return [F.col("views").desc_nulls_last(), F.col("published_date").desc_nulls_last(), F.col("video_id").asc_nulls_last()]
 
 
-def video_performance(videos: DataFrame, places: DataFrame, comments: DataFrame) -> DataFrame:
-    """``videos`` carry what their days sum up to. The ranks and the dimension meet them in one shuffle by place."""
+def video_performance(videos: DataFrame, places: DataFrame, comments: DataFrame, most: int | None = scan.HOT_ROWS) -> DataFrame:
+    """``videos`` carry what their days sum up to. The ranks and the dimension meet them in one shuffle by place.
+
+    ``most``: as in ``scan``; None if no place has more rows than a task should hold. Counts of comments are broadcast if they are few.
+    """
     keys = ["place_id", "video_id"]
     c = comments.groupBy(*keys).agg(F.count(F.lit(1)).alias("crawled_comment_count"))
-    out = scan.numbered(videos, ["place_id"], by_views(), "place_video_view_rank")
+    c = stored(c, "comment-counts")
+    c = F.broadcast(c) if c.limit(FEW_COUNTS + 1).count() <= FEW_COUNTS else c
+    out = scan.numbered(videos, ["place_id"], by_views(), "place_video_view_rank", most)
     out = op.conform(out, places).join(c, keys, "left")
     age = times.days_between(F.col("published_date"), F.col("latest_snapshot_date"))
     out = out.withColumns({"video_age_days": F.when(age >= 0, age), "avg_daily_views_since_publish": op.velocity(F.col("views"), age), "crawled_comment_count": F.coalesce("crawled_comment_count", F.lit(0)).cast("bigint"), "place_video_id": op_id("place_id", "video_id")})
@@ -93,25 +101,25 @@ def by_popularity() -> list[Column]:
     return [popularity().desc(), F.col("total_youtube_views").desc_nulls_last(), F.col("place_id").asc_nulls_last()]
 
 
-def place_360(places: DataFrame, coverage: DataFrame, place_categories: DataFrame, ratings: DataFrame, reviews: DataFrame, videos: DataFrame, video_snapshots: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def place_360(places: DataFrame, coverage: DataFrame, place_categories: DataFrame, ratings: DataFrame, reviews: DataFrame, reach: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """One row a place: who it is, how it is rated, how that moves, how far its videos reach, and its stage."""
     zero = F.lit(0)
-    order = F.struct("snapshot_date", "crawled_at_utc")
-    ends = ratings.groupBy("place_id").agg(F.max_by(F.struct("snapshot_date", "google_rating", "google_review_count", *STARS, "rating_distribution_total"), order).alias("l"), F.min_by(F.struct("snapshot_date", "google_rating", "google_review_count"), order).alias("f"))
-    ends = ends.select("place_id", F.col("l.snapshot_date").alias("latest_rating_snapshot_date"), F.col("l.google_rating").alias("latest_google_rating"), F.col("l.google_review_count").alias("latest_google_review_count"), *[F.col(f"l.{c}").alias(c) for c in (*STARS, "rating_distribution_total")], F.col("f.snapshot_date").alias("first_rating_snapshot_date"), F.col("f.google_rating").alias("first_google_rating"), F.col("f.google_review_count").alias("first_google_review_count"))
+    # a place's first and last day, one row each
+    first, last = F.col("snapshot_seq_num") == 1, F.col("is_latest")
+    picked = [F.max(F.when(last, F.col(c))).alias(a) for c, a in {"snapshot_date": "latest_rating_snapshot_date", "google_rating": "latest_google_rating", "google_review_count": "latest_google_review_count", **{c: c for c in (*STARS, "rating_distribution_total")}}.items()]
+    picked += [F.max(F.when(first, F.col(c))).alias(f"first_{a}") for c, a in {"snapshot_date": "rating_snapshot_date", "google_rating": "google_rating", "google_review_count": "google_review_count"}.items()]
+    ends = ratings.where(first | last).groupBy("place_id").agg(*picked)
     dated = reviews.crossJoin(F.broadcast(coverage.agg(F.max("as_of_date").alias("as_of_date"))))  # one day for all places
     day, as_of, rating = F.col("review_date"), F.col("as_of_date"), F.col("rating")
     r = dated.groupBy("place_id").agg(
         F.count(F.lit(1)).alias("crawled_review_count"), cast.rounded(F.avg("rating"), 2).alias("crawled_avg_rating"), F.count_if(F.col("has_review_text")).alias("texts"), F.count("rating").alias("rated"), F.count_if(rating >= 4).alias("good"), F.count_if(rating <= 2).alias("bad"),
         F.count_if(day > F.date_sub(as_of, 90)).alias("reviews_last_90d_count"), F.count_if((day > F.date_sub(as_of, 180)) & (day <= F.date_sub(as_of, 90))).alias("reviews_prev_90d_count"),
     )
-    v = videos.groupBy("place_id").agg(F.count("video_id").alias("youtube_video_count"), F.countDistinct("channel_id").alias("distinct_channel_count"), F.sum("views").alias("total_youtube_views"), cast.rounded(F.avg("views"), 2).alias("avg_views_per_video"), F.max("views").alias("max_video_views"))
-    top = op.first_by(videos.select("place_id", "video_id", "video_title", "views", "published_date"), ["place_id"], by_views()).select("place_id", F.col("video_id").alias("top_video_id"), F.col("video_title").alias("top_video_title"))
-    g = video_snapshots.where("snapshot_seq_num >= 2").groupBy("place_id").agg(F.sum("views_delta").alias("total_youtube_views_delta"), cast.mean_rounded(F.col("views_daily_growth")).alias("avg_daily_youtube_view_growth"))
-    cats = place_categories.groupBy("place_id").agg(F.countDistinct("category_id").alias("category_count"))
+    v = reach.select("place_id", F.col("video_count").alias("youtube_video_count"), "distinct_channel_count", "total_youtube_views", "avg_views_per_video", "max_video_views", "top_video_id", "top_video_title", "total_youtube_views_delta", "avg_daily_youtube_view_growth")
+    cats = place_categories.groupBy("place_id").agg(F.count("category_id").alias("category_count"))  # a place has a category once
     cov = coverage.select("place_id", "rating_snapshot_count", "video_snapshot_date_count", "total_active_month_count", "history_span_months", "coverage_status", "is_forecast_eligible")
     out = places.select("place_id", "place_name", "name_vi", "name_en", "province_id", "province_name", "admin_scope", "latitude", "longitude", "tourism_status", "crawl_eligible").join(cov, "place_id")
-    for side in (primary_category(place_categories), cats, ends, r, v, top, g):
+    for side in (primary_category(place_categories), cats, ends, r, v):
         out = out.join(side, "place_id", "left")
     out = out.withColumns({c: F.coalesce(c, zero).cast("bigint") for c in ("category_count", "crawled_review_count", "reviews_last_90d_count", "reviews_prev_90d_count", "youtube_video_count", "distinct_channel_count", "total_youtube_views")})
     two, total = F.col("rating_snapshot_count") >= 2, F.coalesce("rating_distribution_total", zero)

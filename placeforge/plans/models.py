@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions.text import clean_null
 from ..settings import DEFAULTS, Settings, tune
 from ..sources.tables import stored
 from . import gold, silver
@@ -43,6 +47,19 @@ class Lakehouse:
             self.feeds[feed] = stage(feed, raw(self.spark, self.sf_dir, feed))
         return self.feeds[feed]
 
+    def staged_at(self, feed: str, places: DataFrame) -> DataFrame:
+        """The staging rows of a feed at these places; no other row is cleaned and cast."""
+        rows, there = raw(self.spark, self.sf_dir, feed), places.select(F.col("place_id").alias("_there"))
+        return stage(feed, rows.join(there, clean_null(F.col("place_id")) == F.col("_there"), "left_semi"))
+
+    def at_once(self, *names: str) -> None:
+        """Write these tables side by side, as a table alone seldom has work for all cores; the dimensions that they share come first."""
+        if self.store:
+            for some in (["places", *(["taxonomy"] if "place_categories" in names else [])], names):
+                todo = [n for n in some if n not in self.__dict__]
+                with ThreadPoolExecutor(len(some)) as pool:
+                    list(pool.map(inheritable_thread_target(self.spark)(lambda n: getattr(self, n)), todo))
+
     @table
     def provinces(self) -> DataFrame:
         return silver.provinces(self.staged("provinces"))
@@ -60,14 +77,23 @@ class Lakehouse:
         return silver.place_categories(self.staged("place_categories"), self.taxonomy, self.places)
 
     @table
-    def ratings(self) -> DataFrame:
+    def rating_days(self) -> DataFrame:
         return silver.rating_snapshots(self.staged("ratings"), self.places)
 
+    @cached_property
+    def ratings(self) -> DataFrame:
+        return self.rating_days.drop("is_latest")
+
     @table
     def video_days(self) -> DataFrame:
         """Videos and their days in one table, for the marts."""
         return silver.video_days(self.staged("videos"))
 
+    @table
+    def video_reach(self) -> DataFrame:
+        """What places sum up of their videos."""
+        return silver.video_reach(self.staged("videos"))
+
     @cached_property
     def newest_videos(self) -> DataFrame:
         return silver.newest_videos(self.video_days)
@@ -86,27 +112,36 @@ class Lakehouse:
 
     @table
     def reviews(self) -> DataFrame:
-        return silver.reviews(self.staged("reviews"), self.places, self.staged("ratings"), self.staged("videos"), self.provinces)
+        return silver.reviews(self.staged("reviews"), self.places, [partial(self.staged_at, f) for f in ("ratings", "videos")], self.provinces)
 
     @table
     def coverage(self) -> DataFrame:
-        return silver.coverage(self.places, self.reviews, self.newest_videos, self.video_days, self.comments, self.ratings, self.settings)
+        self.at_once("video_reach", "reviews", "rating_days", "comments")
+        return silver.coverage(self.places, self.reviews, self.video_reach, self.comments, self.rating_days, self.settings)
 
     @table
     def monthly(self) -> DataFrame:
+        self.at_once("video_days", "place_categories", "reviews", "comments")
         return gold.monthly_growth(self.reviews, self.newest_videos, self.comments, self.places, self.place_categories)
 
     @table
     def trajectory(self) -> DataFrame:
+        self.at_once("video_days", "place_categories", "rating_days")
         return gold.snapshot_trajectory(self.ratings, self.video_days, self.places, self.place_categories)
 
     @table
     def video_performance(self) -> DataFrame:
-        return gold.video_performance(self.newest_videos, self.places, self.comments)
+        videos = self.staged("videos")
+        dealt = silver.by_place(videos)
+        if dealt is None:
+            return gold.video_performance(self.newest_videos, self.places, self.comments)
+        # read once, so the videos' days are not written before
+        return gold.video_performance(silver.newest_videos(silver.video_days(videos, dealt)), self.places, self.comments, None)
 
     @table
     def profile(self) -> DataFrame:
-        return gold.place_360(self.places, self.coverage, self.place_categories, self.ratings, self.reviews, self.newest_videos, self.video_days, self.settings)
+        self.at_once("video_reach", "place_categories", "reviews", "rating_days", "comments")
+        return gold.place_360(self.places, self.coverage, self.place_categories, self.rating_days, self.reviews, self.video_reach, self.settings)
 
     @table
     def province_summary(self) -> DataFrame:

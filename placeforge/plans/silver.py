@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cast, text, times
+from ..operators import scan
 from ..operators import shaping as op
 from ..settings import DEFAULTS, Settings
 from ..sources.tables import stored
@@ -70,16 +72,18 @@ STARS = [f"rating_{k}_count" for k in (5, 4, 3, 2, 1)]
 
 
 def rating_snapshots(staged: DataFrame, places_: DataFrame) -> DataFrame:
+    """A row a place and day; ``is_latest`` marks the place's last day, for the marts."""
     valid = op.live(staged, "place_id", "crawled_at_utc").where("crawl_status = 'SUCCESS'").withColumn("snapshot_date", F.col("crawled_at_utc").cast("date"))
     top = op.latest_by(valid, ["place_id", "snapshot_date"])
     top = top.withColumns({"google_rating": cast.in_range(F.col("google_rating"), 0, 5)} | {c: cast.not_negative(F.col(c)) for c in ("google_review_count", *STARS)})
     top = top.withColumn("rating_distribution_total", sum((F.coalesce(c, F.lit(0)) for c in STARS), F.lit(0).cast("bigint")))
     out = op.series(top, ["place_id"], "snapshot_date", ["google_rating", "google_review_count"], None)
+    out = out.withColumn("is_latest", F.lead("snapshot_date").over(Window.partitionBy("place_id").orderBy(F.col("snapshot_date").asc_nulls_last())).isNull())
     out = out.withColumns({
         "rating_delta": cast.rounded(F.col("google_rating") - F.col("prev_google_rating"), 4), "review_count_delta": F.col("google_review_count") - F.col("prev_google_review_count"),
         "rating_snapshot_id": op_id("place_id", "snapshot_date"), "has_rating_value": F.col("google_rating").isNotNull(), "has_rating_distribution": F.col("rating_distribution_total") > 0, "source": F.lit("google_maps"),
     })
-    return op.conform(out, places_).select("rating_snapshot_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "snapshot_date", "crawled_at_utc", "google_maps_url", "google_rating", "google_review_count", *STARS, "rating_distribution_total", "has_rating_value", "has_rating_distribution", "snapshot_seq_num", "prev_snapshot_date", "days_since_prev_snapshot", "prev_google_rating", "rating_delta", "prev_google_review_count", "review_count_delta", "crawl_status", "source", "bronze_run_id")
+    return op.conform(out, places_).select("rating_snapshot_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "snapshot_date", "crawled_at_utc", "google_maps_url", "google_rating", "google_review_count", *STARS, "rating_distribution_total", "has_rating_value", "has_rating_distribution", "snapshot_seq_num", "prev_snapshot_date", "days_since_prev_snapshot", "prev_google_rating", "rating_delta", "prev_google_review_count", "review_count_delta", "crawl_status", "source", "bronze_run_id", "is_latest")
 
 
 def not_ahead(t: str):
@@ -92,7 +96,8 @@ def valid_videos(staged: DataFrame) -> DataFrame:
 
 
 def checked_videos(df: DataFrame) -> DataFrame:
-    out = df.withColumns({"published_at_utc": not_ahead("published_at_utc"), "views": cast.not_negative(F.col("views")), "duration_seconds": cast.not_negative(F.col("duration_seconds")), "source": F.lit("youtube")})
+    numbers = {c: cast.not_negative(F.col(c)) for c in ("views", "duration_seconds") if c in df.columns}
+    out = df.withColumns({"published_at_utc": not_ahead("published_at_utc"), **numbers, "source": F.lit("youtube")})
     return out.withColumns({"published_date": F.col("published_at_utc").cast("date"), "published_month": times.month_of(F.col("published_at_utc"))})
 
 
@@ -105,7 +110,24 @@ def videos(staged: DataFrame, places_: DataFrame) -> DataFrame:
     return op.conform(out, places_).select("place_id", "place_name", "province_id", "province_name", "is_place_in_dim", *VIDEO, "views", "duration_seconds", "category", "video_url", "published_at_raw", "published_at_utc", "published_date", "published_month", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "source", "bronze_run_id")
 
 
-def video_series(staged: DataFrame) -> DataFrame:
+def by_video(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*VIDEO_KEYS)
+
+
+def by_place(staged: DataFrame) -> Callable[[DataFrame], DataFrame] | None:
+    """Deals a feed's rows by place, to so many tasks that ROWS_A_TASK rows are in each, about; None if a place has more than a task should hold.
+
+    What is worked out a video, a day and a place then needs no other shuffle.
+    """
+    n = staged.where("place_id IS NOT NULL").groupBy("place_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.sum("n").alias("all")).first()
+    if (n["most"] or 0) > scan.HOT_ROWS:
+        return None
+    tasks = -(-(n["all"] or 0) // ROWS_A_TASK)
+    many = tasks > int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return lambda rows: rows.repartition(tasks, "place_id") if many else rows.repartition("place_id")
+
+
+def video_series(staged: DataFrame, dealt: Callable[[DataFrame], DataFrame] = by_video) -> DataFrame:
     """The latest row of a video on each of its days, with the change since the day before.
 
     One shuffle and one sort serve the windows of a day and of a video. ``_n`` and ``_first`` are the number and the first
@@ -115,16 +137,18 @@ def video_series(staged: DataFrame) -> DataFrame:
     valid = valid.withColumn("_tie", F.xxhash64(*valid.columns))  # before the shuffle, which then carries no column for it
     day = Window.partitionBy(*VIDEO_KEYS, "snapshot_date").orderBy(F.col("crawled_at_utc").desc_nulls_last(), F.col("bronze_ingested_at_utc").desc_nulls_last(), "_tie")
     seen = whole(day)
-    top = valid.repartition(*VIDEO_KEYS).withColumns({"_at": F.row_number().over(day), "_n": F.count(F.lit(1)).over(seen), "_first": F.min("crawled_at_utc").over(seen)})
+    top = dealt(valid).withColumns({"_at": F.row_number().over(day), "_n": F.count(F.lit(1)).over(seen), "_first": F.min("crawled_at_utc").over(seen)})
     top = checked_videos(top.where("_at = 1"))
     w = Window.partitionBy(*VIDEO_KEYS).orderBy("snapshot_date")  # days are never null: crawled_at_utc is there
-    out = top.withColumns({"snapshot_seq_num": F.row_number().over(w).cast("bigint"), "prev_snapshot_date": F.lag("snapshot_date").over(w), "prev_views": F.lag("views").over(w)})
+    out = top.withColumns({"snapshot_seq_num": F.row_number().over(w).cast("bigint"), "prev_snapshot_date": F.lag("snapshot_date").over(w), "prev_views": F.lag("views").over(w), "is_newest": F.lead("snapshot_date").over(w).isNull()})
     out = out.withColumns({"days_since_prev_snapshot": F.datediff("snapshot_date", "prev_snapshot_date").cast("bigint"), "views_delta": F.col("views") - F.col("prev_views")})
     return out.withColumn("views_daily_growth", op.velocity(F.col("views_delta"), F.col("days_since_prev_snapshot"))).drop("_at", "_tie")
 
 
 #: Places' ids begin alike, so a sort compares the videos' first.
 VIDEO_KEYS = ("video_id", "place_id")
+#: Rows of a task that sorts rows with texts; fewer than a key may have before it is cut into ranges.
+ROWS_A_TASK = 500_000
 
 #: What marts read of a video's latest row, and of all its days.
 NEWEST = ("place_name", "province_id", "province_name", "video_title", "channel_id", "channel_name", "duration_seconds", "category", "video_url", "published_date", "published_month", "crawled_at_utc")
@@ -135,11 +159,11 @@ def whole(w):
     return w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
-def video_days(staged: DataFrame) -> DataFrame:
+def video_days(staged: DataFrame, dealt: Callable[[DataFrame], DataFrame] = by_video) -> DataFrame:
     """Videos and their days as marts read them: a row a day with its numbers, and the rest in ``newest``, for the last day alone."""
     every = whole(Window.partitionBy(*VIDEO_KEYS).orderBy("snapshot_date"))
     later = F.col("snapshot_seq_num") >= 2
-    out = video_series(staged).withColumns({
+    out = video_series(staged, dealt).withColumns({
         "snapshot_count": F.count(F.lit(1)).over(every), "first_snapshot_date": F.min("snapshot_date").over(every), "latest_snapshot_date": F.max("snapshot_date").over(every),
         "first_views": F.max(F.when(F.col("snapshot_seq_num") == 1, F.col("views"))).over(every), "total_views_delta": F.sum(F.when(later, F.col("views_delta"))).over(every),
         "snapshot_daily_view_growth": cast.mean_rounded(F.when(later, F.col("views_daily_growth")), over=every),
@@ -148,6 +172,41 @@ def video_days(staged: DataFrame) -> DataFrame:
     return out.select("place_id", "video_id", "snapshot_date", "views", "snapshot_seq_num", "views_delta", "views_daily_growth", newest.alias("newest"))
 
 
+#: What places sum up of their videos' rows.
+OF_REACH = ("place_id", "video_id", "video_title", "channel_id", "views", "published_at_utc", "crawled_at_utc", "bronze_ingested_at_utc", "bronze_record_status")
+
+
+def video_order() -> list:
+    """Ascending, with nulls last: the most viewed, then the newest, then the least id."""
+    views, day = F.col("views"), F.unix_date("published_date")
+    return [views.isNull(), -views, day.isNull(), -day, F.col("video_id")]
+
+
+def video_reach(staged: DataFrame) -> DataFrame:
+    """A row a place: what coverage and profile sum up of its videos and their days, from narrow rows in one shuffle by place.
+
+    Days and months of a place are as many as the calendar has. If a place has too many rows for a task, rows are dealt by video
+    and channels are counted on their own. Full ties go by the hash of these columns.
+    """
+    narrow, dealt = staged.select(*OF_REACH), by_place(staged)
+    days = video_series(narrow, dealt or by_video)
+    newest, later = F.col("is_newest"), F.col("snapshot_seq_num") >= 2
+    of = lambda c: F.when(newest, F.col(c))
+    sums = [
+        F.count_if(newest).alias("video_count"), F.min(of("published_date")).alias("video_min_published_date"), F.max(of("published_date")).alias("video_max_published_date"), F.collect_set(of("published_month")).alias("video_months"),
+        F.count(F.lit(1)).alias("video_snapshot_count"), F.size(F.collect_set("snapshot_date")).cast("bigint").alias("video_snapshot_date_count"), F.min("snapshot_date").alias("video_min_snapshot_date"), F.max("snapshot_date").alias("video_max_snapshot_date"),
+        F.max(of("crawled_at_utc")).alias("last_crawled_at_utc"), F.sum(of("views")).alias("total_youtube_views"), cast.rounded(F.avg(of("views")), 2).alias("avg_views_per_video"), F.max(of("views")).alias("max_video_views"),
+        F.min_by(F.struct("video_id", "video_title"), F.when(newest, F.struct(*video_order()))).alias("_top"), F.sum(F.when(later, F.col("views_delta"))).alias("total_youtube_views_delta"), cast.mean_rounded(F.when(later, F.col("views_daily_growth"))).alias("avg_daily_youtube_view_growth"),
+    ]
+    if dealt:
+        out = days.groupBy("place_id").agg(*sums, F.size(F.collect_set(of("channel_id"))).cast("bigint").alias("distinct_channel_count"))
+    else:
+        days = stored(days.select("place_id", "video_id", "video_title", "channel_id", "views", "published_date", "published_month", "crawled_at_utc", "snapshot_date", "snapshot_seq_num", "views_delta", "views_daily_growth", "is_newest"), "reach-days")
+        channels = days.where("is_newest").groupBy("place_id").agg(F.countDistinct("channel_id").alias("distinct_channel_count"))
+        out = days.groupBy("place_id").agg(*sums).join(channels, "place_id", "left")
+    return out.select("*", F.col("_top.video_id").alias("top_video_id"), F.col("_top.video_title").alias("top_video_title")).drop("_top")
+
+
 def newest_videos(days: DataFrame) -> DataFrame:
     """A row a video, with the place's names as its latest row has them."""
     return days.where("newest IS NOT NULL").select("place_id", "video_id", "views", "newest.*")
@@ -173,15 +232,20 @@ def comments(staged: DataFrame, places_: DataFrame) -> DataFrame:
     return out.select("place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "video_id", "video_title", "comment_key", "comment_id", "is_surrogate_comment_key", "author", "comment_text", "likes", "is_reply", "comment_created_at_raw", "comment_created_at_utc", "comment_created_at_precision", "comment_created_date", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "source", "bronze_run_id")
 
 
-def fallback_places(ratings: DataFrame, videos_: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The best metadata of the wanted places in staging rows, failed crawls included: ratings before videos, then the newest."""
+def fallback_places(feeds: Sequence[Callable[[DataFrame], DataFrame]], wanted: DataFrame) -> DataFrame:
+    """The best metadata of the wanted places in staging rows, failed crawls included: earlier feeds first, then the newest.
+
+    ``feeds`` give the staging rows at some places, as only these are to be cleaned and cast.
+    """
+    wanted = stored(wanted, "wanted-places")
+    few = wanted.limit(scan.FEW + 1).count() <= scan.FEW
     columns = ["place_id", "place_name", "province_id", "province_name", "crawled_at_utc"]
-    both = reduce(DataFrame.unionByName, [df.select(*columns, F.lit(k).alias("priority")) for k, df in enumerate((ratings, videos_), 1)])
-    named = both.where(F.col("place_id").isNotNull() & F.col("place_name").isNotNull()).join(wanted, "place_id", "left_semi")
+    both = reduce(DataFrame.unionByName, [df.select(*columns, F.lit(k).alias("priority")) for k, df in enumerate((at(F.broadcast(wanted) if few else wanted) for at in feeds), 1)])
+    named = both.where(F.col("place_id").isNotNull() & F.col("place_name").isNotNull())
     return op.first_by(named, ["place_id"], [F.col("priority"), F.col("crawled_at_utc").desc_nulls_last()]).select("place_id", *[F.col(c).alias(f"fb_{c}") for c in columns[1:4]])
 
 
-def reviews(staged: DataFrame, places_: DataFrame, ratings: DataFrame, videos_: DataFrame, provinces_: DataFrame) -> DataFrame:
+def reviews(staged: DataFrame, places_: DataFrame, feeds: Sequence[Callable[[DataFrame], DataFrame]], provinces_: DataFrame) -> DataFrame:
     valid = op.live(staged, "review_id", "place_id", "crawled_at_utc").where("upper(place_id) <> 'TEST'")
     seen = valid.withColumn("said", times.relative_text(F.col("review_date_raw")))
     seen = seen.withColumn("unit", times.relative_unit(F.col("said")))
@@ -196,29 +260,30 @@ def reviews(staged: DataFrame, places_: DataFrame, ratings: DataFrame, videos_:
     out = one.select("review_id", "latest.*", "best.*", "observation_count", "first_crawled_at_utc")
     out = out.withColumns({"rating": cast.in_range(F.col("rating"), 1, 5), "has_review_text": F.col("review_text").isNotNull(), "review_month": times.month_of(F.col("review_date")), "likes_count": cast.not_negative(F.col("likes_count")), "source": F.coalesce("source", F.lit("google_maps"))})
     dim = provinces_.select(F.col("province_id"), F.col("province_name").alias("prov_name"))
-    out = op.conform(out, places_).join(fallback_places(ratings, videos_, out.select("place_id").distinct()), "place_id", "left")
+    out = op.conform(out, places_)
+    open_ = out.where("place_name IS NULL OR province_id IS NULL OR province_name IS NULL").select("place_id").distinct()
+    out = out.join(fallback_places(feeds, open_), "place_id", "left")
     out = out.withColumns({"place_name": F.coalesce("place_name", "fb_place_name"), "province_id": F.coalesce("province_id", "fb_province_id")}).join(dim, "province_id", "left")
     out = out.withColumn("province_name", F.coalesce("province_name", "prov_name", "fb_province_name"))
     return out.select("review_id", "place_id", "place_name", "province_id", "province_name", "is_place_in_dim", "rating", "review_text", "has_review_text", *dated, "review_month", "is_edited", "likes_count", "source", "crawled_at_utc", "first_crawled_at_utc", "observation_count", "bronze_run_id")
 
 
-def coverage(places_: DataFrame, reviews_: DataFrame, videos_: DataFrame, video_snapshots_: DataFrame, comments_: DataFrame, ratings_: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
-    """How far each place's history reaches, and whether a forecast can stand on it."""
+def coverage(places_: DataFrame, reviews_: DataFrame, reach: DataFrame, comments_: DataFrame, ratings_: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """How far each place's history reaches, and whether a forecast can stand on it. ``reach``: ``video_reach``."""
     n = F.count(F.lit(1))
     known = F.col("review_date_precision").isin("day", "week", "month")
     said = F.col("comment_created_at_precision").isin("exact", "day", "week", "month")
     comment_month = times.month_of(F.col("comment_created_date"))
     stats = [
         reviews_.groupBy("place_id").agg(n.alias("review_count"), F.count("review_date").alias("review_dated_count"), F.min("review_date").alias("review_min_date"), F.max("review_date").alias("review_max_date"), F.countDistinct(F.when(known, F.col("review_month"))).alias("review_active_month_count")),
-        videos_.groupBy("place_id").agg(F.count("video_id").alias("video_count"), F.min("published_date").alias("video_min_published_date"), F.max("published_date").alias("video_max_published_date"), F.countDistinct("published_month").alias("video_active_month_count")),
-        video_snapshots_.groupBy("place_id").agg(n.alias("video_snapshot_count"), F.countDistinct("snapshot_date").alias("video_snapshot_date_count"), F.min("snapshot_date").alias("video_min_snapshot_date"), F.max("snapshot_date").alias("video_max_snapshot_date")),
+        reach.select("place_id", "video_count", "video_min_published_date", "video_max_published_date", F.size("video_months").alias("video_active_month_count"), "video_snapshot_count", "video_snapshot_date_count", "video_min_snapshot_date", "video_max_snapshot_date"),
         comments_.groupBy("place_id").agg(n.alias("comment_count"), F.count("comment_created_date").alias("comment_dated_count"), F.min("comment_created_date").alias("comment_min_date"), F.max("comment_created_date").alias("comment_max_date"), F.countDistinct(F.when(said, comment_month)).alias("comment_active_month_count")),
         ratings_.groupBy("place_id").agg(n.alias("rating_snapshot_count"), F.min("snapshot_date").alias("rating_min_snapshot_date"), F.max("snapshot_date").alias("rating_max_snapshot_date")),
     ]
-    months = [reviews_.where(known).select("place_id", F.col("review_month").alias("m")), videos_.select("place_id", F.col("published_month").alias("m")), comments_.where(said).select("place_id", comment_month.alias("m"))]
+    months = [reviews_.where(known).select("place_id", F.col("review_month").alias("m")), reach.select("place_id", F.explode("video_months").alias("m")), comments_.where(said).select("place_id", comment_month.alias("m"))]
     active = reduce(DataFrame.union, months).where("m IS NOT NULL").distinct().groupBy("place_id").agg(n.alias("total_active_month_count"))
     if settings.as_of_date is None:
-        days = [df.agg(F.max(F.col(c).cast("date")).alias("d")) for df, c in ((reviews_, "crawled_at_utc"), (videos_, "crawled_at_utc"), (comments_, "crawled_at_utc"), (ratings_, "snapshot_date"))]
+        days = [df.agg(F.max(F.col(c).cast("date")).alias("d")) for df, c in ((reviews_, "crawled_at_utc"), (reach, "last_crawled_at_utc"), (comments_, "crawled_at_utc"), (ratings_, "snapshot_date"))]
         as_of = reduce(DataFrame.union, days).agg(F.max("d").alias("as_of_date"))  # one row
     else:
         as_of = places_.sparkSession.range(1).select(F.lit(settings.as_of_date).alias("as_of_date"))

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from placeforge.functions import times
-from placeforge.plans import registry
+from placeforge.operators import scan
+from placeforge.plans import registry, silver
+from placeforge.plans.models import Lakehouse
 
 DATA = "/root/testdata/sf0.001"
 
@@ -38,3 +40,39 @@ def test_utc_times_where_the_session_zone_sets_clocks_back(spark, text, hour):
     finally:
         spark.conf.set(key, before)
     assert datetime.datetime.fromisoformat(got).hour == hour
+
+
+def house_of(spark):
+    return Lakehouse(spark, DATA, store=True)
+
+
+@pytest.mark.parametrize("table", ["profile", "video_performance"])
+def test_marts_of_places_write_no_days_of_videos(spark, table):
+    house = house_of(spark)
+    getattr(house, table)
+    assert "video_days" not in house.__dict__
+
+
+def test_a_place_with_too_many_rows_for_a_task_gives_the_same_sums(spark, monkeypatch):
+    def rows(df):
+        sets = {c: F.array_sort(c) for c, t in df.dtypes if t.startswith("array")}
+        return sorted(map(str, df.withColumns(sets).select(*sorted(df.columns)).collect()))
+
+    reach, videos = rows(house_of(spark).video_reach), rows(house_of(spark).video_performance)
+    monkeypatch.setattr(scan, "HOT_ROWS", 1)
+    assert silver.by_place(house_of(spark).staged("videos")) is None
+    assert rows(house_of(spark).video_reach) == reach
+    assert rows(house_of(spark).video_performance) == videos
+
+
+def test_rows_are_dealt_to_as_many_tasks_as_they_fill(spark, monkeypatch):
+    staged = house_of(spark).staged("videos")
+    monkeypatch.setattr(silver, "ROWS_A_TASK", 100)
+    assert silver.by_place(staged)(staged).rdd.getNumPartitions() == -(-staged.count() // 100)
+
+
+def test_only_wanted_places_are_cleaned_and_cast(spark):
+    house = house_of(spark)
+    wanted = house.staged("videos").select("place_id").distinct().orderBy("place_id").limit(3)
+    at, all_rows = house.staged_at("videos", wanted), house.staged("videos").join(wanted, "place_id", "left_semi").select(*house.staged("videos").columns)
+    assert at.count() and not at.exceptAll(all_rows).count() and not all_rows.exceptAll(at).count()
