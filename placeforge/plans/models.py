@@ -129,8 +129,9 @@ class Lakehouse:
         self.at_once("video_days", "place_categories", "rating_days")
         return gold.snapshot_trajectory(self.ratings, self.video_days, self.places, self.place_categories)
 
-    @table
+    @cached_property
     def video_performance(self) -> DataFrame:
+        """As large as the videos and read by no other table, so it is not written."""
         videos = self.staged("videos")
         dealt = silver.by_place(videos)
         if dealt is None:
