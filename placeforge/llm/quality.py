@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NOT_SPACE, fresh, let, materialize, small_side, words_of
+from ._common import BLANKS, fresh, let, materialize, small_side, words_of
 
 #: Hash buckets of the two multinomials, a power of two.
 BUCKETS = 1 << 20
@@ -54,10 +54,7 @@ def hashes_of(text: Column) -> Column:
 
 
 def symbols(text: Column) -> Column:
-    bare = text
-    for c in "#*$%&|<>":
-        bare = F.replace(bare, F.lit(c), F.lit(""))
-    return (F.length(text) - F.length(bare)).cast("long")
+    return F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long")
 
 
 def repeated_words(windows: Column) -> Column:
@@ -145,7 +142,7 @@ def judge(docs: DataFrame, model: DataFrame, text: str = "text", buckets: int =
     docs = docs.drop(*[c for c in docs.columns if c.lower() in own and c.lower() != text.lower()])
     words, hashes, lines, weights, total, windows, grams = fresh(docs, "_words", "_hashes", "_lines", "_weights", "_total", "_windows", "_grams")
     there = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumns({words: words_of(F.col(text)), lines: F.filter(F.split(there, "\n", -1), lambda x: x.rlike(NOT_SPACE))})
+    out = docs.withColumns({words: words_of(F.col(text)), lines: F.filter(F.split(there, "\n", -1), lambda x: F.ltrim(x, F.lit(BLANKS)) != "")})
     out = out.withColumns({"n_words": F.size(words).cast("long"), "word_chars": F.length(F.array_join(words, "")).cast("long"), "n_symbols": symbols(there), "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"), hashes: F.transform(words, lambda w: F.xxhash64(w))})
     h, n = F.col(hashes), F.size(hashes)
     out = out.withColumn(windows, ngrams(h, n, 3))
