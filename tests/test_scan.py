@@ -1,5 +1,6 @@
 """Keys cut into ranges against plain windows, with ties, nulls and a key of a third of the rows."""
 
+import datetime
 import random
 
 import pytest
@@ -70,3 +71,23 @@ def test_fill_reads_no_row_anew(spark, most):
         groups.setdefault(r.k, []).append(r)
     expected = {r.id: next((x.v for x in [*rows[i::-1], *rows[i:]] if x.v is not None), None) for rows in groups.values() for i, r in enumerate(rows)}
     assert {r.id: r.near for r in out.collect()} == expected
+
+
+def test_nulls_in_the_order_come_last_as_in_the_sql(spark, tmp_path):
+    """Days, ids and lines that are missing, in hot keys and others; no two rows are tied, so the SQL has one result."""
+    import duckdb
+
+    from placeforge.plans import registry
+
+    r, rows = random.Random(8), []
+    for i in range(3000):
+        missing = r.choice(["day", "id", "line", None, None])
+        day = None if missing == "day" else datetime.datetime(2024, 1, 1) + datetime.timedelta(days=r.randint(0, 30))
+        rows.append((None if missing == "id" else i, r.choice([None, 1, 1, 2, 3, *range(4, 9)]), None if missing == "line" else i, float(i % 50), day))
+    spark.createDataFrame(rows, "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz").write.parquet(f"{tmp_path}/lineitem.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+    name = "win5_hot_key_in_ranges"
+    df, expected = registry.queries()[name](spark, str(tmp_path)), con.sql(registry.oracle_sql()[name])
+    assert df.columns == expected.columns
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(expected.fetchall(), key=repr)
