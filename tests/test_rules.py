@@ -119,3 +119,34 @@ def test_a_large_province_is_filled_in_pieces(spark, monkeypatch):
     assert rows(cut) == whole and len(whole) == 100 * (30 + 1 + 30 + 1)
     sizes = [r["count"] for r in cut.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) > 8 and max(sizes) < len(whole) / 4
+
+
+def shuffled_rows(spark, run):
+    """Rows that the shuffles of ``run`` write."""
+    bus, store, double = spark._jsc.sc().listenerBus(), spark._jsc.sc().statusStore(), spark._jvm.double
+
+    def total():
+        bus.waitUntilEmpty()
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(double, 0), None)
+        return sum(stages.apply(k).shuffleWriteRecords() for k in range(stages.size()))
+
+    before = total()
+    run()
+    return total() - before
+
+
+def test_a_large_province_repeats_neither_side_for_all_its_pieces(spark, monkeypatch):
+    """The legacy fill of a province with many rows on both sides: its shuffle is a small part of its result, which is whole."""
+    table = spark.createDataFrame([(k, None if k % 9 == 0 else "1", "own" if k % 2 else None) for k in range(900)] + [(k, "2", None) for k in range(900, 930)], "k int, province_id string, legacy_province_id string")
+    mapping = spark.createDataFrame([(p, f"l{k % 250}", None if k % 7 == 0 else f"n{k % 250}") for p in ("1", None) for k in range(300)] + [("3", "l", "n")], "current_province_id string, legacy_province_id string, legacy_province_name string")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    whole = rows(reference.enrich_admin(table, mapping))
+    assert len(whole) == 900 * 300 + 30
+    for piece, column, tasks in ((50, 40, 64), (50, 2, 4096), (3000, 1000, 4096)):
+        for name, value in (("PIECE", piece), ("COLUMN", column), ("TASKS", tasks)):
+            monkeypatch.setattr(reference, name, value, raising=False)
+        assert rows(reference.enrich_admin(table, mapping)) == whole
+    monkeypatch.setattr(reference, "PIECE", 50)
+    monkeypatch.setattr(reference, "COLUMN", 40, raising=False)
+    monkeypatch.setattr(reference, "TASKS", 64)
+    assert shuffled_rows(spark, lambda: reference.enrich_admin(table, mapping).write.format("noop").mode("overwrite").save()) < len(whole) / 10
