@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from placeforge.functions import times
 from placeforge.operators import scan
-from placeforge.plans import registry, silver
+from placeforge.plans import models, registry, silver
 from placeforge.plans.models import Lakehouse
 
 DATA = "/root/testdata/sf0.001"
@@ -76,3 +76,12 @@ def test_only_wanted_places_are_cleaned_and_cast(spark):
     wanted = house.staged("videos").select("place_id").distinct().orderBy("place_id").limit(3)
     at, all_rows = house.staged_at("videos", wanted), house.staged("videos").join(wanted, "place_id", "left_semi").select(*house.staged("videos").columns)
     assert at.count() and not at.exceptAll(all_rows).count() and not all_rows.exceptAll(at).count()
+
+
+def test_gold_reconciles_without_days_of_videos(spark, monkeypatch):
+    """dq9 counts videos by what places sum up of them; their days, a row a video and day with its texts, are not written for a count."""
+    written, plain = [], models.stored
+    monkeypatch.setattr(models, "stored", lambda df, name: written.append(name) or plain(df, name))
+    rows = {r["check"]: r for r in registry.queries()["dq9_set3_gold_reconciles"](spark, DATA).collect()}
+    assert "video_reach" in written and "video_days" not in written
+    assert rows["video_performance_row_count"].right_value == silver.valid_videos(house_of(spark).staged("videos")).select("place_id", "video_id").distinct().count() > 0
